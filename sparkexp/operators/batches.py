@@ -76,5 +76,5 @@ def batch_ledger(df: DataFrame, target: str, batch_column: str = "batch_id") ->
         "positives",
         "negatives",
         F.col("cum_row_count").alias("running_rows"),
-        F.round(F.col("cum_row_count") * 100.0 / F.col("total_row_count"), 2).alias("percent_done"),
+        (F.col("cum_row_count") / F.col("total_row_count") * 100).alias("percent_done"),
     )
