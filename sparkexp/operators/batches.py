@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkexp.functions.columns import col, key_hash
 from sparkexp.operators.prefix import running_totals
+from sparkexp.sources.scratch import scratch_root
 
 # Batch ids in one bucket of the ledger's running total.
 LEDGER_BUCKET = 50_000
@@ -58,8 +59,12 @@ def assign_batches(
 
 
 def batch_ledger(df: DataFrame, target: str, batch_column: str = "batch_id") -> DataFrame:
-    """Rows, positives and negatives of each batch, with the running row count and the percentage done."""
+    """Rows, positives and negatives of each batch, with the running row count and the percentage done.
+
+    The counts, one row per batch, are checkpointed, so that the table is read once.
+    """
     label = col(target).cast("boolean")
+    scratch_root(df.sparkSession)
     batches = (
         df.groupBy(batch_column)
         .agg(
@@ -68,6 +73,7 @@ def batch_ledger(df: DataFrame, target: str, batch_column: str = "batch_id") ->
             F.count_if(~label).alias("negatives"),
         )
         .withColumn("_bucket", F.floor(F.col(batch_column) / LEDGER_BUCKET))
+        .checkpoint()
     )
     running = running_totals(batches, bucket="_bucket", order=batch_column, sums=["row_count"])
     return running.select(

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressionModel,
@@ -42,6 +42,9 @@ ROUNDS_PER_BATCH = 10
 # Beyond this many trees the model would no longer be a small object on the driver.
 MAX_TREES = 10_000
 
+# A random part of so many rows is not empty, so only smaller batches are looked at.
+SURELY_DRAWN = 100_000
+
 LABEL, WEIGHT, MARGIN = f"{PREFIX}label", f"{PREFIX}weight", f"{PREFIX}margin"
 LEAVES, LEAF, RAW = f"{PREFIX}leaves", f"{PREFIX}leaf", f"{PREFIX}raw"
 
@@ -95,27 +98,37 @@ class TreeEnsemble:
         model = GBTRegressionModel(scala.GBTRegressionModel("staged_trees", trees, weights))
         return _find_leaves(model)
 
-    def add_to_margin(self, df: DataFrame, start: Column) -> DataFrame:
+    def margins(self, df: DataFrame, start: float) -> DataFrame:
         """Set the margin of each row to ``start`` plus the values of the leaves it falls in."""
         if not self.trees:
-            return df.withColumn(MARGIN, start)
-        located = self.as_model(df.sparkSession).transform(df)
-        return _sum_leaves(located, self.leaf_values, start)
+            return df.withColumn(MARGIN, F.lit(start))
+        return _sum_leaves(self.as_model(df.sparkSession).transform(df), self.leaf_values, start)
 
 
 def _find_leaves(model: GBTRegressionModel) -> GBTRegressionModel:
     return model.setFeaturesCol(FEATURES).setLeafCol(LEAVES).setPredictionCol("")
 
 
-def _sum_leaves(located: DataFrame, leaf_values: Sequence[Sequence[float]], start: Column) -> DataFrame:
-    table = F.array(*[F.array(*[F.lit(float(v)) for v in values]) for values in leaf_values])
+def _literal(values: Sequence[float]) -> str:
+    return f"array({', '.join(f'{value!r}D' for value in values)})"
+
+
+def _sum_leaves(located: DataFrame, leaf_values: Sequence[Sequence[float]], start: float) -> DataFrame:
+    # One SQL text, because building thousands of literals one by one from Python is slow.
+    table = F.expr(f"array({', '.join(_literal(values) for values in leaf_values)})")
     looked_up = F.zip_with(
         vector_to_array(LEAVES), table, lambda leaf, values: F.get(values, leaf.cast("int"))
     )
-    total = F.aggregate(looked_up, start, lambda sum_so_far, value: sum_so_far + value)
+    total = F.aggregate(looked_up, F.lit(start), lambda sum_so_far, value: sum_so_far + value)
     return located.withColumn(MARGIN, total).drop(LEAVES)
 
 
+def _add_tree(rows: DataFrame, tree: DecisionTreeRegressionModel, values: Sequence[float]) -> DataFrame:
+    """The margins after one more tree."""
+    step = F.get(F.expr(_literal(values)), F.col(LEAF).cast("int"))
+    return tree.transform(rows).withColumn(MARGIN, F.col(MARGIN) + step).drop(LEAF)
+
+
 def _probability(margin: Column) -> Column:
     return 1 / (1 + F.exp(-margin))
 
@@ -144,9 +157,8 @@ class TrainedModel:
         prepared = self.pipeline.transform(df)
         logistic = self.params.objective == "logistic"
         if self.ensemble is not None:
-            margins = _sum_leaves(
-                self.ensemble.transform(prepared), self.leaf_values, F.lit(_start_margin(self.params))
-            )
+            located = self.ensemble.transform(prepared)
+            margins = _sum_leaves(located, self.leaf_values, _start_margin(self.params))
             value = _probability(F.col(MARGIN)) if logistic else F.col(MARGIN)
             scored = margins.withColumn(score_column, value)
         elif logistic:
@@ -260,11 +272,8 @@ def train_gbt(
     )
     if kind is GBTClassifier:
         trainer = trainer.setProbabilityCol(f"{PREFIX}probability").setRawPredictionCol(f"{PREFIX}raw_scores")
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        trees: GBTRegressionModel | GBTClassificationModel = trainer.fit(rows)
-    finally:
-        rows.unpersist()
+    # MLlib keeps its own binned copy of the rows while it boosts, so they are not persisted here.
+    trees = trainer.fit(rows)
     return TrainedModel(PipelineModel([*pipeline.stages, trees]), settings, tuple(predictors), target)
 
 
@@ -322,23 +331,24 @@ def train_gbt_incremental(
 
 def _train_stage(stage: DataFrame, model: TreeEnsemble, params: TrainingParams, rounds: int, seed: int) -> None:
     """Add up to ``rounds`` trees grown on one batch. A batch without rows adds none."""
-    earlier = model.add_to_margin(stage, F.lit(_start_margin(params))).select(FEATURES, LABEL, WEIGHT, MARGIN)
-    earlier = earlier.persist(StorageLevel.MEMORY_AND_DISK)
-    added = TreeEnsemble()
+    margins = model.margins(stage, _start_margin(params)).select(FEATURES, LABEL, WEIGHT, MARGIN)
+    margins = margins.persist(StorageLevel.MEMORY_AND_DISK)
+    size = margins.count()
     try:
-        for number in range(rounds):
-            current = added.add_to_margin(earlier, F.col(MARGIN))
+        current = margins
+        for number in range(rounds if size else 0):
+            drawn = current
             if params.subsample < 1.0:
-                current = current.sample(fraction=params.subsample, seed=seed + number)
-            gradients = _with_gradients(current, params)
-            if gradients.isEmpty():
-                continue
+                drawn = current.sample(fraction=params.subsample, seed=seed + number)
+                if size < SURELY_DRAWN and drawn.isEmpty():
+                    continue
+            gradients = _with_gradients(drawn, params)
             tree = _grow_tree(gradients, params, seed + number)
             values = _leaf_values(gradients, tree, params)
-            added.add(tree, values)
             model.add(tree, values)
+            current = _add_tree(current, tree, values)
     finally:
-        earlier.unpersist()
+        margins.unpersist()
 
 
 def _with_gradients(rows: DataFrame, params: TrainingParams) -> DataFrame:

@@ -26,7 +26,8 @@ def running_totals(
     """Add ``cum_x`` (inclusive running sum) and ``total_x`` for every ``x`` in ``sums``.
 
     Also adds ``next_y``, the value in the next row, for every ``y`` in
-    ``lead``. Values of ``order`` must be distinct within each group of ``by``.
+    ``lead``. Values of ``order`` must be distinct within each group of ``by``,
+    and ``bucket`` must not be null.
     """
 
     def along(name: str) -> Column:
@@ -35,6 +36,9 @@ def running_totals(
     # A struct never is null itself, so a plain join also matches groups whose key is null.
     group = ["_group"] if by else []
     keyed = rows.withColumn("_group", F.struct(*by)) if by else rows
+    # Without this Spark would filter nulls on one side of the join only, and
+    # then compute ``rows`` twice rather than reuse its shuffle.
+    keyed = keyed.withColumn(bucket, F.coalesce(bucket, F.lit(-1)))
     part = [*group, bucket]
 
     in_bucket = Window.partitionBy(*part).orderBy(along(order))

@@ -14,13 +14,18 @@ def scratch_root(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a session that
     runs inside one local process, as in tests, gets a folder of its own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(named)
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if context.getCheckpointDir():
+        return context.getCheckpointDir()
+    if not context.master.startswith("local"):
         raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
     folder = tempfile.mkdtemp(prefix="sparkexp-")
-    spark.sparkContext.setCheckpointDir(folder)
+    context.setCheckpointDir(folder)
     return folder
 
 
