@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
-from sparkexp.functions.columns import col
+from sparkexp.functions.columns import col, is_number
 
 FEATURES = "_sx_features"
 PREFIX = "_sx_"
@@ -29,7 +29,7 @@ def summarize(train: DataFrame, predictors: Sequence[str], target: str) -> Train
     """Count rows, classes, and the values present in each predictor, in one job."""
     label = col(target).cast("boolean")
     present = [
-        F.count_if(~F.isnan(col(name).cast("double")) & col(name).isNotNull()).alias(f"present_{i}")
+        F.count_if(is_number(col(name).cast("double"))).alias(f"present_{i}")
         for i, name in enumerate(predictors)
     ]
     row = train.agg(
@@ -84,7 +84,7 @@ def fit_features(train: DataFrame, predictors: Sequence[str], summary: TrainingS
 def impute_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``<column>_missing`` (0 or 1) and ``<column>_filled`` (median where missing) for each column."""
     summary = df.agg(
-        *[F.count(F.when(~F.isnan(col(c).cast("double")), 1)).alias(f"n{i}") for i, c in enumerate(columns)]
+        *[F.count_if(is_number(col(c).cast("double"))).alias(f"n{i}") for i, c in enumerate(columns)]
     ).first()
     empty = [c for i, c in enumerate(columns) if summary[f"n{i}"] == 0]
     if empty:
