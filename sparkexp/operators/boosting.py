@@ -44,8 +44,11 @@ MAX_TREES = 10_000
 
 # A random part of so many rows is not empty, so only smaller batches are looked at.
 SURELY_DRAWN = 100_000
+# Below this many rows a task costs more to start than it saves.
+ROWS_PER_TASK = 25_000
 
 LABEL, WEIGHT, MARGIN = f"{PREFIX}label", f"{PREFIX}weight", f"{PREFIX}margin"
+BATCH = "sx_batch"
 LEAVES, LEAF, RAW = f"{PREFIX}leaves", f"{PREFIX}leaf", f"{PREFIX}raw"
 
 
@@ -114,8 +117,8 @@ def _literal(values: Sequence[float]) -> str:
 
 
 def _sum_leaves(located: DataFrame, leaf_values: Sequence[Sequence[float]], start: float) -> DataFrame:
-    # One SQL text, because building thousands of literals one by one from Python is slow.
-    table = F.expr(f"array({', '.join(_literal(values) for values in leaf_values)})")
+    # Spark turns this text into one constant while planning. Thousands of single literals would be slow to plan.
+    table = F.from_json(F.lit(json.dumps(leaf_values)), "array<array<double>>")
     looked_up = F.zip_with(
         vector_to_array(LEAVES), table, lambda leaf, values: F.get(values, leaf.cast("int"))
     )
@@ -231,10 +234,10 @@ def _check_label(summary: TrainingSummary, target: str) -> None:
         warnings.warn("All training rows are of one class.", stacklevel=3)
 
 
-def _label_and_weight(target: str, params: TrainingParams) -> dict[str, Column]:
+def _label_and_weight(target: str, params: TrainingParams) -> list[Column]:
     positive = col(target).cast("boolean")
     weight = F.when(positive, F.lit(params.scale_pos_weight)).otherwise(F.lit(1.0))
-    return {LABEL: positive.cast("double"), WEIGHT: weight}
+    return [positive.cast("double").alias(LABEL), weight.alias(WEIGHT)]
 
 
 def train_gbt(
@@ -254,7 +257,8 @@ def train_gbt(
     summary = summarize(train, predictors, target)
     _check_label(summary, target)
     pipeline = fit_features(train, predictors, summary)
-    rows = pipeline.transform(train).withColumns(_label_and_weight(target, settings)).select(FEATURES, LABEL, WEIGHT)
+    used = train.select(*[col(name) for name in predictors], *_label_and_weight(target, settings))
+    rows = pipeline.transform(_spread(used, summary.rows)).select(FEATURES, LABEL, WEIGHT)
     kind = GBTClassifier if settings.objective == "logistic" else GBTRegressor
     trainer = kind(
         featuresCol=FEATURES,
@@ -294,7 +298,7 @@ def train_gbt_incremental(
 ) -> TrainedModel:
     """Train ``rounds`` trees on each batch in turn, each batch continuing from the trees before it.
 
-    The feature vectors are written once to the shared folder, one folder per
+    The predictors and the label are written once to the shared folder, one folder per
     batch, so that a batch later reads its own rows and no others. Every tree
     is grown by Spark tasks over the rows of the batch; the driver only keeps
     the trees. A batch may be as large as the whole table.
@@ -308,20 +312,18 @@ def train_gbt_incremental(
         raise ValueError(
             f"{batches} batches of {rounds} trees exceed {MAX_TREES} trees; use a larger batch_size."
         )
+    spark = train.sparkSession
     pipeline = fit_features(train, predictors, summary)
     batch = batch_of(list(key) if key else train.columns, batches, seed)
-    rows = (
-        train.withColumn("batch_id", batch)
-        .transform(pipeline.transform)
-        .withColumns(_label_and_weight(target, settings))
-        .select("batch_id", FEATURES, LABEL, WEIGHT)
-    )
-    staged, path = materialize(rows, "training", partition_by="batch_id")
-    spark = train.sparkSession
+    columns = [batch.alias(BATCH), *[col(name) for name in predictors], *_label_and_weight(target, settings)]
+    staged, path = materialize(train.select(*columns), "training", partition_by=BATCH)
     model = TreeEnsemble()
     try:
-        for number in range(batches):
-            _train_stage(staged.where(F.col("batch_id") == number), model, settings, rounds, seed + number * rounds)
+        # One row per batch, so bounded by MAX_TREES. A batch that got no rows is not among them.
+        sizes = {row[BATCH]: row["count"] for row in staged.groupBy(BATCH).count().collect()}
+        for number, size in sorted(sizes.items()):
+            stage = pipeline.transform(_spread(staged.where(F.col(BATCH) == number), size))
+            _train_stage(stage, size, model, settings, rounds, seed + number * rounds)
     finally:
         discard(spark, path)
     return TrainedModel(
@@ -329,14 +331,21 @@ def train_gbt_incremental(
     )
 
 
-def _train_stage(stage: DataFrame, model: TreeEnsemble, params: TrainingParams, rounds: int, seed: int) -> None:
-    """Add up to ``rounds`` trees grown on one batch. A batch without rows adds none."""
+def _spread(rows: DataFrame, size: int) -> DataFrame:
+    """Divide a small table among the cores; a large one already has enough partitions."""
+    wanted = min(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(size / ROWS_PER_TASK))
+    return rows.repartition(wanted) if rows.rdd.getNumPartitions() < wanted else rows
+
+
+def _train_stage(
+    stage: DataFrame, size: int, model: TreeEnsemble, params: TrainingParams, rounds: int, seed: int
+) -> None:
+    """Add up to ``rounds`` trees grown on one batch of ``size`` rows."""
     margins = model.margins(stage, _start_margin(params)).select(FEATURES, LABEL, WEIGHT, MARGIN)
     margins = margins.persist(StorageLevel.MEMORY_AND_DISK)
-    size = margins.count()
     try:
         current = margins
-        for number in range(rounds if size else 0):
+        for number in range(rounds):
             drawn = current
             if params.subsample < 1.0:
                 drawn = current.sample(fraction=params.subsample, seed=seed + number)

@@ -22,6 +22,8 @@ from sparkexp.operators.prefix import running_totals
 ROWS_PER_BUCKET = 500_000
 # Bounds the list of bucket edges on the driver. More rows make larger buckets, which spill.
 MAX_BUCKETS = 4096
+# Rows per bucket to look at when placing the edges.
+SEEN_PER_BUCKET = 1000
 
 # The distance from 1 to the next number, for the two score types.
 EPSILON_FLOAT = 2.0**-23
@@ -59,16 +61,22 @@ def score_groups(df: DataFrame, label: str, score: str = SCORE_COLUMN, by: Seque
 def bucket_edges(df: DataFrame, score: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
     """Edges that cut the scores into buckets of about equal size.
 
-    The edges only decide how the work is divided; results are the same for
-    any edges. Between two edges there are about ``rows_per_bucket`` rows, so
-    at most that many distinct scores, however often one score repeats.
+    The edges only decide how the work is divided, and results are exact for
+    any edges. So, like Spark's own range partitioning, this looks at a random
+    part of a large table to place them. Between two edges there are about
+    ``rows_per_bucket`` rows, so at most about as many distinct scores,
+    however often a single score repeats.
     """
-    wanted = min(MAX_BUCKETS, math.ceil(df.count() / rows_per_bucket))
+    rows = df.count()
+    wanted = min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket))
     inner: list[float] = [0.0]
     if wanted > 1:
-        finite = df.select(col(score).cast("double").alias("_score")).where(F.abs("_score") < float("inf"))
-        shares = [i / wanted for i in range(1, wanted)]
-        inner = sorted(set(finite.approxQuantile("_score", shares, 1 / (2 * wanted)))) or inner
+        seen = df.select(col(score).cast("double").alias("_score")).where(F.abs("_score") < float("inf"))
+        share = wanted * SEEN_PER_BUCKET / rows
+        if share < 1:
+            seen = seen.sample(fraction=share, seed=1)
+        places = [i / wanted for i in range(1, wanted)]
+        inner = sorted(set(seen.approxQuantile("_score", places, 1 / (2 * wanted)))) or inner
     return [-float("inf"), *inner, float("inf")]
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -20,6 +21,7 @@ from sparkexp.operators.metrics import (
     two_class_rows,
     with_buckets,
 )
+from sparkexp.plans.together import run_together
 from sparkexp.sources.scratch import discard, materialize
 from sparkexp.sources.tables import write_metrics
 
@@ -92,8 +94,9 @@ _CLASSES = ((False, "n"), (True, "p"))
 def write_evaluation(result: Evaluation, output: str) -> Evaluation:
     """Write the result tables below ``output`` and return them as read back."""
     spark = result.metrics.sparkSession
-    for name, table in result.tables().items():
-        write_metrics(table, f"{output}/{name}")
+    run_together(
+        *[partial(write_metrics, table, f"{output}/{name}") for name, table in result.tables().items()]
+    )
     return read_evaluation(spark, output)
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame
 
 from sparkexp.config import ColumnRoles, ExperimentPaths, new_run_id
-from sparkexp.operators.boosting import ROUNDS_PER_BATCH, load_model
+from sparkexp.operators.boosting import ROUNDS_PER_BATCH, train_gbt_incremental
 from sparkexp.operators.split import (
     PreparedExperiment,
     cast_target,
@@ -17,10 +18,15 @@ from sparkexp.operators.split import (
     split_conditions,
 )
 from sparkexp.plans.evaluation import Evaluation, consolidate_report, evaluate
-from sparkexp.plans.scoring import predict_splits, train_model
+from sparkexp.plans.scoring import predict_splits
+from sparkexp.plans.together import run_together
 from sparkexp.sources.tables import read_predictions, write_metrics
 
 
+# The parts that are scored and evaluated.
+EVALUATED = ("val", "test")
+
+
 @dataclass(frozen=True)
 class ExperimentResult:
     """Where the outcome of a run lies, and its result tables."""
@@ -67,39 +73,39 @@ def run_experiment(
         cap_test=cap_test,
     )
     write_metrics(prepared.spans, paths.report(run_id, "split_spans"))
-    model_path = train_model(
-        experiment_id=run_id,
-        train_data=prepared.train,
+    model = train_gbt_incremental(
+        prepared.train,
         predictors=roles.predictors,
-        target_column=roles.target,
+        target=roles.target,
         params=params,
-        paths=paths,
         batch_size=batch_size,
         rounds=rounds,
         key=roles.key or None,
         seed=seed,
     )
     conditions = split_conditions(data, roles.datetime, prepared.bounds, cap_test)
-    predictions = predict_splits(
-        experiment_id=run_id,
-        model=load_model(spark, model_path),
-        data=cast_target(data, roles.target),
-        conditions={name: conditions[name] for name in ("test", "val")},
-        sizes=prepared.sizes,
-        target_column=roles.target,
-        paths=paths,
-        batch_size=batch_size,
-        keep_columns=roles.keep,
-        key=roles.key or None,
-        seed=seed,
+    model_path, predictions = run_together(
+        lambda: model.save(paths.model(run_id)),
+        lambda: predict_splits(
+            experiment_id=run_id,
+            model=model,
+            data=cast_target(data, roles.target),
+            conditions={name: conditions[name] for name in EVALUATED},
+            sizes=prepared.sizes,
+            target_column=roles.target,
+            paths=paths,
+            batch_size=batch_size,
+            keep_columns=roles.keep,
+            key=roles.key or None,
+            seed=seed,
+        ),
     )
-    evaluations = {
-        prefix: evaluate(
-            read_predictions(spark, predictions[prefix]),
-            target_col=roles.target,
-            output=paths.report(run_id, prefix),
-        )
-        for prefix in ("val", "test")
-    }
+
+    def evaluate_part(prefix: str) -> Evaluation:
+        scored = read_predictions(spark, predictions[prefix])
+        return evaluate(scored, target_col=roles.target, output=paths.report(run_id, prefix))
+
+    found = run_together(*[partial(evaluate_part, prefix) for prefix in EVALUATED])
+    evaluations = dict(zip(EVALUATED, found))
     report_path = consolidate_report(spark, run_id, paths)
     return ExperimentResult(prepared, model_path, predictions, evaluations, report_path)

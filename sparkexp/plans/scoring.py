@@ -19,6 +19,10 @@ from sparkexp.operators.boosting import (
 from sparkexp.sources.tables import write_predictions
 
 
+# Columns added to the predictions.
+RESERVED = ("batch_id", "prefix", "experiment_id")
+
+
 def train_model(
     *,
     experiment_id: str,
@@ -48,6 +52,9 @@ def train_model(
 
 def kept_columns(data: DataFrame, target: str, keep: Sequence[str] | None) -> list[str]:
     """The columns to forward: all, or the ones asked for and always the target."""
+    taken = [name for name in RESERVED if name in data.columns]
+    if taken:
+        raise ValueError(f"Columns {taken} have names the predictions need themselves.")
     if keep is None:
         return data.columns
     absent = [name for name in keep if name not in data.columns]
@@ -88,6 +95,7 @@ def predict(
     key: Sequence[str] | None = None,
     seed: int = 42,
     score_column: str = SCORE_COLUMN,
+    batch_folders: bool | None = None,
 ) -> str:
     """Score ``data`` with a saved model and write the result; returns the folder."""
     check_data_arguments(data, predictors, target_column, batch_size)
@@ -106,7 +114,8 @@ def predict(
         seed=seed,
         score_column=score_column,
     )
-    return write_predictions(scored, paths.predictions(experiment_id, prefix), batches=batches)
+    path = paths.predictions(experiment_id, prefix)
+    return write_predictions(scored, path, batches=batches, batch_folders=batch_folders)
 
 
 def predict_splits(

@@ -43,16 +43,18 @@ def write_predictions(
     batches: int,
     by: Sequence[str] = (),
     batch_column: str = "batch_id",
+    batch_folders: bool | None = None,
 ) -> str:
     """Write scored rows, replacing everything an earlier run left under ``path``.
 
     The whole sub-path is overwritten rather than single partitions, so that a
-    rerun with fewer batches leaves no old batch behind. Up to
-    ``MAX_BATCH_FOLDERS`` batches get a folder each. Beyond that the rows are
-    written where they are, without a shuffle. Both read back as the same table.
+    rerun with fewer batches leaves no old batch behind. With ``batch_folders``
+    (by default up to ``MAX_BATCH_FOLDERS`` batches) each batch gets a folder,
+    which takes a shuffle. Otherwise the rows are written where they are. Both
+    read back as the same table.
     """
     folders = list(by)
-    if batches <= MAX_BATCH_FOLDERS:
+    if batches <= MAX_BATCH_FOLDERS if batch_folders is None else batch_folders:
         folders.append(batch_column)
         predictions = predictions.hint("rebalance", *folders)
     writer = predictions.write.mode("overwrite").option("partitionOverwriteMode", "static")

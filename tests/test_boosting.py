@@ -185,7 +185,7 @@ def test_logistic_leaf_values(spark):
 def test_every_row_is_trained_on_once(spark, separable, monkeypatch):
     seen = []
     monkeypatch.setattr(
-        boosting, "_train_stage", lambda stage, model, *rest: seen.extend(r[0] for r in stage.select("_sx_weight").collect())
+        boosting, "_train_stage", lambda stage, *rest: seen.extend(r[0] for r in stage.select("_sx_weight").collect())
     )
     monkeypatch.setattr(boosting.TreeEnsemble, "as_model", lambda self, spark: None)
     train_gbt_incremental(
