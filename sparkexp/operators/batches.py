@@ -33,8 +33,13 @@ def num_batches_table(df: DataFrame, batch_size: int) -> DataFrame:
 
 def batch_of(keys: Sequence[str], batches: int | Column, seed: int = 42) -> Column:
     """The batch of a row, from its key values and the seed alone."""
+    return batch_of_hash(key_hash(keys, seed), batches)
+
+
+def batch_of_hash(number: Column, batches: int | Column) -> Column:
+    """The batch of a row whose key hash is known."""
     count = batches if isinstance(batches, Column) else F.lit(batches).cast("long")
-    return F.pmod(key_hash(keys, seed), count)
+    return F.pmod(number, count)
 
 
 def assign_batches(

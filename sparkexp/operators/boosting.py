@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from sparkexp.config import SCORE_COLUMN, TrainingParams, map_params
-from sparkexp.functions.columns import col
-from sparkexp.operators.batches import batch_of, num_batches
+from sparkexp.functions.columns import col, key_hash
+from sparkexp.operators.batches import batch_of_hash, num_batches
 from sparkexp.operators.features import (
     FEATURES,
     PREFIX,
@@ -48,7 +48,7 @@ SURELY_DRAWN = 100_000
 ROWS_PER_TASK = 25_000
 
 LABEL, WEIGHT, MARGIN = f"{PREFIX}label", f"{PREFIX}weight", f"{PREFIX}margin"
-BATCH = "sx_batch"
+BATCH, HASH = "sx_batch", "sx_hash"
 LEAVES, LEAF, RAW = f"{PREFIX}leaves", f"{PREFIX}leaf", f"{PREFIX}raw"
 
 
@@ -314,16 +314,17 @@ def train_gbt_incremental(
         )
     spark = train.sparkSession
     pipeline = fit_features(train, predictors, summary)
-    batch = batch_of(list(key) if key else train.columns, batches, seed)
-    columns = [batch.alias(BATCH), *[col(name) for name in predictors], *_label_and_weight(target, settings)]
-    staged, path = materialize(train.select(*columns), "training", partition_by=BATCH)
+    number = key_hash(list(key) if key else train.columns, seed)
+    columns = [number.alias(HASH), *[col(name) for name in predictors], *_label_and_weight(target, settings)]
+    rows = train.select(*columns).withColumn(BATCH, batch_of_hash(F.col(HASH), batches))
+    staged, path = materialize(rows, "training", partition_by=BATCH)
     model = TreeEnsemble()
     try:
         # One row per batch, so bounded by MAX_TREES. A batch that got no rows is not among them.
         sizes = {row[BATCH]: row["count"] for row in staged.groupBy(BATCH).count().collect()}
-        for number, size in sorted(sizes.items()):
-            stage = pipeline.transform(_spread(staged.where(F.col(BATCH) == number), size))
-            _train_stage(stage, size, model, settings, rounds, seed + number * rounds)
+        for batch, size in sorted(sizes.items()):
+            stage = pipeline.transform(_spread(staged.where(F.col(BATCH) == batch), size))
+            _train_stage(stage, size, model, settings, rounds, seed + batch * rounds)
     finally:
         discard(spark, path)
     return TrainedModel(
@@ -341,14 +342,14 @@ def _train_stage(
     stage: DataFrame, size: int, model: TreeEnsemble, params: TrainingParams, rounds: int, seed: int
 ) -> None:
     """Add up to ``rounds`` trees grown on one batch of ``size`` rows."""
-    margins = model.margins(stage, _start_margin(params)).select(FEATURES, LABEL, WEIGHT, MARGIN)
+    margins = model.margins(stage, _start_margin(params)).select(FEATURES, LABEL, WEIGHT, MARGIN, HASH)
     margins = margins.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         current = margins
         for number in range(rounds):
             drawn = current
             if params.subsample < 1.0:
-                drawn = current.sample(fraction=params.subsample, seed=seed + number)
+                drawn = current.where(_is_drawn(params.subsample, seed + number))
                 if size < SURELY_DRAWN and drawn.isEmpty():
                     continue
             gradients = _with_gradients(drawn, params)
@@ -360,6 +361,13 @@ def _train_stage(
         margins.unpersist()
 
 
+def _is_drawn(share: float, seed: int) -> Column:
+    """Whether a row is in this tree's random part. It depends on the row's key alone, so that
+    every pass over the rows sees the same part, also after an executor is lost."""
+    million = 1_000_000
+    return F.pmod(F.xxhash64(HASH, F.lit(seed)), F.lit(million)) < share * million
+
+
 def _with_gradients(rows: DataFrame, params: TrainingParams) -> DataFrame:
     """Residual and curvature of the loss at the current margin."""
     if params.objective == "logistic":

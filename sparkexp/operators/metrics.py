@@ -32,7 +32,8 @@ EPSILON_DOUBLE = 2.0**-52
 BUCKET = "_bucket"
 
 
-def _epsilon(df: DataFrame, score: str) -> float:
+def score_epsilon(df: DataFrame, score: str) -> float:
+    """How far log loss keeps scores away from 0 and 1; it depends on their type."""
     return EPSILON_FLOAT if isinstance(df.schema[score].dataType, FloatType) else EPSILON_DOUBLE
 
 
@@ -101,11 +102,7 @@ def ranked_groups(
 ) -> DataFrame:
     """The score groups with running counts from the highest score down."""
     edges = bucket_edges(df, score, rows_per_bucket)
-    return rank_groups(with_buckets(score_groups(df, label, score, by), edges), by, lead)
-
-
-def rank_groups(bucketed: DataFrame, by: Sequence[str] = (), lead: Sequence[str] = ()) -> DataFrame:
-    """Running counts over groups that already have a bucket."""
+    bucketed = with_buckets(score_groups(df, label, score, by), edges)
     return running_totals(
         bucketed, bucket=BUCKET, order="score", sums=["p", "n", "bad"], by=by, descending=True, lead=lead
     )
@@ -123,7 +120,7 @@ def _log_loss_or_null(total: Column, positives: Column, negatives: Column, bad:
 
 def log_loss(df: DataFrame, label: str, score: str = SCORE_COLUMN, by: Sequence[str] = ()) -> DataFrame:
     """Log loss with natural logarithm, in one pass over the rows."""
-    epsilon = _epsilon(df, score)
+    epsilon = score_epsilon(df, score)
     usable = F.col("_label").isNotNull() & is_number(F.col("score"))
     safe = _clipped(F.col("score"), epsilon)
     loss = -F.when(F.col("_label"), F.ln(safe)).otherwise(F.ln(1 - safe))
@@ -180,7 +177,7 @@ def binary_metrics(
 ) -> DataFrame:
     """``logloss``, ``auc`` and ``auprc``, one row for each group of ``by``; a metric that is undefined is null."""
     ranked = ranked_groups(df, label, score, by, rows_per_bucket)
-    return metrics_from_ranked(ranked, _epsilon(df, score), by)
+    return metrics_from_ranked(ranked, score_epsilon(df, score), by)
 
 
 def roc_auc(df: DataFrame, label: str, score: str = SCORE_COLUMN, by: Sequence[str] = (), **options) -> DataFrame:

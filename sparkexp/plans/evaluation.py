@@ -12,14 +12,11 @@ from sparkexp.config import SCORE_COLUMN, ExperimentPaths
 from sparkexp.operators.histogram import BINS, weighted_histograms
 from sparkexp.operators.metrics import (
     ROWS_PER_BUCKET,
-    _epsilon,
-    bucket_edges,
     curve_from_ranked,
     metrics_from_ranked,
-    rank_groups,
-    score_groups,
+    ranked_groups,
+    score_epsilon,
     two_class_rows,
-    with_buckets,
 )
 from sparkexp.plans.together import run_together
 from sparkexp.sources.scratch import discard, materialize
@@ -58,27 +55,28 @@ def evaluate(
 ) -> Evaluation:
     """Metrics, ROC curve, class counts and score histograms of a table of predictions.
 
-    The predictions are read once, to count the classes at each distinct
-    score. That table is kept in the shared folder, and everything else comes
-    from it. With ``output``, the results are written below that path and the
-    intermediate table is removed.
+    The classes are counted and ranked at each distinct score, once, and that
+    table is kept in the shared folder. Everything else is a single pass over
+    it, without a further sort. With ``output``, the results are written below
+    that path and the intermediate table is removed.
     """
     spark = predictions.sparkSession
-    epsilon = _epsilon(predictions, score_col)
-    groups, path = materialize(score_groups(predictions, target_col, score_col), "scores")
-    totals = groups.agg(F.sum(F.col("p") + F.col("n")).alias("usable"), F.sum("bad").alias("bad")).first()
+    epsilon = score_epsilon(predictions, score_col)
+    ranked, path = materialize(
+        ranked_groups(predictions, target_col, score_col, rows_per_bucket=rows_per_bucket, lead=["p", "n"]), "ranked"
+    )
+    totals = ranked.agg(F.sum(F.col("p") + F.col("n")).alias("usable"), F.sum("bad").alias("bad")).first()
     if totals.usable is None:
         raise ValueError(EMPTY_PREDICTIONS)
     if totals.bad:
         raise ValueError(f"{totals.bad} rows have no label or no score.")
-    ranked = rank_groups(with_buckets(groups, bucket_edges(groups, "score", rows_per_bucket)), lead=["p", "n"])
-    by_class = groups.select(
+    by_class = ranked.select(
         "score", F.inline(F.array(*[F.struct(F.lit(t).alias("target"), F.col(c).alias("weight")) for t, c in _CLASSES]))
     ).where(F.col("weight") > 0)
     result = Evaluation(
         metrics=metrics_from_ranked(ranked, epsilon),
         roc_curve=curve_from_ranked(ranked),
-        target_counts=two_class_rows(groups.agg(F.sum("n").alias("negatives"), F.sum("p").alias("positives"))),
+        target_counts=two_class_rows(ranked.agg(F.sum("n").alias("negatives"), F.sum("p").alias("positives"))),
         score_histogram=weighted_histograms(by_class, bins),
     )
     if output is None:

@@ -234,3 +234,19 @@ def test_training_data_that_cannot_be_used(spark, small):
         train_gbt_incremental(small, batch_size=1, rounds=5000, **options)
     with pytest.warns(UserWarning, match="one class"):
         train_gbt_incremental(small.where("NOT target"), batch_size=10, rounds=1, key=["id"], **options)
+
+
+def test_training_is_repeatable_however_the_rows_are_laid_out(separable):
+    scores = []
+    for rows in (separable.repartition(5), separable.coalesce(1)):
+        model = train_gbt_incremental(
+            rows,
+            predictors=["l_quantity", "l_discount"],
+            target="target",
+            params={"max_depth": 2, "eta": 0.5, "subsample": 0.5},
+            batch_size=3001,
+            rounds=2,
+            key=["id"],
+        )
+        scores.append(sorted((r.id, round(r.final_score, 9)) for r in model.score(separable).collect()))
+    assert scores[0] == scores[1]
