@@ -42,8 +42,6 @@ ROUNDS_PER_BATCH = 10
 # Beyond this many trees the model would no longer be a small object on the driver.
 MAX_TREES = 10_000
 
-# A random part of so many rows is not empty, so only smaller batches are looked at.
-SURELY_DRAWN = 100_000
 # Below this many rows a task costs more to start than it saves.
 ROWS_PER_TASK = 25_000
 
@@ -112,15 +110,17 @@ def _find_leaves(model: GBTRegressionModel) -> GBTRegressionModel:
     return model.setFeaturesCol(FEATURES).setLeafCol(LEAVES).setPredictionCol("")
 
 
-def _literal(values: Sequence[float]) -> str:
-    return f"array({', '.join(f'{value!r}D' for value in values)})"
+def _constant(values: Sequence, kind: str) -> Column:
+    """An array constant. Spark folds it into one literal while planning, so the compiled
+    code does not depend on the values and is reused from tree to tree."""
+    return F.from_json(F.lit(json.dumps(values)), kind)
 
 
 def _sum_leaves(located: DataFrame, leaf_values: Sequence[Sequence[float]], start: float) -> DataFrame:
-    # Spark turns this text into one constant while planning. Thousands of single literals would be slow to plan.
-    table = F.from_json(F.lit(json.dumps(leaf_values)), "array<array<double>>")
     looked_up = F.zip_with(
-        vector_to_array(LEAVES), table, lambda leaf, values: F.get(values, leaf.cast("int"))
+        vector_to_array(LEAVES),
+        _constant(leaf_values, "array<array<double>>"),
+        lambda leaf, values: F.get(values, leaf.cast("int")),
     )
     total = F.aggregate(looked_up, F.lit(start), lambda sum_so_far, value: sum_so_far + value)
     return located.withColumn(MARGIN, total).drop(LEAVES)
@@ -128,7 +128,7 @@ def _sum_leaves(located: DataFrame, leaf_values: Sequence[Sequence[float]], star
 
 def _add_tree(rows: DataFrame, tree: DecisionTreeRegressionModel, values: Sequence[float]) -> DataFrame:
     """The margins after one more tree."""
-    step = F.get(F.expr(_literal(values)), F.col(LEAF).cast("int"))
+    step = F.get(_constant(values, "array<double>"), F.col(LEAF).cast("int"))
     return tree.transform(rows).withColumn(MARGIN, F.col(MARGIN) + step).drop(LEAF)
 
 
@@ -324,9 +324,11 @@ def train_gbt_incremental(
         sizes = {row[BATCH]: row["count"] for row in staged.groupBy(BATCH).count().collect()}
         for batch, size in sorted(sizes.items()):
             stage = pipeline.transform(_spread(staged.where(F.col(BATCH) == batch), size))
-            _train_stage(stage, size, model, settings, rounds, seed + batch * rounds)
+            _train_stage(stage, model, settings, rounds, seed + batch * rounds)
     finally:
         discard(spark, path)
+    if not model.trees:
+        raise ValueError("No tree was trained: 'subsample' drew no row of any batch.")
     return TrainedModel(
         pipeline, settings, tuple(predictors), target, model.as_model(spark), model.leaf_values
     )
@@ -338,10 +340,8 @@ def _spread(rows: DataFrame, size: int) -> DataFrame:
     return rows.repartition(wanted) if rows.rdd.getNumPartitions() < wanted else rows
 
 
-def _train_stage(
-    stage: DataFrame, size: int, model: TreeEnsemble, params: TrainingParams, rounds: int, seed: int
-) -> None:
-    """Add up to ``rounds`` trees grown on one batch of ``size`` rows."""
+def _train_stage(stage: DataFrame, model: TreeEnsemble, params: TrainingParams, rounds: int, seed: int) -> None:
+    """Add up to ``rounds`` trees grown on one batch."""
     margins = model.margins(stage, _start_margin(params)).select(FEATURES, LABEL, WEIGHT, MARGIN, HASH)
     margins = margins.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -350,7 +350,7 @@ def _train_stage(
             drawn = current
             if params.subsample < 1.0:
                 drawn = current.where(_is_drawn(params.subsample, seed + number))
-                if size < SURELY_DRAWN and drawn.isEmpty():
+                if drawn.isEmpty():
                     continue
             gradients = _with_gradients(drawn, params)
             tree = _grow_tree(gradients, params, seed + number)
@@ -365,7 +365,7 @@ def _is_drawn(share: float, seed: int) -> Column:
     """Whether a row is in this tree's random part. It depends on the row's key alone, so that
     every pass over the rows sees the same part, also after an executor is lost."""
     million = 1_000_000
-    return F.pmod(F.xxhash64(HASH, F.lit(seed)), F.lit(million)) < share * million
+    return F.pmod(F.xxhash64(HASH, F.lit(str(seed))), F.lit(million)) < share * million
 
 
 def _with_gradients(rows: DataFrame, params: TrainingParams) -> DataFrame:

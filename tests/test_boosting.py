@@ -184,9 +184,12 @@ def test_logistic_leaf_values(spark):
 
 def test_every_row_is_trained_on_once(spark, separable, monkeypatch):
     seen = []
-    monkeypatch.setattr(
-        boosting, "_train_stage", lambda stage, *rest: seen.extend(r[0] for r in stage.select("_sx_weight").collect())
-    )
+
+    def record(stage, model, *rest):
+        seen.extend(row[0] for row in stage.select("_sx_weight").collect())
+        model.trees.append(None)
+
+    monkeypatch.setattr(boosting, "_train_stage", record)
     monkeypatch.setattr(boosting.TreeEnsemble, "as_model", lambda self, spark: None)
     train_gbt_incremental(
         separable,
@@ -250,3 +253,10 @@ def test_training_is_repeatable_however_the_rows_are_laid_out(separable):
         )
         scores.append(sorted((r.id, round(r.final_score, 9)) for r in model.score(separable).collect()))
     assert scores[0] == scores[1]
+
+
+def test_a_part_without_rows_trains_no_tree(small):
+    with pytest.raises(ValueError, match="No tree was trained"):
+        train_gbt_incremental(
+            small, predictors=["feature1"], target="target", params={"subsample": 1e-9}, batch_size=5, rounds=1, key=["id"]
+        )
