@@ -66,10 +66,9 @@ def evaluate(
         ranked_groups(predictions, target_col, score_col, rows_per_bucket=rows_per_bucket, lead=["p", "n"]), "ranked"
     )
     totals = ranked.agg(F.sum(F.col("p") + F.col("n")).alias("usable"), F.sum("bad").alias("bad")).first()
-    if totals.usable is None:
-        raise ValueError(EMPTY_PREDICTIONS)
-    if totals.bad:
-        raise ValueError(f"{totals.bad} rows have no label or no score.")
+    if totals.usable is None or totals.bad:
+        discard(spark, path)
+        raise ValueError(f"{totals.bad} rows have no label or no score." if totals.bad else EMPTY_PREDICTIONS)
     by_class = ranked.select(
         "score", F.inline(F.array(*[F.struct(F.lit(t).alias("target"), F.col(c).alias("weight")) for t, c in _CLASSES]))
     ).where(F.col("weight") > 0)
