@@ -8,15 +8,17 @@ repeat them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkexp.config import ColumnRoles, ExperimentPaths
 from sparkexp.functions.columns import as_boolean, key_hash, weeks_before
 from sparkexp.operators import batches, boosting, features, histogram, metrics, split
-from sparkexp.plans.evaluation import evaluate, report_table
+from sparkexp.plans.evaluation import Evaluation, evaluate, report_table
 from sparkexp.plans.experiment import run_experiment
 from sparkexp.plans.scoring import predict, score_table
+from sparkexp.plans.together import run_together
 from sparkexp.sources.scratch import materialize, scratch_path
 from sparkexp.sources.synthetic import with_synthetic_columns
 from sparkexp.sources.tables import (
@@ -30,7 +32,7 @@ from sparkexp.sources.tables import (
 BATCH_SIZE = 1000
 # Small enough that the running totals cross many buckets already on the test tables.
 SMALL_BUCKETS = 4000
-LINEITEM_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+LINEITEM_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 LINEITEM_PREDICTORS = ("l_quantity", "l_discount", "l_tax")
 TREE_PARAMS = {"max_depth": 3, "eta": 0.5, "subsample": 0.8, "lambda": 1, "objective": "reg:squarederror"}
 
@@ -393,14 +395,13 @@ def q_predict_saved_model(spark, sf_dir):
 def _order_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = _scored_orders(spark, sf_dir)
     bounds = _order_bounds(scored)
-    evaluations = {
-        prefix: evaluate(
-            split.split_part(scored, "o_orderdate", bounds, prefix),
-            target_col="target",
-            output=scratch_path(spark, f"report-{prefix}"),
-        )
-        for prefix in ("val", "test")
-    }
+
+    def evaluate_part(prefix: str) -> Evaluation:
+        part = split.split_part(scored, "o_orderdate", bounds, prefix)
+        return evaluate(part, target_col="target", output=scratch_path(spark, f"report-{prefix}"))
+
+    prefixes = ("val", "test")
+    evaluations = dict(zip(prefixes, run_together(*[partial(evaluate_part, prefix) for prefix in prefixes])))
     return report_table("orders", split.split_spans(scored, "o_orderdate", bounds), evaluations)
 
 

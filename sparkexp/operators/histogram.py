@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from sparkexp.config import SCORE_COLUMN
-from sparkexp.functions.columns import col, is_number
+from sparkexp.functions.columns import col
 
 BINS = 50
 
@@ -25,6 +26,8 @@ class BinRange:
         """The range from the smallest to the largest value; no values give [0, 1], one value a width of 1."""
         if low is None or high is None:
             return cls(0.0, 1.0, bins)
+        if not (math.isfinite(low) and math.isfinite(high)):
+            raise ValueError("A histogram needs finite scores.")
         if low == high:
             return cls(low - 0.5, high + 0.5, bins)
         return cls(float(low), float(high), bins)
@@ -57,24 +60,34 @@ def class_histograms(
     rows = df.select(
         col(label).cast("boolean").alias("target"), col(score).cast("double").alias("score"), F.lit(1).alias("weight")
     ).where(F.col("target").isNotNull())
-    return weighted_histograms(rows, bins)
-
-
-def weighted_histograms(rows: DataFrame, bins: int = BINS) -> DataFrame:
-    """The same from rows ``target, score, weight``, where a row may stand for several."""
-    positive, value = F.col("target"), F.col("score")
-    found = rows.agg(
-        *[
-            f(F.when(side, value)).alias(name)
-            for side, names in ((~positive, ("low_neg", "high_neg")), (positive, ("low_pos", "high_pos")))
-            for f, name in zip((F.min, F.max), names)
-        ],
-        F.count_if(~is_number(value) | (F.abs(value) == float("inf"))).alias("unusable"),
-    ).first()
-    if found.unusable:
+    negative, positive, value = ~F.col("target"), F.col("target"), F.col("score")
+    found = rows.agg(*range_columns(negative, positive, value), F.count_if(value.isNull()).alias("missing")).first()
+    if found.missing:
         raise ValueError("A histogram needs finite scores.")
-    negatives = BinRange.around(found.low_neg, found.high_neg, bins)
-    positives = BinRange.around(found.low_pos, found.high_pos, bins)
+    return weighted_histograms(rows, *class_ranges(found, bins))
+
+
+def range_columns(negative: Column, positive: Column, value: Column) -> list[Column]:
+    """Aggregates for the smallest and largest value of each class."""
+    return [
+        F.min(F.when(negative, value)).alias("low_neg"),
+        F.max(F.when(negative, value)).alias("high_neg"),
+        F.min(F.when(positive, value)).alias("low_pos"),
+        F.max(F.when(positive, value)).alias("high_pos"),
+    ]
+
+
+def class_ranges(found: Row, bins: int = BINS) -> tuple[BinRange, BinRange]:
+    """The histogram ranges of both classes, from one row of :func:`range_columns`."""
+    return (
+        BinRange.around(found.low_neg, found.high_neg, bins),
+        BinRange.around(found.low_pos, found.high_pos, bins),
+    )
+
+
+def weighted_histograms(rows: DataFrame, negatives: BinRange, positives: BinRange) -> DataFrame:
+    """Both histograms from rows ``target, score, weight``, where a row may stand for several."""
+    positive, value, bins = F.col("target"), F.col("score"), negatives.bins
     counted = rows.select(
         "target",
         F.when(positive, positives.bin_of(value)).otherwise(negatives.bin_of(value)).alias("bin"),

@@ -9,7 +9,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkexp.config import SCORE_COLUMN, ExperimentPaths
-from sparkexp.operators.histogram import BINS, weighted_histograms
+from sparkexp.operators.histogram import BINS, class_ranges, range_columns, weighted_histograms
 from sparkexp.operators.metrics import (
     ROWS_PER_BUCKET,
     curve_from_ranked,
@@ -65,8 +65,10 @@ def evaluate(
     ranked, path = materialize(
         ranked_groups(predictions, target_col, score_col, rows_per_bucket=rows_per_bucket, lead=["p", "n"]), "ranked"
     )
-    totals = ranked.agg(F.sum(F.col("p") + F.col("n")).alias("usable"), F.sum("bad").alias("bad")).first()
-    if totals.usable is None or totals.bad:
+    totals = ranked.agg(
+        F.sum("bad").alias("bad"), *range_columns(F.col("n") > 0, F.col("p") > 0, F.col("score"))
+    ).first()
+    if totals.bad is None or totals.bad > 0:
         discard(spark, path)
         raise ValueError(f"{totals.bad} rows have no label or no score." if totals.bad else EMPTY_PREDICTIONS)
     by_class = ranked.select(
@@ -76,7 +78,7 @@ def evaluate(
         metrics=metrics_from_ranked(ranked, epsilon),
         roc_curve=curve_from_ranked(ranked),
         target_counts=two_class_rows(ranked.agg(F.sum("n").alias("negatives"), F.sum("p").alias("positives"))),
-        score_histogram=weighted_histograms(by_class, bins),
+        score_histogram=weighted_histograms(by_class, *class_ranges(totals, bins)),
     )
     if output is None:
         return result
