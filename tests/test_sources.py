@@ -44,7 +44,7 @@ def test_synthetic_table_follows_its_rules(spark):
 
 
 def test_synthetic_split_sizes(spark):
-    """The sizes of the parts in the reference workload, by arithmetic on the dates."""
+    """The sizes of the parts with the default table, by arithmetic on the dates."""
     from sparkexp.operators.split import bounds_from_dates, split_counts
 
     counts = split_counts(synthetic_labeled(spark), "datetimeCol", bounds_from_dates("2023-01-01", "2023-12-31", 4, 8))
@@ -117,3 +117,17 @@ def test_parameters():
         map_params({"frobnicate": 1})
     with pytest.raises(ValueError, match="Objective"):
         map_params({"objective": "rank:pairwise"})
+
+
+def test_a_key_on_a_third_of_all_rows_loses_no_row(spark, tmp_path):
+    """Equal keys share a batch, so one batch is large; the table, its ledger and its folders stay whole."""
+    from sparkexp.operators.batches import batch_ledger
+
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("key"), "id", (F.col("id") % 7 == 0).alias("y")
+    )
+    batched = assign_batches(rows, "key", batch_size=100)
+    ledger = batch_ledger(batched, "y").agg(F.sum("row_count"), F.max("row_count"), F.max("running_rows")).first()
+    assert ledger[0] == ledger[2] == 3000 and ledger[1] > 1000
+    tables.write_predictions(batched, str(tmp_path / "scored"), batches=30)
+    assertDataFrameEqual(tables.read_predictions(spark, str(tmp_path / "scored")).select("id", "y"), rows.select("id", "y"))
