@@ -64,3 +64,8 @@ def key_hash(keys: Sequence[str], seed: int) -> Column:
 def is_number(column: Column) -> Column:
     """True where a floating-point column holds neither null nor NaN."""
     return column.isNotNull() & ~F.isnan(column)
+
+
+def is_finite(column: Column) -> Column:
+    """True where a floating-point column holds neither null, NaN nor an infinity; never null itself."""
+    return F.coalesce(F.abs(column) < F.lit(float("inf")), F.lit(False))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import FloatType
 
 from sparkexp.config import SCORE_COLUMN
-from sparkexp.functions.columns import col, is_number
+from sparkexp.functions.columns import col, is_finite
 from sparkexp.operators.prefix import running_totals
 
 # How many distinct scores one bucket of the running totals should hold at most.
@@ -46,8 +46,8 @@ def _labelled(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataF
 
 
 def score_groups(df: DataFrame, label: str, score: str = SCORE_COLUMN, by: Sequence[str] = ()) -> DataFrame:
-    """Positives ``p`` and negatives ``n`` of each distinct score, and ``bad`` rows without label or score."""
-    usable = F.col("_label").isNotNull() & is_number(F.col("score"))
+    """Positives ``p`` and negatives ``n`` of each distinct score, and ``bad`` rows without label or finite score."""
+    usable = F.col("_label").isNotNull() & is_finite(F.col("score"))
     return (
         _labelled(df, label, score, by)
         .groupBy(*by, "score")
@@ -72,7 +72,7 @@ def bucket_edges(df: DataFrame, score: str, rows_per_bucket: int = ROWS_PER_BUCK
     wanted = min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket))
     inner: list[float] = [0.0]
     if wanted > 1:
-        seen = df.select(col(score).cast("double").alias("_score")).where(F.abs("_score") < float("inf"))
+        seen = df.select(col(score).cast("double").alias("_score")).where(is_finite(F.col("_score")))
         share = wanted * SEEN_PER_BUCKET / rows
         if share < 1:
             seen = seen.sample(fraction=share, seed=1)
@@ -82,8 +82,8 @@ def bucket_edges(df: DataFrame, score: str, rows_per_bucket: int = ROWS_PER_BUCK
 
 
 def with_buckets(groups: DataFrame, edges: Sequence[float]) -> DataFrame:
-    """Number the groups by score bucket; groups without a score get the lowest number."""
-    usable = is_number(F.col("score"))
+    """Number the groups by score bucket; groups without a finite score get the lowest number."""
+    usable = is_finite(F.col("score"))
     placed = Bucketizer(splits=list(edges), inputCol="_safe", outputCol="_placed", handleInvalid="keep").transform(
         groups.withColumn("_safe", F.when(usable, F.col("score")).otherwise(F.lit(0.0)))
     )
@@ -121,7 +121,7 @@ def _log_loss_or_null(total: Column, positives: Column, negatives: Column, bad:
 def log_loss(df: DataFrame, label: str, score: str = SCORE_COLUMN, by: Sequence[str] = ()) -> DataFrame:
     """Log loss with natural logarithm, in one pass over the rows."""
     epsilon = score_epsilon(df, score)
-    usable = F.col("_label").isNotNull() & is_number(F.col("score"))
+    usable = F.col("_label").isNotNull() & is_finite(F.col("score"))
     safe = _clipped(F.col("score"), epsilon)
     loss = -F.when(F.col("_label"), F.ln(safe)).otherwise(F.ln(1 - safe))
     return (

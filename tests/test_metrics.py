@@ -103,6 +103,8 @@ def test_monotone_change_of_scores_keeps_the_ranking_metrics(spark):
         ([(True, 1.5), (False, 0.5)], (None, 1.0, 1.0)),
         ([(True, None), (False, 0.5), (True, 0.4)], (None, None, None)),
         ([(True, float("nan")), (False, 0.5), (True, 0.4)], (None, None, None)),
+        ([(True, float("inf")), (False, 0.5), (True, 0.4)], (None, None, None)),
+        ([(True, 0.4), (False, 0.5), (True, float("-inf"))], (None, None, None)),
         ([(None, 0.1), (False, 0.5), (True, 0.4)], (None, None, None)),
         ([], (None, None, None)),
     ],
