@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import partial
+from importlib.util import find_spec
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -442,9 +443,26 @@ def q_run_experiment_summary(spark, sf_dir):
     )
 
 
+def _text_queries() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the optional subpackage for training text and of its pipeline, where they are present."""
+    if not find_spec("sparkexp.llm"):
+        return {}, {}
+    from sparkexp.llm import queries as text_queries
+
+    found, sql = dict(text_queries.queries()), dict(text_queries.oracle_sql())
+    if find_spec("corpus_pipeline"):
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query by name."""
-    return {name[2:]: function for name, function in globals().items() if name.startswith("q_")}
+    own = {name[2:]: function for name, function in globals().items() if name.startswith("q_")}
+    return {**own, **_text_queries()[0]}
 
 
 # ---------------------------------------------------------------- the same in SQL
@@ -679,4 +697,5 @@ def oracle_sql() -> dict[str, str]:
             count(*) FILTER (WHERE {line_label}) AS positives, CAST(sum(l_orderkey) AS BIGINT) AS key_sum,
             CAST(0 AS BIGINT) AS null_scores, true AS beats_chance
             FROM lineitem, {line_days} b WHERE {_split_case('l_shipdate')} IN ('val', 'test') GROUP BY 1""",
+        **_text_queries()[1],
     }
