@@ -4,15 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkexp.llm import decontaminate, language_id, secret_scan
+from sparkexp.llm import decontaminate, html_text, language_id, packing, quality, secret_scan, sharding, token_records
+from sparkexp.sources.scratch import scratch_path
+
+VOCABULARY = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return sharding.digest(sharding.shuffle_into_shards(docs))
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages", "page_id", "url", "html"), keep=["page_id", "url"])
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = _table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    trusted = labels.where((F.col("quality") == 1) & (F.col("toxic") == 0)).select("doc_id")
+    ratio = quality.log_ratio(*quality.count_grams(docs, trusted, "doc_id", "text"))
+    return quality.judge(docs, ratio, keep=["doc_id"]).drop("llr")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.digest(packing.pack(docs, public_tokenizers.path(VOCABULARY)))
+
+
+def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    folder = scratch_path(spark, "records")
+    index = token_records.write_records(docs, folder, public_tokenizers.path(VOCABULARY))
+    files = token_records.number_of_files(spark, index)
+    return token_records.digest(token_records.read_records(index, folder, files), index)
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     items = _table(spark, sf_dir, "benchmark", "item_id", "text")
