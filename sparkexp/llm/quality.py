@@ -29,7 +29,7 @@ from sparkexp.llm.rows import ROWS_AT_ONCE, add_columns, position_of
 
 GRAMS = 16_384
 TRUSTED_DOCUMENTS = 100_000
-THRESHOLD = -0.25
+THRESHOLD = -0.2
 SMOOTHING = 1.0
 MIN_WORDS = 50
 # Words whose hash a worker remembers.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkexp.llm import decontaminate, html_text, language_id, packing, quality, secret_scan, sharding, token_records
+from sparkexp.llm import decontaminate, html_text, language_id, ngram_join, packing, quality, secret_scan, sharding, token_records
 from sparkexp.sources.scratch import scratch_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return sharding.digest(sharding.shuffle_into_shards(docs))
@@ -71,12 +75,49 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _WORDS = r"[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+"
+_SOLID = r"[^\x{20}\x{09}-\x{0D}]+"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
     return {
+        "op1_ngram_join": f"""
+            WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+                                        regexp_extract_all(lower(coalesce(text, '')), '{_WORDS}') AS w FROM documents),
+            s AS (SELECT DISTINCT r, g FROM (SELECT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                      ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS g FROM d)),
+            n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+            p AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r),
+            l AS (SELECT x, y FROM p JOIN n n1 ON n1.r = x JOIN n n2 ON n2.r = y WHERE 10 * c >= 8 * (n1.n + n2.n - c)),
+            reach AS (SELECT r AS x, r AS y FROM d UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x),
+            c AS (SELECT x AS r, min(doc_id) AS class_id FROM reach JOIN d ON d.r = y GROUP BY x),
+            k AS (SELECT x AS r, count(*) AS n_links FROM l GROUP BY x)
+            SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links FROM d JOIN c USING (r) LEFT JOIN k USING (r)""",
+        "op5_quality_rules": f"""
+            WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+                              regexp_extract_all(coalesce(text, ''), '{_SOLID}') AS w FROM documents),
+            h AS (SELECT r, list_transform(w, lambda x: CAST('0x' || substr(md5(x), 1, 15) AS BIGINT)) AS h FROM d),
+            b AS (SELECT r, unnest(list_concat(list_transform(h, lambda x: x % 16384),
+                      list_transform(range(1, len(h)), lambda i: (h[i] % 65521 * 31 + h[i + 1] % 65521) % 16384))) AS g FROM h),
+            good AS (SELECT DISTINCT r FROM d WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND toxic = 0)),
+            counts AS (SELECT g, count(*) AS n, count(good.r) AS m FROM b LEFT JOIN good USING (r) GROUP BY g),
+            buckets AS (SELECT range AS g, coalesce(n, 0) + 1.0::DOUBLE AS n, coalesce(m, 0) + 1.0::DOUBLE AS m
+                        FROM range(16384) LEFT JOIN counts ON g = range),
+            ratio AS (SELECT g, ln(m / sum(m) OVER ()) - ln(n / sum(n) OVER ()) AS x FROM buckets),
+            score AS (SELECT r, avg(x) AS llr FROM b JOIN ratio USING (g) GROUP BY r),
+            lines AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+                      WHERE regexp_matches(line, '{_SOLID}') GROUP BY r),
+            g3 AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM (
+                      SELECT r, i, array_to_string(w[i : i + 2], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d))),
+            again AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest(range(i, i + 3)) AS k FROM g3 WHERE n > 1) GROUP BY r),
+            base AS (SELECT d.r, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+                            CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+                            CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(again.n, 0) AS BIGINT) AS n_repeat_words
+                     FROM d LEFT JOIN lines USING (r) LEFT JOIN again USING (r)),
+            failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+            SELECT failed.* EXCLUDE (r), NOT base_failed AND coalesce(llr, 0) >= {quality.THRESHOLD} AS kept
+            FROM failed LEFT JOIN score USING (r)""",
         "op8_decontaminate": f"""
             WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce({_LOWER}, ''), '{_WORDS}') AS w
                        FROM documents),
