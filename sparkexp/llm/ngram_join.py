@@ -284,12 +284,8 @@ def _verified_links(table: pa.Table) -> pa.Table:
     return pa.table([one, count, to], schema=_LINKS_ARROW)
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each document: ``doc_id``, ``class_id``, ``n_links``.
-
-    ``class_id`` is the smallest id among all documents that links connect;
-    ``n_links`` is the number of other documents with a similarity of 0.8 or more.
-    """
+def _grouped(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The class of each document, and for each class: id and links, its smallest document id, and whether its group keeps it."""
     spark = docs.sparkSession
     made: list[str] = []
 
@@ -347,22 +343,61 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     found = classes.select("class", "n_docs", "first_id").join(counts, "class", "left")
     found = found.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     # Only classes with links share a root; the rest need no shuffle for their smallest id.
-    named = found.groupBy("root").agg(F.min("first_id").alias("class_id"))
+    least = F.min(F.struct(F.col("first_id").isNull().alias("unnamed"), "first_id", "class")).alias("least")
+    named = found.groupBy("root").agg(least)
     answer = written(
         found.join(named, "root").select(
-            "class", "class_id", (F.col("n_docs") - 1 + F.coalesce("linked_docs", F.lit(0))).alias("n_links")
+            "class",
+            F.col("least.first_id").alias("class_id"),
+            (F.col("n_docs") - 1 + F.coalesce("linked_docs", F.lit(0))).alias("n_links"),
+            "first_id",
+            (F.col("class") == F.col("least.class")).alias("keeps"),
         ),
         "answer",
     )
-    worded = prepared.where(F.col("class").isNotNull()).select("doc_id", "class").join(answer, "class")
-    wordless = prepared.where(F.col("class").isNull())
-    result = worded.select("doc_id", "class_id", "n_links").unionByName(
-        wordless.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    )
     for path in made:
         if not any(part in path for part in ("prepared-", "answer-")):
             discard(spark, path)
-    return result
+    return prepared.select("doc_id", "class"), answer
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each document: ``doc_id``, ``class_id``, ``n_links``.
+
+    ``class_id`` is the smallest id among all documents that links connect;
+    ``n_links`` is the number of other documents with a similarity of 0.8 or more.
+    """
+    prepared, answer = _grouped(docs, doc_id, text)
+    worded = prepared.where(F.col("class").isNotNull()).join(answer.select("class", "class_id", "n_links"), "class")
+    wordless = prepared.where(F.col("class").isNull())
+    return worded.select("doc_id", "class_id", "n_links").unionByName(
+        wordless.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    )
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents, with one of each group of near-duplicates: that with the smallest id.
+
+    Texts without words are no duplicates of each other and all stay. Of rows
+    with the kept id and the same shingles one stays. The rows are shuffled once.
+    """
+    _, answer = _grouped(docs, doc_id, text)
+    name = F.col(f"`{doc_id}`")
+    known = add_columns(docs, [text], [StructField("_class", BinaryType())], lambda: lambda c: [[class_of(t) for t in c[0]]])
+    # Null ids as values, so that all three parts of the key are plain columns.
+    keyed = known.withColumns({"_null": name.isNull(), "_id": F.coalesce(name.cast("long"), F.lit(0))})
+    kept = answer.where("keeps").select(
+        F.col("class").alias("_class"), F.col("first_id").isNull().alias("_null"), F.coalesce("first_id", F.lit(0)).alias("_id")
+    )
+    key = ["_class", "_null", "_id"]
+    worded = keyed.where(F.col("_class").isNotNull()).join(kept, key, "left_semi").dropDuplicates(key)
+    return worded.unionByName(keyed.where(F.col("_class").isNull())).select(*[f"`{c}`" for c in docs.columns])
+
+
+def class_of(text: str | None) -> bytes | None:
+    """The class of a text: a 128-bit hash of its shingle set; null without words."""
+    found = shingles(text)
+    return xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None
 
 
 def _shingle_columns():

@@ -1,0 +1,35 @@
+"""Small tables with every odd case."""
+
+from __future__ import annotations
+
+import random
+
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+DOCS = StructType(
+    [
+        StructField("doc_id", LongType()),
+        StructField("text", StringType()),
+        StructField("lang", StringType()),
+        StructField("source", StringType()),
+        StructField("n_chars", LongType()),
+    ]
+)
+SYLLABLES = "ba ke li mo nu ra se ti vo xu ya zo".split()
+
+
+def words(rng: random.Random, count: int) -> list[str]:
+    return ["".join(rng.choice(SYLLABLES) for _ in range(rng.randint(1, 4))) for _ in range(count)]
+
+
+def messy_rows() -> list[tuple]:
+    """Nulls, empty and long texts, repeated rows and ids, near copies, odd white space."""
+    rng = random.Random(5)
+    plain = [" ".join(words(rng, rng.randint(20, 120))) for _ in range(12)]
+    near = plain[0].split()
+    near[3] = "changed"
+    texts = [*plain, " ".join(near), plain[1], plain[1].upper(), None, "", " \n\t ", "one", "a b", "12 34 .. !!"]
+    texts += ["  two  spaces\n\nand\tmore   é x\n", "<|endoftext|> it's they'll 12345 !!! ", " ".join(words(rng, 30_000))]
+    rows = [(i, t, "xx", f"s{i % 3}", len(t) if t is not None else None) for i, t in enumerate(texts)]
+    rows += [rows[4]] * 3 + [(None, plain[2], None, None, None)] * 2 + [(None, None, None, None, None), (5, plain[7], "yy", "s", 1)]
+    return rows

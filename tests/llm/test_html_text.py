@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import html
+import re
+
+from pyspark.sql import functions as F
+from sql_check import SF_DIR
+
+from sparkexp.llm import html_text as H, queries
+
+TREE = H.train_tree(*H.labelled_blocks())
+LONG = " ".join(["word"] * 60)
+
+
+def text(page):
+    return H.main_text(page, TREE)
+
+
+def test_the_tree_fits_its_table():
+    rows, labels = H.labelled_blocks()
+    assert (H.classify(TREE, rows) == labels).mean() > 0.97
+
+
+def test_articles_of_the_test_pages(spark):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
+    found = {r.page_id: r for r in queries.op4_html_extraction(spark, SF_DIR).collect()}
+    assert found.keys() == pages.keys()
+    for page_id, page in pages.items():
+        article = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+        parts = [" ".join(html.unescape(re.sub("</?b>|<br>", " ", p)).split()) for p in re.split("</?(?:p|h1)>", article)]
+        assert found[page_id].text == "\n\n".join(p for p in parts if p)
+        assert found[page_id].n_chars == len(found[page_id].text)
+
+
+def test_furniture_goes():
+    page = f"""<html><head><title>t</title><style>p{{}}</style></head><body><header><p>{LONG}</p></header>
+    <nav><ul><li><a href=x>one</a><li><a href=y>two</a></ul></nav><aside><p>{LONG} aside</p></aside>
+    <div class="cookie-notice"><p>{LONG} cookies</p></div>
+    <article><header><h1>Title</h1></header><p>First&nbsp;&amp; <b>bold</b>\n  text.<p>Ok.
+    <script>if (a < b) document.write("<p>no</p>")</script><!-- <p>no</p> --><form><p>{LONG} form</p><input></form>
+    <div class="ad">{LONG} ad</div><pre>a   b</pre><footer>{LONG} foot</footer></article>
+    <section id="comments"><p>{LONG} comment</p></section><footer>{LONG}</footer></body></html>"""
+    assert text(page) == "Title\n\nFirst & bold text.\n\nOk.\n\na b"
+
+
+def test_pages_without_an_article():
+    paragraphs = [" ".join([w] * 40) for w in ("alpha", "beta", "gamma")]
+    links = "".join(f"<li><a href=/{i}>link {i}</a></li>" for i in range(8))
+    page = f"<body><div><ul>{links}</ul></div><div>{''.join(f'<p>{p}</p>' for p in paragraphs)}</div><div><a>more</a></div>"
+    assert text(page) == "\n\n".join(paragraphs)
+
+
+def test_broken_pages():
+    for page in (None, "", "<", "<<<>>>", "<p", "<!-- open", "<script>open", "</div></article>", "<a href='x>y", "&#xD800;&#0;&amp"):
+        assert isinstance(text(page), str)
+    assert text(f"<article><p>{LONG}<p class=x>tail") == f"{LONG}\n\ntail"
+    assert text("<article><p>" + "a&lt;b " * 50_000) == " ".join(["a<b"] * 50_000)
+    assert len(text("<div>" * 5000 + f"<article><p>{LONG}")) == len(LONG)
+
+
+def test_odd_rows(spark, empty):
+    rows = [(1, "u", None), (2, None, ""), (2, None, f"<article><p>{LONG}"), (2, None, f"<article><p>{LONG}"), (None, "u", "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("own"))
+    found = H.extract(pages)
+    assert found.columns == ["page_id", "url", "html", "text", "n_chars"]
+    assert sorted(r.n_chars for r in found.collect())[-2:] == [len(LONG)] * 2 and found.count() == 5
+    assert H.extract(empty.withColumnRenamed("text", "html")).count() == 0
