@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkexp.llm import decontaminate, html_text, language_id, ngram_join, packing, quality, secret_scan, sharding, token_records
+from sparkexp.llm import (
+    decontaminate,
+    html_text,
+    language_id,
+    ngram_join,
+    packing,
+    quality,
+    secret_scan,
+    sharding,
+    token_records,
+    warc_audit,
+)
 from sparkexp.sources.scratch import scratch_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -21,6 +32,16 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records in two replicas, one with a flipped byte in about every hundredth record."""
+    pages = _table(spark, sf_dir, "pages", "page_id", "url", "html")
+    root = scratch_path(spark, "warc")
+    index = warc_audit.write_warc(pages, f"{root}/one")
+    damaged = F.pmod(F.crc32(F.col("page_id").cast("string").cast("binary")), F.lit(100)) == 7
+    warc_audit.copy_replica(index, f"{root}/one", f"{root}/other", damaged)
+    return warc_audit.audit(index, f"{root}/one", f"{root}/other")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return sharding.digest(sharding.shuffle_into_shards(docs))
