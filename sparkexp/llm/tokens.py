@@ -2,19 +2,22 @@
 
 The vocabulary's pre-tokenizer never joins text across a single white space
 between two other characters: a space starts the token after it, a line feed is
-a token of its own. So a text is cut there, and the library encodes each
-distinct piece once for as long as a worker remembers it. A text with other
-white space (runs, at either end, tabs beside a cut) is encoded whole.
+a token of its own. Nor does it join a letter or digit with the punctuation after
+it. So a text is cut there, and the library encodes each distinct piece once for as
+long as a worker remembers it. A text with other white space (runs, at either
+end, tabs beside a cut) is encoded whole.
 """
 
 from __future__ import annotations
 
+import string
+
 import numpy as np
 from tokenizers import Tokenizer
 
 END_ID = 0
 # Pieces that a worker remembers, some tens of MB.
-PIECES_KEPT = 300_000
+PIECES_KEPT = 700_000
 _JOINED = 100
 
 
@@ -27,53 +30,75 @@ class TextEncoder:
         self.pieces_kept = pieces_kept
         self.end = np.array([end_id], "<u4").tobytes()
         self.line = self._whole("\n")
-        # Ids of a piece after a space, and of one at the start of a line; None: not to be cut there.
-        self.spaced: dict[str, bytes | None] = {}
-        self.plain: dict[str, bytes | None] = {}
+        # Ids of a piece that follows a space, or, written with its line feed, a line feed. False: not to be cut there.
+        self.known: dict[str, bytes | bool] = {}
+        self.suffixes: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, known: dict[str, bytes | None], pieces: set[str], lead: str) -> None:
-        pieces -= known.keys()
-        if len(known) + len(pieces) > self.pieces_kept:
-            known.clear()
-        new = []
+    def _learn(self, pieces: set[str]) -> None:
+        """Remember the ids of pieces that are not known."""
+        known, stems, endings = self.known, {}, []
         for piece in pieces:
-            if not piece or piece[0].isspace() or piece[-1].isspace():
-                known[piece] = None
+            if piece.isalpha():  # most are
+                stems[piece] = None
+                continue
+            body = piece[1:] if piece[:1] == "\n" else piece
+            if not body or body[0].isspace() or body[-1].isspace():
+                known[piece] = False
+                continue
+            stem = piece.rstrip(string.punctuation)
+            if len(stem) < len(piece) and stem and stem[-1].isalnum():
+                endings.append((piece, stem, piece[len(stem) :]))
+                if stem not in known:
+                    stems[stem] = None
             else:
-                new.append(piece)
-        groups = [new[i : i + _JOINED] for i in range(0, len(new), _JOINED)]
-        texts = ["\n".join(lead + piece for piece in group) for group in groups]
+                stems[piece] = None
+        self._encode_apart([s for s in stems if s[0] == "\n"], "")
+        self._encode_apart([s for s in stems if s[0] != "\n"], " ")
+        for piece, stem, ending in endings:
+            if ending not in self.suffixes:
+                self.suffixes[ending] = self._whole(ending)
+            known[piece] = known[stem] + self.suffixes[ending]
+
+    def _encode_apart(self, pieces: list[str], lead: str) -> None:
+        """Encode many pieces with few calls; line feeds between them show where one ends."""
+        known, skip = self.known, 0 if lead else 1
+        groups = [pieces[i : i + _JOINED] for i in range(0, len(pieces), _JOINED)]
+        texts = ["\n".join([lead + piece[skip:] for piece in group]) for group in groups]
         line = np.frombuffer(self.line, "<u4")[0]
         for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
-            cuts = np.flatnonzero(ids == line).tolist()
+            cuts = (4 * np.flatnonzero(ids == line)).tolist()
             if len(cuts) != len(group) - 1:
-                known.update({piece: self._whole(lead + piece) for piece in group})
+                for piece in group:
+                    known[piece] = self.line * skip + self._whole(lead + piece[skip:])
                 continue
-            raw, starts, ends = ids.tobytes(), [0, *[c + 1 for c in cuts]], [*cuts, len(ids)]
-            known.update({piece: raw[4 * a : 4 * b] for piece, a, b in zip(group, starts, ends)})
+            raw, at = ids.tobytes(), 0
+            for piece, cut in zip(group, [*cuts, len(raw)]):
+                # For a piece that starts a line the line feed's id goes in front.
+                known[piece] = self.line + raw[at:cut] if skip else raw[at:cut]
+                at = cut + 4
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as bytes; null is empty."""
-        cut = [[line.split(" ") for line in text.split("\n")] if text else [] for text in texts]
-        # A few texts at a time, so that what is learnt for them is still there when they are put together.
-        self._learn(self.spaced, {piece for lines in cut for line in lines for piece in line[1:]}, " ")
-        self._learn(self.plain, {line[0] for lines in cut for line in lines}, "")
+        known = self.known
+        if len(known) > self.pieces_kept:
+            known.clear()
+            self.suffixes.clear()
+        # The first piece is written as if a line feed came before it.
+        cut = [("\n" + text.replace("\n", " \n")).split(" ") if text else [] for text in texts]
+        found = [list(map(known.get, pieces)) for pieces in cut]
+        gaps = [[k for k, ids in enumerate(row) if ids is None] for row in found]
+        self._learn({pieces[k] for pieces, places in zip(cut, gaps) for k in places})
         out = []
-        for text, lines in zip(texts, cut):
-            parts: list[bytes | None] = []
-            for line in lines:
-                parts.append(self.plain[line[0]])
-                parts += [self.spaced[piece] for piece in line[1:]]
-                parts.append(self.line)
-            if lines:
-                parts[-1] = self.end
+        for text, pieces, row, places in zip(texts, cut, found, gaps):
+            for k in places:
+                row[k] = known[pieces[k]]
             try:
-                out.append(b"".join(parts) if lines else self.end)
-            except TypeError:  # a None among the parts
+                out.append(b"".join(row)[len(self.line) :] + self.end)
+            except TypeError:  # a False among them
                 out.append(self._whole(text) + self.end)
         return out
 
