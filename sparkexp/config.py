@@ -35,6 +35,7 @@ class ExperimentPaths:
     def _below(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
+    # The folder names below the root.
     def dataset(self, run_id: str) -> str:
         return self._below("data", "random_data", run_id)
 
@@ -72,15 +73,17 @@ PARAMETER_DEFAULTS = {
     "eta": 0.3,
     "subsample": 1.0,
     "colsample_bytree": 1.0,
+    "max_bin": 256,
     "lambda": 1.0,
     "alpha": 0.0,
     "gamma": 0.0,
     "min_child_weight": 1.0,
     "scale_pos_weight": 1.0,
 }
-# Accepted and without effect: the cluster decides parallelism, and the
-# evaluation step always reports log loss, AUC and average precision.
-PARAMETERS_WITHOUT_EFFECT = ("nthread", "eval_metric", "verbosity", "seed")
+# Accepted and without effect: the cluster decides parallelism, trees are always
+# grown on histograms, and the evaluation step always reports log loss, AUC and
+# average precision.
+PARAMETERS_WITHOUT_EFFECT = ("nthread", "n_jobs", "tree_method", "eval_metric", "verbosity", "seed")
 OBJECTIVES = {
     "reg:squarederror": "squared",
     "squared": "squared",
@@ -104,6 +107,7 @@ class TrainingParams:
     gamma: float = 0.0
     min_child_weight: float = 1.0
     scale_pos_weight: float = 1.0
+    max_bin: int = 256
     notes: tuple[str, ...] = field(default=(), compare=False)
 
 
@@ -121,10 +125,6 @@ def map_params(params: Mapping[str, object]) -> TrainingParams:
             warnings.warn(notes[-1], stacklevel=2)
     if values["objective"] not in OBJECTIVES:
         raise ValueError(f"Objective '{values['objective']}' is not one of {sorted(OBJECTIVES)}.")
-    if float(values["colsample_bytree"]) < 1.0:
-        notes.append("'colsample_bytree' draws the columns anew for each node, not once for each tree")
-    if float(values["gamma"]) > 0.0:
-        notes.append("'gamma' is applied as a minimum impurity gain, which has another scale")
     return TrainingParams(
         objective=OBJECTIVES[values["objective"]],
         base_score=float(values["base_score"]),
@@ -137,5 +137,6 @@ def map_params(params: Mapping[str, object]) -> TrainingParams:
         gamma=float(values["gamma"]),
         min_child_weight=float(values["min_child_weight"]),
         scale_pos_weight=float(values["scale_pos_weight"]),
+        max_bin=int(values["max_bin"]),
         notes=tuple(notes),
     )

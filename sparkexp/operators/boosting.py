@@ -9,13 +9,16 @@ from __future__ import annotations
 
 import json
 import math
+import random
 import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import ElementwiseProduct
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import (
     DecisionTreeRegressionModel,
     GBTRegressionModel,
@@ -25,25 +28,23 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from sparkexp.config import SCORE_COLUMN, TrainingParams, map_params
+from sparkexp.config import PARAMETER_ALIASES, SCORE_COLUMN, TrainingParams, map_params
 from sparkexp.functions.columns import col, key_hash
-from sparkexp.operators.batches import batch_of_hash, num_batches
+from sparkexp.operators.batches import batch_of_hash, num_batches, telling_columns
 from sparkexp.operators.features import (
     FEATURES,
     PREFIX,
     TrainingSummary,
     drop_working_columns,
     fit_features,
+    refuse_working_names,
     summarize,
 )
 from sparkexp.sources.scratch import discard, materialize
 
 ROUNDS_PER_BATCH = 10
-# Beyond this many trees the model would no longer be a small object on the driver.
-MAX_TREES = 10_000
-
-# Below this many rows a task costs more to start than it saves.
-ROWS_PER_TASK = 25_000
+# Curvature is not taken as smaller than this, so that a certain row's step stays finite.
+LEAST_CURVATURE = 1e-6
 
 LABEL, WEIGHT, MARGIN = f"{PREFIX}label", f"{PREFIX}weight", f"{PREFIX}margin"
 BATCH, HASH = "sx_batch", "sx_hash"
@@ -55,23 +56,24 @@ def check_training_arguments(
 ) -> None:
     """Refuse unusable arguments before any job starts."""
     if params is None:
-        raise ValueError("Training parameters are missing.")
+        raise ValueError("Training needs a parameter dictionary, if only an empty one.")
     check_data_arguments(train, predictors, target, batch_size)
 
 
 def check_data_arguments(data: DataFrame, predictors: Sequence[str], target: str, batch_size: int) -> None:
     """The checks that training and scoring share."""
     if not isinstance(data, DataFrame):
-        raise ValueError("The data should be a Spark DataFrame.")
+        raise ValueError(f"The rows come as {type(data).__name__}, not as a Spark DataFrame.")
     if not predictors:
-        raise ValueError("The list of predictors is empty.")
+        raise ValueError("No predictor is named.")
     if target not in data.columns:
-        raise ValueError(f"Target column '{target}' not found in the DataFrame.")
+        raise ValueError(f"The data has no target column '{target}'; it has {data.columns}.")
     absent = [p for p in predictors if p not in data.columns]
     if absent:
-        raise ValueError(f"Predictor columns {absent} not found in the DataFrame.")
+        raise ValueError(f"The data lacks the predictors {absent}.")
+    refuse_working_names([*predictors, target])
     if batch_size <= 0:
-        raise ValueError("Batch size should be a positive integer.")
+        raise ValueError(f"A batch cannot hold {batch_size} rows.")
 
 
 @dataclass
@@ -80,6 +82,7 @@ class TreeEnsemble:
 
     trees: list[DecisionTreeRegressionModel] = field(default_factory=list)
     leaf_values: list[list[float]] = field(default_factory=list)
+    _known: object = None
 
     def add(self, tree: DecisionTreeRegressionModel, values: list[float]) -> None:
         self.trees.append(tree)
@@ -93,9 +96,15 @@ class TreeEnsemble:
         scala = spark._jvm.org.apache.spark.ml.regression
         gateway = spark.sparkContext._gateway
         trees = gateway.new_array(scala.DecisionTreeRegressionModel, len(self.trees))
+        known = 0 if self._known is None else len(self._known)
+        # Only the trees since the last call cross over to the JVM one by one.
+        if known:
+            spark._jvm.java.lang.System.arraycopy(self._known, 0, trees, 0, known)
+        for i in range(known, len(self.trees)):
+            trees[i] = self.trees[i]._java_obj
+        self._known = trees
         weights = gateway.new_array(spark._jvm.double, len(self.trees))
-        for i, tree in enumerate(self.trees):
-            trees[i], weights[i] = tree._java_obj, 1.0
+        spark._jvm.java.util.Arrays.fill(weights, 1.0)
         model = GBTRegressionModel(scala.GBTRegressionModel("staged_trees", trees, weights))
         return _find_leaves(model)
 
@@ -249,16 +258,22 @@ def train_gbt(
     max_iter: int = ROUNDS_PER_BATCH,
     seed: int = 42,
 ) -> TrainedModel:
-    """Fit MLlib boosted trees over all rows at once."""
+    """Fit MLlib boosted trees over all rows at once.
+
+    MLlib has no leaf penalties, no loss-scale ``gamma`` and no columns drawn per
+    tree, so asking for these is refused. ``min_child_weight`` counts rows here.
+    """
     check_training_arguments(params, train, predictors, target, 1)
     settings = map_params(params)
-    if settings.reg_lambda or settings.reg_alpha:
-        warnings.warn("'lambda' and 'alpha' only act in batch-by-batch training.", stacklevel=2)
+    asked = {PARAMETER_ALIASES.get(name, name): value for name, value in params.items()}
+    unable = [n for n, off in (("lambda", 0), ("alpha", 0), ("gamma", 0), ("colsample_bytree", 1)) if float(asked.get(n, off)) != off]
+    if unable:
+        raise ValueError(f"Training in one fit cannot honour {unable}; train batch by batch or leave them out.")
     summary = summarize(train, predictors, target)
     _check_label(summary, target)
     pipeline = fit_features(train, predictors, summary)
     used = train.select(*[col(name) for name in predictors], *_label_and_weight(target, settings))
-    rows = pipeline.transform(_spread(used, summary.rows)).select(FEATURES, LABEL, WEIGHT)
+    rows = pipeline.transform(used).select(FEATURES, LABEL, WEIGHT)
     kind = GBTClassifier if settings.objective == "logistic" else GBTRegressor
     trainer = kind(
         featuresCol=FEATURES,
@@ -269,9 +284,8 @@ def train_gbt(
         maxDepth=settings.max_depth,
         stepSize=settings.eta,
         subsamplingRate=settings.subsample,
-        featureSubsetStrategy=_feature_share(settings),
+        maxBins=settings.max_bin,
         minInstancesPerNode=max(1, math.ceil(settings.min_child_weight)),
-        minInfoGain=settings.gamma,
         seed=seed,
     )
     if kind is GBTClassifier:
@@ -281,10 +295,6 @@ def train_gbt(
     return TrainedModel(PipelineModel([*pipeline.stages, trees]), settings, tuple(predictors), target)
 
 
-def _feature_share(params: TrainingParams) -> str:
-    return "all" if params.colsample >= 1.0 else str(params.colsample)
-
-
 def train_gbt_incremental(
     train: DataFrame,
     *,
@@ -295,35 +305,33 @@ def train_gbt_incremental(
     rounds: int = ROUNDS_PER_BATCH,
     key: Sequence[str] | None = None,
     seed: int = 42,
+    batches: int | None = None,
 ) -> TrainedModel:
     """Train ``rounds`` trees on each batch in turn, each batch continuing from the trees before it.
 
-    The predictors and the label are written once to the shared folder, one folder per
-    batch, so that a batch later reads its own rows and no others. Every tree
-    is grown by Spark tasks over the rows of the batch; the driver only keeps
-    the trees. A batch may be as large as the whole table.
+    There are ``batches`` batches, or as many as rows of about ``batch_size`` need. The
+    role columns are written once to the shared folder, one folder per batch, so
+    that a batch later reads its own rows and no others. Every tree is grown
+    by Spark tasks over the rows of the batch; the driver only keeps the trees, whose
+    number is batches times rounds. A batch may be as large as the whole table.
     """
     check_training_arguments(params, train, predictors, target, batch_size)
     settings = map_params(params)
-    summary = summarize(train, predictors, target)
-    _check_label(summary, target)
-    batches = num_batches(summary.rows, batch_size)
-    if batches * rounds > MAX_TREES:
-        raise ValueError(
-            f"{batches} batches of {rounds} trees exceed {MAX_TREES} trees; use a larger batch_size."
-        )
     spark = train.sparkSession
-    pipeline = fit_features(train, predictors, summary)
-    number = key_hash(list(key) if key else train.columns, seed)
-    columns = [number.alias(HASH), *[col(name) for name in predictors], *_label_and_weight(target, settings)]
-    rows = train.select(*columns).withColumn(BATCH, batch_of_hash(F.col(HASH), batches))
+    number = key_hash(telling_columns(train, key), seed)
+    roles = [number.alias(HASH), *[col(name) for name in dict.fromkeys([*predictors, target])]]
+    if batches is None:
+        batches = num_batches(train.count(), batch_size)
+    rows = train.select(*roles).withColumn(BATCH, batch_of_hash(F.col(HASH), max(1, batches)))
     staged, path = materialize(rows, "training", partition_by=BATCH)
     model = TreeEnsemble()
     try:
-        # One row per batch, so bounded by MAX_TREES. A batch that got no rows is not among them.
-        sizes = {row[BATCH]: row["count"] for row in staged.groupBy(BATCH).count().collect()}
-        for batch, size in sorted(sizes.items()):
-            stage = pipeline.transform(_spread(staged.where(F.col(BATCH) == batch), size))
+        summary = summarize(staged, predictors, target)
+        _check_label(summary, target)
+        pipeline = fit_features(staged, predictors, summary)
+        labelled = staged.withColumns(dict(zip((LABEL, WEIGHT), _label_and_weight(target, settings))))
+        for batch in range(batches):
+            stage = pipeline.transform(labelled.where(F.col(BATCH) == batch))
             _train_stage(stage, model, settings, rounds, seed + batch * rounds)
     finally:
         discard(spark, path)
@@ -334,31 +342,67 @@ def train_gbt_incremental(
     )
 
 
-def _spread(rows: DataFrame, size: int) -> DataFrame:
-    """Divide a small table among the cores; a large one already has enough partitions."""
-    wanted = min(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(size / ROWS_PER_TASK))
-    return rows.repartition(wanted) if rows.rdd.getNumPartitions() < wanted else rows
+# The names of the two trainers.
+TRAINERS = ("batches", "one_fit")
+
+
+def train_with(
+    trainer: str,
+    train: DataFrame,
+    *,
+    predictors: Sequence[str],
+    target: str,
+    params: Mapping[str, object],
+    batch_size: int,
+    rounds: int,
+    key: Sequence[str] | None,
+    seed: int,
+    batches: int | None,
+) -> TrainedModel:
+    """Train batch by batch, or in one fit of ``rounds`` trees; the caller says which."""
+    if trainer not in TRAINERS:
+        raise ValueError(f"There is no trainer '{trainer}'; there are {list(TRAINERS)}.")
+    if trainer == "one_fit":
+        return train_gbt(train, predictors=predictors, target=target, params=params, max_iter=rounds, seed=seed)
+    return train_gbt_incremental(
+        train,
+        predictors=predictors,
+        target=target,
+        params=params,
+        batch_size=batch_size,
+        rounds=rounds,
+        key=key,
+        seed=seed,
+        batches=batches,
+    )
 
 
 def _train_stage(stage: DataFrame, model: TreeEnsemble, params: TrainingParams, rounds: int, seed: int) -> None:
-    """Add up to ``rounds`` trees grown on one batch."""
-    margins = model.margins(stage, _start_margin(params)).select(FEATURES, LABEL, WEIGHT, MARGIN, HASH)
-    margins = margins.persist(StorageLevel.MEMORY_AND_DISK)
+    """Add up to ``rounds`` trees grown on one batch.
+
+    The margins are stored after every tree, so a pass over the rows never runs
+    more than one tree and each tree costs the same. The margins before are
+    dropped once the new ones are there.
+    """
+    current = model.margins(stage, _start_margin(params)).select(FEATURES, LABEL, WEIGHT, MARGIN, HASH)
+    held = [current.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
-        current = margins
         for number in range(rounds):
-            drawn = current
-            if params.subsample < 1.0:
-                drawn = current.where(_is_drawn(params.subsample, seed + number))
-                if drawn.isEmpty():
-                    continue
-            gradients = _with_gradients(drawn, params)
-            tree = _grow_tree(gradients, params, seed + number)
-            values = _leaf_values(gradients, tree, params)
+            rows = _with_gradients(held[-1], params)
+            drawn = rows.where(_is_drawn(params.subsample, seed + number)) if params.subsample < 1.0 else rows
+            weight = F.sum(F.col(WEIGHT) * F.col("curvature")).alias("weight")
+            total = drawn.agg(weight, F.first(FEATURES).alias("one")).first()
+            while len(held) > 1:  # that pass stored the newest
+                held.pop(0).unpersist()
+            if total.weight is None:
+                continue
+            tree = _grow_tree(drawn, params, seed + number, total.weight, total.one.size)
+            values = _leaf_values(drawn, tree, params)
             model.add(tree, values)
-            current = _add_tree(current, tree, values)
+            held.append(_add_tree(held[-1], tree, values).persist(StorageLevel.MEMORY_AND_DISK))
     finally:
-        margins.unpersist()
+        for frame in held:
+            frame.unpersist()
 
 
 def _is_drawn(share: float, seed: int) -> Column:
@@ -372,23 +416,48 @@ def _with_gradients(rows: DataFrame, params: TrainingParams) -> DataFrame:
     """Residual and curvature of the loss at the current margin."""
     if params.objective == "logistic":
         guess = _probability(F.col(MARGIN))
-        return rows.withColumns({"residual": F.col(LABEL) - guess, "curvature": guess * (1 - guess)})
+        curvature = F.greatest(guess * (1 - guess), F.lit(LEAST_CURVATURE))
+        return rows.withColumns({"residual": F.col(LABEL) - guess, "curvature": curvature})
     return rows.withColumns({"residual": F.col(LABEL) - F.col(MARGIN), "curvature": F.lit(1.0)})
 
 
-def _grow_tree(rows: DataFrame, params: TrainingParams, seed: int) -> DecisionTreeRegressionModel:
+def drawn_columns(size: int, share: float, seed: int) -> list[int]:
+    """The columns of one tree: a share of all, rounded down, and one at least."""
+    return sorted(random.Random(seed).sample(range(size), max(1, int(share * size))))
+
+
+def _grow_tree(rows: DataFrame, params: TrainingParams, seed: int, weight: float, size: int) -> DecisionTreeRegressionModel:
+    """A regression tree on the Newton steps, weighted by curvature.
+
+    The variance it reduces is then the second-order loss, and a child's weight is
+    its curvature, which ``min_child_weight`` bounds. Columns that are not drawn are
+    constant for this tree, so that it cannot split on them.
+    """
+    steps = rows.select(
+        FEATURES,
+        (F.col("residual") / F.col("curvature")).alias("step"),
+        (F.col(WEIGHT) * F.col("curvature")).alias("mass"),
+    )
+    features = FEATURES
+    if params.colsample < 1.0:
+        chosen = drawn_columns(size, params.colsample, seed)
+        mask = Vectors.dense([float(i in chosen) for i in range(size)])
+        features = f"{PREFIX}drawn"
+        steps = ElementwiseProduct(scalingVec=mask, inputCol=FEATURES, outputCol=features).transform(steps)
     forest = RandomForestRegressor(
-        featuresCol=FEATURES,
-        labelCol="residual",
-        weightCol=WEIGHT,
+        featuresCol=features,
+        labelCol="step",
+        weightCol="mass",
         numTrees=1,
         bootstrap=False,
-        maxDepth=params.max_depth,
-        featureSubsetStrategy=_feature_share(params),
-        minInstancesPerNode=max(1, math.ceil(params.min_child_weight)),
-        minInfoGain=params.gamma,
+        # Not even half of the rows weigh enough for a child: a single leaf.
+        maxDepth=params.max_depth if 2 * params.min_child_weight <= weight else 0,
+        maxBins=params.max_bin,
+        featureSubsetStrategy="all",
+        minInstancesPerNode=1,
+        minWeightFractionPerNode=min(0.499999, params.min_child_weight / weight) if weight > 0 else 0.0,
         seed=seed,
-    ).fit(rows)
+    ).fit(steps)
     return forest.trees[0].setFeaturesCol(FEATURES).setLeafCol(LEAF).setPredictionCol("")
 
 
@@ -396,13 +465,42 @@ def _leaf_values(rows: DataFrame, tree: DecisionTreeRegressionModel, params: Tra
     """The step each leaf adds: penalised residual sum over penalised curvature sum, times the learning rate.
 
     One partial aggregation; at most ``2 ** max_depth`` rows come to the driver.
+    Splits that lower the loss by less than ``gamma`` are taken back, from the
+    leaves up: their leaves get the value of the node above.
     """
     leaves = (tree.numNodes + 1) // 2
+    sums = [(0.0, 0.0)] * leaves
     gradient, curvature = F.sum(F.col(WEIGHT) * F.col("residual")), F.sum(F.col(WEIGHT) * F.col("curvature"))
-    shrunk = F.signum(gradient) * F.greatest(F.abs(gradient) - F.lit(params.reg_alpha), F.lit(0.0))
-    step = F.try_divide(shrunk, curvature + F.lit(params.reg_lambda))
-    found = tree.transform(rows).groupBy(LEAF).agg((step * params.eta).alias("value")).collect()
+    for row in tree.transform(rows).groupBy(LEAF).agg(gradient.alias("g"), curvature.alias("h")).collect():
+        sums[int(row[LEAF])] = (row.g or 0.0, row.h or 0.0)
+
+    def shrunk(g: float) -> float:
+        return math.copysign(max(abs(g) - params.reg_alpha, 0.0), g)
+
+    def gain(g: float, h: float) -> float:
+        return shrunk(g) ** 2 / (h + params.reg_lambda) / 2 if h + params.reg_lambda > 0 else 0.0
+
+    groups = [[i] for i in range(leaves)]
+    if params.gamma > 0:
+        groups = []
+
+        def visit(node, first: int) -> tuple[list[int], bool, float, float]:
+            """Leaves below a node, whether they are one group, and their sums."""
+            if node.subtreeDepth() == 0:
+                return [first], True, *sums[first]
+            low, low_one, gl, hl = visit(node.leftChild(), first)
+            high, high_one, gr, hr = visit(node.rightChild(), first + len(low))
+            if low_one and high_one and gain(gl, hl) + gain(gr, hr) - gain(gl + gr, hl + hr) < params.gamma:
+                return low + high, True, gl + gr, hl + hr
+            groups.extend(part for part, one in ((low, low_one), (high, high_one)) if one)
+            return low + high, False, gl + gr, hl + hr
+
+        every, one, _, _ = visit(tree._java_obj.rootNode(), 0)
+        if one:
+            groups.append(every)
     values = [0.0] * leaves
-    for row in found:
-        values[int(row[LEAF])] = row["value"] or 0.0
+    for group in groups:
+        g, h = (sum(sums[i][k] for i in group) for k in (0, 1))
+        for i in group:
+            values[i] = params.eta * shrunk(g) / (h + params.reg_lambda) if h + params.reg_lambda > 0 else 0.0
     return values

@@ -46,15 +46,28 @@ def summarize(train: DataFrame, predictors: Sequence[str], target: str) -> Train
     )
 
 
+# Relative error in the rank of the medians; smaller is nearer the exact median and dearer.
+MEDIAN_ERROR = 0.0001
+
+
+def refuse_working_names(columns: Sequence[str]) -> None:
+    """Refuse columns that would be taken for the working columns of the feature steps."""
+    taken = [name for name in columns if name.startswith(PREFIX)]
+    if taken:
+        raise ValueError(f"Names that begin with '{PREFIX}' are used inside: {', '.join(taken)}.")
+
+
 def _as_double(name: str) -> str:
     quoted = "`" + name.replace("`", "``") + "`"
     return f"nullif(CAST({quoted} AS DOUBLE), CAST('NaN' AS DOUBLE))"
 
 
-def fit_features(train: DataFrame, predictors: Sequence[str], summary: TrainingSummary) -> PipelineModel:
+def fit_features(
+    train: DataFrame, predictors: Sequence[str], summary: TrainingSummary, median_error: float = MEDIAN_ERROR
+) -> PipelineModel:
     """Fit the steps from predictor columns to a feature vector without gaps.
 
-    A missing value becomes the median of the training rows. A predictor that
+    A missing value becomes the median of the training rows, whose rank is off by ``median_error`` of the rows at most. A predictor that
     has gaps in training also gets a column that says where they were, so that
     trees can split on it. One without any value becomes constant, and no tree
     splits on it.
@@ -75,14 +88,18 @@ def fit_features(train: DataFrame, predictors: Sequence[str], summary: TrainingS
     stages = [SQLTransformer(statement=f"SELECT {selected} FROM __THIS__")]
     if imputed:
         raw = [f.replace(f"{PREFIX}f", f"{PREFIX}v") for f in imputed]
-        stages.append(Imputer(inputCols=raw, outputCols=imputed, strategy="median"))
+        stages.append(Imputer(inputCols=raw, outputCols=imputed, strategy="median", relativeError=median_error))
     inputs = filled + [f"{PREFIX}gap{i}" for i, _ in gaps]
     stages.append(VectorAssembler(inputCols=inputs, outputCol=FEATURES, handleInvalid="error"))
     return Pipeline(stages=stages).fit(train.select(*[col(name) for name in predictors]))
 
 
-def impute_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Add ``<column>_missing`` (0 or 1) and ``<column>_filled`` (median where missing) for each column."""
+def impute_missing(df: DataFrame, columns: Sequence[str], median_error: float = MEDIAN_ERROR) -> DataFrame:
+    """Add ``<column>_missing`` (0 or 1) and ``<column>_filled`` (median where missing) for each column.
+
+    The rank of the median is off by ``median_error`` of the rows at most.
+    """
+    refuse_working_names(df.columns)
     summary = df.agg(
         *[F.count_if(is_number(col(c).cast("double"))).alias(f"n{i}") for i, c in enumerate(columns)]
     ).first()
@@ -94,7 +111,7 @@ def impute_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         | {f"{PREFIX}{i}": F.expr(_as_double(c)) for i, c in enumerate(columns)}
     )
     names = [f"{PREFIX}{i}" for i in range(len(columns))]
-    imputer = Imputer(inputCols=names, outputCols=[f"{c}_filled" for c in columns], strategy="median")
+    imputer = Imputer(inputCols=names, outputCols=[f"{c}_filled" for c in columns], strategy="median", relativeError=median_error)
     return imputer.fit(flagged).transform(flagged).drop(*names)
 
 

@@ -10,7 +10,8 @@ from functools import partial
 from pyspark.sql import DataFrame
 
 from sparkexp.config import ColumnRoles, ExperimentPaths, new_run_id
-from sparkexp.operators.boosting import ROUNDS_PER_BATCH, train_gbt_incremental
+from sparkexp.operators.boosting import ROUNDS_PER_BATCH, check_data_arguments, train_with
+from sparkexp.operators.batches import num_batches
 from sparkexp.operators.split import (
     PreparedExperiment,
     cast_target,
@@ -53,9 +54,13 @@ def run_experiment(
     experiment_id: str | None = None,
     cap_test: bool = False,
     seed: int = 42,
+    trainer: str = "batches",
+    batches: int | None = None,
 ) -> ExperimentResult:
     """Split, train, score validation and test, evaluate both, and combine the report.
 
+    ``trainer`` is "batches" (``batches`` of them, or by ``batch_size``) or "one_fit".
+
     Uses the session of ``data`` and neither starts nor stops one. Data moves
     between the steps as tables below ``paths``.
     """
@@ -73,7 +78,11 @@ def run_experiment(
         cap_test=cap_test,
     )
     write_metrics(prepared.spans, paths.report(run_id, "split_spans"))
-    model = train_gbt_incremental(
+    if trainer == "batches" and batches is None:
+        check_data_arguments(data, roles.predictors, roles.target, batch_size)
+        batches = num_batches(prepared.sizes["train"], batch_size)  # counted already
+    model = train_with(
+        trainer,
         prepared.train,
         predictors=roles.predictors,
         target=roles.target,
@@ -82,6 +91,7 @@ def run_experiment(
         rounds=rounds,
         key=roles.key or None,
         seed=seed,
+        batches=batches,
     )
     conditions = split_conditions(data, roles.datetime, prepared.bounds, cap_test)
     model_path, predictions = run_together(

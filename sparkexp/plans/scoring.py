@@ -14,8 +14,9 @@ from sparkexp.operators.boosting import (
     TrainedModel,
     check_data_arguments,
     load_model,
-    train_gbt_incremental,
+    train_with,
 )
+from sparkexp.operators.features import refuse_working_names
 from sparkexp.sources.tables import write_predictions
 
 
@@ -35,9 +36,12 @@ def train_model(
     rounds: int = ROUNDS_PER_BATCH,
     key: Sequence[str] | None = None,
     seed: int = 42,
+    trainer: str = "batches",
+    batches: int | None = None,
 ) -> str:
-    """Train batch by batch and save the model; returns its path."""
-    model = train_gbt_incremental(
+    """Train batch by batch, or with ``trainer="one_fit"`` in one fit, and save the model; returns its path."""
+    model = train_with(
+        trainer,
         train_data,
         predictors=predictors,
         target=target_column,
@@ -46,17 +50,24 @@ def train_model(
         rounds=rounds,
         key=key,
         seed=seed,
+        batches=batches,
     )
     return model.save(paths.model(experiment_id))
 
 
-def kept_columns(data: DataFrame, target: str, keep: Sequence[str] | None) -> list[str]:
-    """The columns to forward: all, or the ones asked for and always the target."""
-    taken = [name for name in RESERVED if name in data.columns]
+def kept_columns(
+    data: DataFrame, target: str, keep: Sequence[str] | None, score_column: str = SCORE_COLUMN
+) -> list[str]:
+    """The columns to forward: all, or the ones asked for and always the target.
+
+    What an earlier scoring added (score, batch and folder columns) is replaced by the new one's.
+    """
+    made = (*RESERVED, score_column)
+    if keep is None:
+        return [name for name in data.columns if name not in made]
+    taken = [name for name in keep if name in made]
     if taken:
         raise ValueError(f"Columns {taken} have names the predictions need themselves.")
-    if keep is None:
-        return data.columns
     absent = [name for name in keep if name not in data.columns]
     if absent:
         raise ValueError(f"Columns {absent} to keep are not in the DataFrame.")
@@ -75,8 +86,10 @@ def score_table(
     score_column: str = SCORE_COLUMN,
 ) -> DataFrame:
     """Add score and batch in one projection over the scan, without moving a row."""
-    kept = kept_columns(data, target, keep_columns)
-    batched = data.withColumn("batch_id", batch_of(list(key) if key else data.columns, batches, seed))
+    kept = kept_columns(data, target, keep_columns, score_column)
+    refuse_working_names(kept)
+    own = [name for name in data.columns if name not in (*RESERVED, score_column)]
+    batched = data.withColumn("batch_id", batch_of(list(key) if key else own, batches, seed))
     scored = model.score(batched, score_column)
     return scored.select(*[col(name) for name in kept], col(score_column), "batch_id")
 
@@ -95,11 +108,11 @@ def predict(
     key: Sequence[str] | None = None,
     seed: int = 42,
     score_column: str = SCORE_COLUMN,
-    batch_folders: bool | None = None,
+    batch_folders: bool = False,
 ) -> str:
     """Score ``data`` with a saved model and write the result; returns the folder."""
     check_data_arguments(data, predictors, target_column, batch_size)
-    kept_columns(data, target_column, keep_columns)
+    kept_columns(data, target_column, keep_columns, score_column)
     model = load_model(data.sparkSession, model_path)
     if tuple(predictors) != model.predictors:
         raise ValueError(f"The model was trained on {list(model.predictors)}, not on {list(predictors)}.")
@@ -115,7 +128,7 @@ def predict(
         score_column=score_column,
     )
     path = paths.predictions(experiment_id, prefix)
-    return write_predictions(scored, path, batches=batches, batch_folders=batch_folders)
+    return write_predictions(scored, path, batch_folders=batch_folders)
 
 
 def predict_splits(
@@ -146,9 +159,9 @@ def predict_splits(
     for condition in wanted[1:]:
         any_part = any_part | condition
     rows = data.where(any_part)
-    keys = list(key) if key else data.columns
+    keys = list(key) if key else [name for name in data.columns if name not in (*RESERVED, SCORE_COLUMN)]
     batched = rows.withColumns({"prefix": prefix, "batch_id": batch_of(keys, batches_of_part, seed)})
     kept = kept_columns(data, target_column, keep_columns)
     scored = model.score(batched).select(*[col(name) for name in kept], SCORE_COLUMN, "prefix", "batch_id")
-    write_predictions(scored, paths.predictions(experiment_id), batches=max(batches.values()), by=["prefix"])
+    write_predictions(scored, paths.predictions(experiment_id), by=["prefix"])
     return {name: paths.predictions(experiment_id, name) for name in conditions}

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import math
+import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from sparkexp.operators.metrics import roc_auc
 from sparkexp.plans.scoring import predict, train_model
 from sparkexp.sources.tables import read_predictions
 
+# The small table of the workload.
 SMALL = [
     ("id1", 1, 0.1, False),
     ("id2", 2, 0.2, False),
@@ -42,12 +45,12 @@ def separable(spark):
 @pytest.mark.parametrize(
     ("change", "message"),
     [
-        ({"params": None, "train_data": None}, "parameters are missing"),
-        ({"train_data": None, "predictors": []}, "should be a Spark DataFrame"),
-        ({"predictors": [], "target_column": "label"}, "predictors is empty"),
-        ({"target_column": "label", "batch_size": 0}, "Target column 'label' not found"),
+        ({"params": None, "train_data": None}, "parameter dictionary"),
+        ({"train_data": None, "predictors": []}, "not as a Spark DataFrame"),
+        ({"predictors": [], "target_column": "label"}, "No predictor"),
+        ({"target_column": "label", "batch_size": 0}, "no target column 'label'"),
         ({"predictors": ["feature1", "feature9"]}, "feature9"),
-        ({"batch_size": -1}, "positive integer"),
+        ({"batch_size": -1}, "cannot hold -1 rows"),
     ],
 )
 def test_training_arguments_are_checked_in_order(small, tmp_path, change, message):
@@ -145,6 +148,7 @@ def test_score_survives_saving(spark, separable, tmp_path, objective, trainer):
     if trainer == "batches":
         model = train_gbt_incremental(separable, batch_size=4000, rounds=3, key=["id"], **options)
     else:
+        options["params"].pop("lambda")
         model = train_gbt(separable, max_iter=4, **options)
     scored = model.score(separable)
     assert scored.columns == [*separable.columns, "final_score"]
@@ -233,8 +237,6 @@ def test_training_data_that_cannot_be_used(spark, small):
         train_gbt_incremental(small.limit(0), **options)
     with pytest.raises(ValueError, match="holds nulls"):
         train_gbt_incremental(small.withColumn("target", F.lit(None).cast("boolean")), **options)
-    with pytest.raises(ValueError, match="larger batch_size"):
-        train_gbt_incremental(small, batch_size=1, rounds=5000, **options)
     with pytest.warns(UserWarning, match="one class"):
         train_gbt_incremental(small.where("NOT target"), batch_size=10, rounds=1, key=["id"], **options)
 
@@ -260,3 +262,121 @@ def test_a_part_without_rows_trains_no_tree(small):
         train_gbt_incremental(
             small, predictors=["feature1"], target="target", params={"subsample": 1e-9}, batch_size=5, rounds=1, key=["id"]
         )
+
+
+def test_many_small_batches_are_trained(small):
+    """As many batches as rows, with some of them empty, and one tree object list for all."""
+    model = train_gbt_incremental(
+        small, predictors=["feature1"], target="target", params={"min_child_weight": 0}, batch_size=1, rounds=3, key=["id"]
+    )
+    assert 3 <= model.num_trees == len(model.leaf_values) <= 15
+    given = train_gbt_incremental(small, predictors=["feature1"], target="target", params={}, batches=2, rounds=1, key=["id"])
+    assert given.num_trees <= 2
+
+
+def test_columns_are_drawn_once_for_each_tree(separable):
+    for seed in range(5):
+        assert len(boosting.drawn_columns(2, 0.8, seed)) == 1
+        assert len(boosting.drawn_columns(10, 0.8, seed)) == 8
+    model = train_gbt_incremental(
+        separable,
+        predictors=["l_quantity", "l_discount"],
+        target="target",
+        params={"max_depth": 3, "colsample_bytree": 0.8},
+        batches=1,
+        rounds=6,
+        key=["id"],
+    )
+    used = [set(re.findall(r"feature (\d+)", tree.toDebugString)) for tree in model.ensemble.trees]
+    assert all(len(features) == 1 for features in used) and set.union(*used) == {"0", "1"}
+
+
+def one_split(spark, **params):
+    rows = [(i, 0.0, i < 2) for i in range(10)] + [(i, 1.0, i < 18) for i in range(10, 20)]
+    df = spark.createDataFrame(rows, "id long, x double, y boolean")
+    model = train_gbt_incremental(
+        df, predictors=["x"], target="y", params={"max_depth": 1, "eta": 1, "lambda": 0, **params}, batches=1, rounds=1, key=["id"]
+    )
+    return len(set(model.leaf_values[0]))
+
+
+def test_gamma_is_a_loss_and_child_weight_a_curvature(spark):
+    # The split lowers the squared loss by (9/10 + 9/10) / 2 = 0.9.
+    assert one_split(spark, gamma=0.89) == 2 and one_split(spark, gamma=0.91) == 1
+    # Ten rows a side; logistic curvature is a quarter of a row each.
+    assert one_split(spark, min_child_weight=9.9) == 2 and one_split(spark, min_child_weight=10.1) == 1
+    logistic = {"objective": "binary:logistic"}
+    assert one_split(spark, min_child_weight=2.4, **logistic) == 2
+    assert one_split(spark, min_child_weight=2.6, **logistic) == 1
+    # Logistic: (9/2.5 + 9/2.5) / 2 = 3.6.
+    assert one_split(spark, gamma=3.59, **logistic) == 2 and one_split(spark, gamma=3.61, **logistic) == 1
+
+
+def test_gamma_prunes_from_the_leaves_up(separable):
+    options = {"predictors": ["l_quantity", "l_discount"], "target": "target", "batches": 1, "rounds": 1, "key": ["id"]}
+    values = [
+        len(set(train_gbt_incremental(separable, params={"max_depth": 4, "gamma": g}, **options).leaf_values[0])) for g in (0, 20, 10**6)
+    ]
+    assert values[0] > values[1] > values[2] == 1
+
+
+def test_one_fit_refuses_what_it_cannot_do(separable):
+    for name, value in (("lambda", 1), ("reg_alpha", 1), ("gamma", 0.1), ("colsample_bytree", 0.5)):
+        with pytest.raises(ValueError, match="cannot honour"):
+            train_gbt(separable, predictors=["l_quantity"], target="target", params={name: value})
+
+
+def test_trainers_by_name(small, tmp_path):
+    arguments = {
+        "train_data": small,
+        "predictors": ["feature1"],
+        "target_column": "target",
+        "params": {"max_depth": 2},
+        "paths": ExperimentPaths(str(tmp_path)),
+        "rounds": 2,
+    }
+    loaded = [
+        load_model(small.sparkSession, train_model(experiment_id=name, trainer=name, batches=1, **arguments))
+        for name in ("one_fit", "batches")
+    ]
+    assert [m.num_trees for m in loaded] == [2, 2] and [m.ensemble is None for m in loaded] == [True, False]
+    with pytest.raises(ValueError, match="no trainer"):
+        train_model(experiment_id="x", trainer="other", **arguments)
+
+
+def test_predictions_can_be_scored_again(spark, small, tmp_path):
+    paths = ExperimentPaths(str(tmp_path))
+    model_path = train_model(
+        experiment_id="e", train_data=small, predictors=["feature1"], target_column="target", params={}, paths=paths, batches=1, rounds=1
+    )
+    arguments = {"experiment_id": "e", "model_path": model_path, "predictors": ["feature1"], "target_column": "target", "paths": paths}
+    first = read_predictions(spark, predict(prefix="val", data=small, **arguments))
+    again = read_predictions(spark, predict(prefix="test", data=first, **arguments))
+    assert again.columns == first.columns
+    assert sorted(again.collect()) == sorted(first.collect())
+
+
+def test_working_names_are_refused(small):
+    with pytest.raises(ValueError, match="_sx_own"):
+        train_gbt_incremental(small.withColumn("_sx_own", F.lit(1)), predictors=["_sx_own"], target="target", params={})
+
+
+def test_nothing_is_left_in_the_shared_folder(spark, separable, tmp_path):
+    from sparkexp.operators.batches import assign_batches, batch_ledger
+    from sparkexp.plans.evaluation import evaluate
+    from sparkexp.sources.scratch import scratch_root
+
+    def files():
+        return {str(p) for p in Path(scratch_root(spark).removeprefix("file:")).rglob("*.parquet")}
+
+    before = files()
+    model = train_gbt_incremental(separable, predictors=["l_quantity"], target="target", params={"subsample": 0.5}, batches=2, rounds=2, key=["id"])
+    scored = model.score(separable).withColumn("final_score", F.col("final_score"))
+    batch_ledger(assign_batches(scored, "id", 100), "target").collect()
+    evaluate(scored, target_col="target", output=str(tmp_path / "out"))
+    kept = evaluate(scored, target_col="target")
+    kept.metrics.collect()
+    kept.close()
+    with pytest.raises(ValueError):
+        evaluate(scored.withColumn("target", F.lit(None).cast("boolean")), target_col="target")
+    assert files() == before
