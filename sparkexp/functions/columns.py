@@ -51,14 +51,19 @@ def weeks_before(column: Column, weeks: int) -> Column:
 
 
 def key_hash(keys: Sequence[str], seed: int) -> Column:
-    """A 32-bit number that depends only on the key values and the seed.
+    """A 60-bit number that depends only on the key values and the seed.
 
     It uses md5 because every SQL engine has it, so that another engine can
-    repeat the assignment. It does not depend on row order or partitioning.
+    repeat the assignment. Each value is written after its length, so that no two
+    keys read alike; null is ``n``. Row order and partitioning do not matter.
     """
-    text = [F.coalesce(col(k).cast("string"), F.lit("\x00")) for k in keys]
-    salted = F.concat(F.concat_ws("|", *text), F.lit(f":{seed}"))
-    return F.conv(F.substring(F.md5(salted), 1, 8), 16, 10).cast("long")
+
+    def written(name: str) -> Column:
+        text = col(name).cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("n"))
+
+    salted = F.concat(*[written(k) for k in keys], F.lit(f"|{seed}"))
+    return F.conv(F.substring(F.md5(salted), 1, 15), 16, 10).cast("long")
 
 
 def is_number(column: Column) -> Column:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkexp.functions.columns import col, key_hash
 from sparkexp.operators.prefix import running_totals
-from sparkexp.sources.scratch import scratch_root
 
 # Batch ids in one bucket of the ledger's running total.
 LEDGER_BUCKET = 50_000
@@ -17,7 +16,7 @@ LEDGER_BUCKET = 50_000
 def num_batches(rows: int, batch_size: int) -> int:
     """How many batches of about ``batch_size`` rows the table needs."""
     if batch_size <= 0:
-        raise ValueError("Batch size should be a positive integer.")
+        raise ValueError(f"A batch cannot hold {batch_size} rows.")
     return -(-rows // batch_size)
 
 
@@ -49,27 +48,36 @@ def assign_batches(
     seed: int = 42,
     batches: int | None = None,
     column: str = "batch_id",
+    spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add the batch of each row. Batches are disjoint, cover the table and are about equal in size.
 
-    ``key`` should tell rows apart (all columns by default): rows with equal
-    keys share a batch. A row keeps its batch however the table is laid out or
-    recomputed, which a random split does not promise. The table is counted
-    unless ``batches`` is given.
+    A row keeps its batch however the table is laid out or recomputed, which a
+    random split does not promise. Rows with equal ``key`` are told apart by the
+    columns in ``spread`` (by default all others), so that a key with very many
+    rows fills no batch by itself; only rows that are equal in all of these share
+    one. The table is counted unless ``batches`` is given.
     """
-    keys = df.columns if not key else [key] if isinstance(key, str) else list(key)
     if batches is None:
         batches = num_batches(df.count(), batch_size)
-    return df.withColumn(column, batch_of(keys, max(batches, 1), seed))
+    return df.withColumn(column, batch_of(telling_columns(df, key, spread), max(batches, 1), seed))
+
+
+def telling_columns(
+    df: DataFrame, key: Sequence[str] | str | None, spread: Sequence[str] | None = None
+) -> list[str]:
+    """The key's columns, then those that tell rows of equal key apart."""
+    keys = [] if not key else [key] if isinstance(key, str) else list(key)
+    others = df.columns if spread is None else spread
+    return keys + [name for name in others if name not in keys]
 
 
 def batch_ledger(df: DataFrame, target: str, batch_column: str = "batch_id") -> DataFrame:
     """Rows, positives and negatives of each batch, with the running row count and the percentage done.
 
-    The counts, one row per batch, are checkpointed, so that the table is read once.
+    The running totals and their bucket sums share one shuffle of the counts, so the table is read once.
     """
     label = col(target).cast("boolean")
-    scratch_root(df.sparkSession)
     batches = (
         df.groupBy(batch_column)
         .agg(
@@ -78,7 +86,6 @@ def batch_ledger(df: DataFrame, target: str, batch_column: str = "batch_id") ->
             F.count_if(~label).alias("negatives"),
         )
         .withColumn("_bucket", F.floor(F.col(batch_column) / LEDGER_BUCKET))
-        .checkpoint()
     )
     running = running_totals(batches, bucket="_bucket", order=batch_column, sums=["row_count"])
     return running.select(

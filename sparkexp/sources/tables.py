@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-# Above this many batches, one folder per batch would mean millions of small
-# files, so the batch stays an ordinary column.
-MAX_BATCH_FOLDERS = 1000
+# Types that folder names alone would not give back.
+FOLDER_TYPES = {"experiment_id": StringType(), "batch_id": LongType()}
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -40,21 +39,20 @@ def write_predictions(
     predictions: DataFrame,
     path: str,
     *,
-    batches: int,
     by: Sequence[str] = (),
     batch_column: str = "batch_id",
-    batch_folders: bool | None = None,
+    batch_folders: bool = False,
 ) -> str:
     """Write scored rows, replacing everything an earlier run left under ``path``.
 
     The whole sub-path is overwritten rather than single partitions, so that a
-    rerun with fewer batches leaves no old batch behind. With ``batch_folders``
-    (by default up to ``MAX_BATCH_FOLDERS`` batches) each batch gets a folder,
-    which takes a shuffle. Otherwise the rows are written where they are. Both
-    read back as the same table.
+    rerun with fewer batches leaves no old batch behind. The batch is an ordinary
+    column and rows are written where they are. With ``batch_folders`` each batch
+    gets a folder of its own, which takes a shuffle. Both read back with the same
+    columns and types.
     """
     folders = list(by)
-    if batches <= MAX_BATCH_FOLDERS if batch_folders is None else batch_folders:
+    if batch_folders:
         folders.append(batch_column)
         predictions = predictions.hint("rebalance", *folders)
     writer = predictions.write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -68,16 +66,13 @@ def read_predictions(spark: SparkSession, path: str, base_path: str | None = Non
     """Read all scored rows below ``path`` as one table.
 
     With ``base_path``, the folder names between it and ``path`` become columns
-    again. ``experiment_id`` stays text although it looks like a number.
+    again. ``experiment_id`` stays text although it looks like a number, and
+    ``batch_id`` is long, whether it was a folder or a column.
     """
     reader = spark.read if base_path is None else spark.read.option("basePath", base_path)
-    df = reader.parquet(path)
-    if "experiment_id" not in df.columns:
-        return df
-    as_text = [
-        StructField(f.name, StringType()) if f.name == "experiment_id" else f for f in df.schema.fields
-    ]
-    return reader.schema(StructType(as_text)).parquet(path)
+    found = reader.parquet(path).schema
+    typed = StructType([StructField(f.name, FOLDER_TYPES.get(f.name, f.dataType)) for f in found.fields])
+    return reader.schema(typed).parquet(path)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> str:

@@ -12,7 +12,7 @@ def test_number_of_batches(spark):
     assert [num_batches(n, 1000) for n in (0, 1, 1000, 1001, 76720)] == [0, 1, 1, 2, 77]
     assert num_batches(76720, 5000) == 16
     assert tuple(num_batches_table(spark.range(1001), 1000).first()) == (1001, 1000, 2)
-    with pytest.raises(ValueError, match="positive"):
+    with pytest.raises(ValueError, match="cannot hold 0 rows"):
         num_batches(10, 0)
 
 
@@ -30,7 +30,7 @@ def test_batches_do_not_depend_on_the_layout_but_on_the_seed(spark):
     other = {r.id: r.batch_id for r in assign_batches(rows.coalesce(1), "id", 50).collect()}
     reseeded = {r.id: r.batch_id for r in assign_batches(rows, "id", 50, seed=1).collect()}
     assert one == other != reseeded
-    by_hand = {i: int(hashlib.md5(f"{i}:42".encode()).hexdigest()[:8], 16) % 10 for i in range(500)}
+    by_hand = {i: int(hashlib.md5(f"{len(str(i))}:{i}|42".encode()).hexdigest()[:15], 16) % 10 for i in range(500)}
     assert one == by_hand
 
 
@@ -55,3 +55,16 @@ def test_ledger(spark):
     assert [r.percent_done for r in ledger] == [25.0, 50.0, 75.0, 100.0]
     assert sum(r.positives for r in ledger) == 30
     assert sum(r.positives + r.negatives for r in ledger) == 90
+
+
+def test_a_key_with_a_third_of_the_rows_fills_no_batch(spark):
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("key"), "id")
+    sizes = [r["count"] for r in assign_batches(rows, "key", 1000).groupBy("batch_id").count().collect()]
+    assert len(sizes) == 30 and max(sizes) < 1.5 * 1000
+    same = rows.select("key", F.lit(1).alias("id"))
+    assert assign_batches(same, "key", 1000).where("key = -1").select("batch_id").distinct().count() == 1
+
+
+def test_keys_that_read_alike_hash_apart(spark):
+    rows = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a1:b", ""), (None, "n")], "x string, y string")
+    assert assign_batches(rows, ["x", "y"], batches=2**40).select("batch_id").distinct().count() == 4

@@ -10,7 +10,7 @@ from pyspark.testing import assertDataFrameEqual
 from sparkexp.config import ExperimentPaths, map_params, new_run_id
 from sparkexp.operators.batches import assign_batches
 from sparkexp.sources import scratch, tables
-from sparkexp.sources.synthetic import synthetic_labeled
+from sparkexp.sources.synthetic import synthetic_labeled, with_synthetic_columns
 
 
 def test_synthetic_table_follows_its_rules(spark):
@@ -71,20 +71,20 @@ def test_a_table_is_never_overwritten(spark, tmp_path):
     assert tables.preview(df).count() == 5
 
 
-@pytest.mark.parametrize("limit", [1000, 3])
-def test_predictions_round_trip_and_rerun_with_fewer_batches(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr(tables, "MAX_BATCH_FOLDERS", limit)
+@pytest.mark.parametrize("folders", [True, False])
+def test_predictions_round_trip_and_rerun_with_fewer_batches(spark, tmp_path, folders):
     path = ExperimentPaths(str(tmp_path)).predictions("0042", "val")
     rows = spark.range(1000).withColumn("final_score", F.col("id") / 1000)
     for batches in (10, 4):
         batched = assign_batches(rows, "id", batches=batches)
-        tables.write_predictions(batched, path, batches=batches)
+        tables.write_predictions(batched, path, batch_folders=folders)
         back = tables.read_predictions(spark, path, base_path=ExperimentPaths(str(tmp_path)).predictions_root)
         assert back.count() == 1000
         assert back.select("batch_id").distinct().count() == batches
         assert back.select("experiment_id", "prefix").distinct().collect() == [("0042", "val")]
-        assertDataFrameEqual(back.select("id", "final_score", F.col("batch_id").cast("long")), batched)
-    assert bool(glob.glob(f"{path}/batch_id=*")) == (limit == 1000)
+        assertDataFrameEqual(back.select("id", "final_score", "batch_id"), batched)
+        assert dict(back.dtypes)["batch_id"] == "bigint" and len(back.columns) == 5
+    assert bool(glob.glob(f"{path}/batch_id=*")) == folders
 
 
 def test_materialized_table_is_partitioned_and_can_be_removed(spark):
@@ -120,7 +120,7 @@ def test_parameters():
 
 
 def test_a_key_on_a_third_of_all_rows_loses_no_row(spark, tmp_path):
-    """Equal keys share a batch, so one batch is large; the table, its ledger and its folders stay whole."""
+    """Equal keys are told apart by the other columns; the table, its ledger and its folders stay whole."""
     from sparkexp.operators.batches import batch_ledger
 
     rows = spark.range(3000).select(
@@ -128,6 +128,14 @@ def test_a_key_on_a_third_of_all_rows_loses_no_row(spark, tmp_path):
     )
     batched = assign_batches(rows, "key", batch_size=100)
     ledger = batch_ledger(batched, "y").agg(F.sum("row_count"), F.max("row_count"), F.max("running_rows")).first()
-    assert ledger[0] == ledger[2] == 3000 and ledger[1] > 1000
-    tables.write_predictions(batched, str(tmp_path / "scored"), batches=30)
+    assert ledger[0] == ledger[2] == 3000 and ledger[1] < 150
+    tables.write_predictions(batched, str(tmp_path / "scored"), batch_folders=True)
     assertDataFrameEqual(tables.read_predictions(spark, str(tmp_path / "scored")).select("id", "y"), rows.select("id", "y"))
+
+
+def test_synthetic_columns_do_not_depend_on_the_layout(spark):
+    one, many = (synthetic_labeled(spark, rows=500).repartition(n) for n in (1, 7))
+    again = with_synthetic_columns(spark.range(500).repartition(5))
+    assert sorted(one.collect()) == sorted(many.collect()) == sorted(again.collect())
+    made = one.agg(F.min("feature1"), F.max("feature1"), F.min("feature2"), F.max("feature2"), F.count_distinct("reference")).first()
+    assert 1 <= made[0] < made[1] <= 1000 and 3 <= made[2] < made[3] <= 777 and made[4] == 500
