@@ -20,7 +20,7 @@ from sparkexp.plans.evaluation import Evaluation, evaluate, report_table
 from sparkexp.plans.experiment import run_experiment
 from sparkexp.plans.scoring import predict, score_table
 from sparkexp.plans.together import run_together
-from sparkexp.sources.scratch import materialize, scratch_path
+from sparkexp.sources.scratch import discard, materialize, scratch_path
 from sparkexp.sources.synthetic import with_synthetic_columns
 from sparkexp.sources.tables import (
     read_predictions,
@@ -35,6 +35,9 @@ BATCH_SIZE = 1000
 SMALL_BUCKETS = 4000
 LINEITEM_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 LINEITEM_PREDICTORS = ("l_quantity", "l_discount", "l_tax")
+# Predictors with few values, so that SQL can try every split.
+STUMP_PREDICTORS = ("l_discount", "l_tax")
+STUMP_PARAMS = {"max_depth": 1, "eta": 0.5, "subsample": 1.0, "lambda": 1, "objective": "reg:squarederror", "max_bin": 64}
 TREE_PARAMS = {"max_depth": 3, "eta": 0.5, "subsample": 0.8, "lambda": 1, "objective": "reg:squarederror"}
 
 
@@ -51,7 +54,7 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _score(key: str, target: Column, fine: bool) -> Column:
     """Scores that lean towards the label; the coarse ones are often tied."""
-    number, one = key_hash([key], 7), target.cast("long")
+    number, one = F.pmod(key_hash([key], 7), F.lit(1 << 32)), target.cast("long")
     if fine:
         return (number + one * 2147483648).cast("double") / 6442450944.0
     return (F.pmod(number, F.lit(700)) + one * 300).cast("double") / 1000.0
@@ -186,16 +189,18 @@ def q_num_batches(spark, sf_dir):
 
 def q_assign_batches(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders")
-    return batches.assign_batches(orders, "o_orderkey", BATCH_SIZE).select("o_orderkey", "batch_id")
+    batched = batches.assign_batches(orders, "o_orderkey", BATCH_SIZE, spread=["o_custkey"])
+    return batched.select("o_orderkey", "batch_id")
 
 
 def q_batch_ledger(spark, sf_dir):
-    batched = batches.assign_batches(_orders(spark, sf_dir), "o_orderkey", BATCH_SIZE)
+    batched = batches.assign_batches(_orders(spark, sf_dir), "o_orderkey", BATCH_SIZE, spread=["o_custkey"])
     return batches.batch_ledger(batched, "target")
 
 
 def q_batch_ledger_lineitem(spark, sf_dir):
-    batched = batches.assign_batches(_lineitem(spark, sf_dir), ["l_orderkey", "l_linenumber"], 100)
+    key = ["l_orderkey", "l_linenumber"]
+    batched = batches.assign_batches(_lineitem(spark, sf_dir), key, 100, spread=["l_partkey"])
     return batches.batch_ledger(batched, "target")
 
 
@@ -282,25 +287,16 @@ def q_class_histograms(spark, sf_dir):
 def q_synthetic_labeled(spark, sf_dir):
     ids = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
     made = with_synthetic_columns(ids, ratio=0.01)
-    return made.select(
-        "id",
-        "otherValue",
-        "datetimeCol",
-        "targetCol",
-        F.col("feature1").between(1, 1000).alias("feature1_in_range"),
-        F.col("feature2").between(3, 777).alias("feature2_in_range"),
-        (F.length("reference") == 36).alias("reference_is_uuid"),
-    )
+    return made
 
 
 def q_predictions_roundtrip(spark, sf_dir):
-    scored = batches.assign_batches(_scored_orders(spark, sf_dir), "o_orderkey", BATCH_SIZE)
+    scored = batches.assign_batches(_scored_orders(spark, sf_dir), "o_orderkey", BATCH_SIZE, spread=["o_custkey"])
     root = scratch_path(spark, "predictions")
     path = f"{root}/experiment_id=20230101000000/prefix=test"
-    count = batches.num_batches(scored.count(), BATCH_SIZE)
-    write_predictions(scored.select("o_orderkey", "target", "final_score", "batch_id"), path, batches=count)
+    write_predictions(scored.select("o_orderkey", "target", "final_score", "batch_id"), path)
     back = read_predictions(spark, path, base_path=root)
-    return back.select("o_orderkey", "target", "final_score", F.col("batch_id").cast("long").alias("batch_id"), "experiment_id", "prefix")
+    return back.select("o_orderkey", "target", "final_score", "batch_id", "experiment_id", "prefix")
 
 
 def q_metrics_roundtrip(spark, sf_dir):
@@ -318,22 +314,53 @@ def _events_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_impute_indicator(spark, sf_dir):
-    filled = features.impute_missing(_events_with_gaps(spark, sf_dir), ["value"])
-    return filled.select("event_id", "value_missing", F.col("value_filled").isNotNull().alias("is_filled"))
+    """The value where there is one; where not, whether the fill is a value whose rank is within one in a thousand of the middle."""
+    events = _events_with_gaps(spark, sf_dir)
+    filled = features.impute_missing(events, ["value"])
+    near = events.agg(F.percentile("value", [0.499, 0.501]).alias("near")).first().near
+    fits = F.col("value_filled").between(*near)
+    return filled.select(
+        "event_id",
+        "value_missing",
+        F.when(F.col("value_missing") == 0, F.col("value_filled")).alias("kept_value"),
+        F.when(F.col("value_missing") == 1, fits).alias("fill_is_median"),
+    )
 
 
 def _model_summary(df: DataFrame, model: boosting.TrainedModel) -> DataFrame:
     """Row counts, missing scores and whether the ranking beats chance, from a stored table of scores."""
     scored = score_table(model, df, target="target", batches=1, keep_columns=[], key=LINEITEM_KEY)
-    stored, _ = materialize(scored.select("target", "final_score"), "scored")
+    stored, path = materialize(scored.select("target", "final_score"), "scored")
     auc = metrics.roc_auc(stored, "target").first().auc
-    return stored.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_if(F.col("final_score").isNull()).alias("null_scores"),
+    counts = stored.agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("final_score").isNull()).alias("null_scores")
+    ).first()
+    discard(df.sparkSession, path)
+    return df.sparkSession.range(1).select(
+        F.lit(counts.row_count).cast("long").alias("row_count"),
+        F.lit(counts.null_scores).cast("long").alias("null_scores"),
         F.lit(auc > 0.9).alias("beats_chance"),
     )
 
 
+def _stump_scores(spark: SparkSession, sf_dir: str, rounds: int) -> DataFrame:
+    """Scores of trees of depth one, trained on all rows as one batch."""
+    lineitem = _lineitem(spark, sf_dir)
+    model = boosting.train_gbt_incremental(
+        lineitem, predictors=STUMP_PREDICTORS, target="target", params=STUMP_PARAMS, batches=1, rounds=rounds, key=LINEITEM_KEY
+    )
+    scored = model.score(lineitem)
+    return scored.select("l_orderkey", "l_linenumber", F.round("final_score", 9).alias("score"))
+
+
+def q_stump_scores(spark, sf_dir):
+    return _stump_scores(spark, sf_dir, 1)
+
+
+def q_two_stump_scores(spark, sf_dir):
+    return _stump_scores(spark, sf_dir, 2)
+
+
 def q_train_predict_summary(spark, sf_dir):
     lineitem = _lineitem(spark, sf_dir)
     model = boosting.train_gbt(
@@ -385,7 +412,7 @@ def q_predict_saved_model(spark, sf_dir):
         "event_id",
         "target",
         "value",
-        F.col("batch_id").cast("long").alias("batch_id"),
+        "batch_id",
         F.col("final_score").isNotNull().alias("has_score"),
     )
 
@@ -416,7 +443,7 @@ def q_evaluation_metrics(spark, sf_dir):
     return _rounded(found.metrics)
 
 
-def q_run_experiment_summary(spark, sf_dir):
+def _experiment_summary(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     lineitem = _lineitem(spark, sf_dir)
     roles = ColumnRoles("target", "l_shipdate", LINEITEM_PREDICTORS, key=LINEITEM_KEY, keep=("l_orderkey",))
     paths = ExperimentPaths(scratch_path(spark, "experiment"))
@@ -424,10 +451,8 @@ def q_run_experiment_summary(spark, sf_dir):
         lineitem,
         roles,
         paths,
-        params=TREE_PARAMS,
-        batch_size=lineitem.count() // 2 + 1,
-        rounds=2,
         experiment_id="run1",
+        **options,
     )
     scored = read_predictions(spark, paths.predictions("run1"))
     aucs = {prefix: found.metrics.first().auc for prefix, found in done.evaluations.items()}
@@ -443,6 +468,15 @@ def q_run_experiment_summary(spark, sf_dir):
     )
 
 
+def q_run_experiment_summary(spark, sf_dir):
+    return _experiment_summary(spark, sf_dir, params=TREE_PARAMS, batches=2, rounds=2)
+
+
+def q_run_experiment_one_fit_summary(spark, sf_dir):
+    params = {**TREE_PARAMS, "objective": "binary:logistic", "lambda": 0}
+    return _experiment_summary(spark, sf_dir, params=params, trainer="one_fit", rounds=5)
+
+
 def _text_queries() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
     """Queries and SQL of the optional subpackage for training text and of its pipeline, where they are present."""
     if not find_spec("sparkexp.llm"):
@@ -468,8 +502,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # ---------------------------------------------------------------- the same in SQL
 
 
-def _hash_sql(text: str, seed: int) -> str:
-    return f"CAST('0x' || substr(md5({text} || ':{seed}'), 1, 8) AS BIGINT)"
+def _hash_sql(columns: str, seed: int) -> str:
+    """The number of a row's key: each column's text after its length, then the seed."""
+    text = " || ".join(f"length({c}::VARCHAR) || ':' || {c}::VARCHAR" for c in columns.split())
+    return f"CAST('0x' || substr(md5({text} || '|{seed}'), 1, 15) AS BIGINT)"
 
 
 def _scored_sql(fine: bool = False, source: str = "orders") -> str:
@@ -478,7 +514,7 @@ def _scored_sql(fine: bool = False, source: str = "orders") -> str:
         "orders": ("o_orderkey", "o_orderdate", "o_orderstatus = 'F'"),
         "events": ("event_id", "ts", "event_type = 'purchase'"),
     }[source]
-    number, one = _hash_sql(f"CAST({key} AS VARCHAR)", 7), f"CAST(({label}) AS BIGINT)"
+    number, one = f"({_hash_sql(key, 7)} % 4294967296)", f"CAST(({label}) AS BIGINT)"
     score = (
         f"CAST({number} + {one} * 2147483648 AS DOUBLE) / CAST(6442450944 AS DOUBLE)"
         if fine
@@ -609,12 +645,31 @@ def _report_sql() -> str:
     return f"SELECT 'orders' AS experiment_id, section, item, key, x, round(value, 9) AS value, label FROM ({union})"
 
 
+def _stumps_sql(rounds: int) -> str:
+    """Trees of depth one: every split is tried, and each side moves by its mean residual with a penalty of 1."""
+    parts = [
+        """m0 AS (SELECT l_orderkey, l_linenumber, l_discount, l_tax,
+            CAST(l_quantity * l_discount > 1 AS INTEGER)::DOUBLE AS y, 0.5::DOUBLE AS s FROM lineitem)"""
+    ]
+    for i in range(rounds):
+        parts.append(f"""
+        v{i} AS (SELECT p, x, sum(y - s) AS g, count(*) AS h FROM (
+            SELECT 0 AS p, l_discount AS x, y, s FROM m{i} UNION ALL SELECT 1, l_tax, y, s FROM m{i}) GROUP BY p, x),
+        c{i} AS (SELECT p, x, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY p) AS ga,
+            sum(h) OVER (PARTITION BY p) AS ha FROM v{i} WINDOW w AS (PARTITION BY p ORDER BY x)),
+        b{i} AS (SELECT p, x, 0.5 * gl / (hl + 1) AS low, 0.5 * (ga - gl) / (ha - hl + 1) AS high FROM c{i} WHERE hl < ha
+            ORDER BY gl * gl / hl + (ga - gl) * (ga - gl) / (ha - hl) DESC LIMIT 1),
+        m{i + 1} AS (SELECT l_orderkey, l_linenumber, l_discount, l_tax, y,
+            s + CASE WHEN CASE WHEN p = 0 THEN l_discount ELSE l_tax END <= x THEN low ELSE high END AS s FROM m{i}, b{i})""")
+    return f"WITH {', '.join(parts)} SELECT l_orderkey, l_linenumber, round(s, 9) AS score FROM m{rounds}"
+
+
 def oracle_sql() -> dict[str, str]:
     """The SQL for each query, for DuckDB over the same tables."""
     orders, fine = _scored_sql(), _scored_sql(fine=True)
-    order_batch = _hash_sql("CAST(o_orderkey AS VARCHAR)", 42)
-    event_batch = _hash_sql("CAST(event_id AS VARCHAR)", 42)
-    line_batch = _hash_sql("CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)", 42)
+    order_batch = _hash_sql("o_orderkey o_custkey", 42)
+    event_batch = _hash_sql("event_id", 42)
+    line_batch = _hash_sql("l_orderkey l_linenumber l_partkey", 42)
     line_label = "l_quantity * l_discount > 1"
     by_size = f"CAST(ceil(count(*) / {BATCH_SIZE}.0) AS BIGINT)"
     order_days, event_days = _bounds_sql("orders", "o_orderdate", 4), _bounds_sql("events", "ts", 1)
@@ -624,6 +679,10 @@ def oracle_sql() -> dict[str, str]:
     odd = f"""(SELECT o_orderpriority, CASE WHEN o_orderpriority = '5-LOW' THEN false ELSE y END AS y,
         CASE WHEN o_orderpriority = '1-URGENT' THEN s + 1
              WHEN o_orderpriority = '2-HIGH' AND o_orderkey % 100 = 0 THEN NULL ELSE s END AS s FROM {orders})"""
+    experiment = f"""SELECT {_split_case('l_shipdate')} AS prefix, count(*) AS row_count,
+            count(*) FILTER (WHERE {line_label}) AS positives, CAST(sum(l_orderkey) AS BIGINT) AS key_sum,
+            CAST(0 AS BIGINT) AS null_scores, true AS beats_chance
+            FROM lineitem, {line_days} b WHERE {_split_case('l_shipdate')} IN ('val', 'test') GROUP BY 1"""
     return {
         "read_table": "SELECT doc_id, toxic FROM labels",
         "table_shape": """SELECT (SELECT count(*) FROM lineitem) AS row_count,
@@ -680,12 +739,17 @@ def oracle_sql() -> dict[str, str]:
         "synthetic_labeled": """SELECT o_orderkey AS id,
             CAST(round(10 + 990 * CAST(o_orderkey % 10 AS DOUBLE) / 10, 2) AS FLOAT) AS "otherValue",
             DATE '2023-01-01' + CAST(o_orderkey % 365 AS INTEGER) AS "datetimeCol", o_orderkey % 100 = 0 AS "targetCol",
-            true AS feature1_in_range, true AS feature2_in_range, true AS reference_is_uuid FROM orders""",
+            CAST(CAST('0x' || substr(md5(o_orderkey || '|42|1'), 1, 8) AS BIGINT)::DOUBLE / 4294967296.0::DOUBLE * 999 + 1 AS FLOAT) AS feature1,
+            CAST(floor(CAST('0x' || substr(md5(o_orderkey || '|42|2'), 1, 8) AS BIGINT)::DOUBLE / 4294967296.0::DOUBLE * 775) AS INTEGER) + 3 AS feature2,
+            regexp_replace(md5(o_orderkey || '|42|0'), '(.{8})(.{4})(.{4})(.{4})(.{12})', '\\1-\\2-\\3-\\4-\\5') AS reference FROM orders""",
         "predictions_roundtrip": f"""SELECT o_orderkey, y AS target, s AS final_score, {order_batch} % k AS batch_id,
             '20230101000000' AS experiment_id, 'test' AS prefix FROM {orders}, (SELECT {by_size} AS k FROM orders)""",
         "metrics_roundtrip": f"SELECT logloss, auc, auprc FROM ({_metrics_sql(orders)})",
-        "impute_indicator": """SELECT event_id, CAST(event_id % 7 = 0 AS INTEGER) AS value_missing, true AS is_filled
-            FROM events""",
+        "impute_indicator": """SELECT event_id, CAST(event_id % 7 = 0 AS INTEGER) AS value_missing,
+            CASE WHEN event_id % 7 <> 0 THEN value END AS kept_value,
+            CASE WHEN event_id % 7 = 0 THEN true END AS fill_is_median FROM events""",
+        "stump_scores": _stumps_sql(1),
+        "two_stump_scores": _stumps_sql(2),
         "train_predict_summary": learned,
         "incremental_summary": learned,
         "predict_saved_model": f"""SELECT event_id, event_type = 'purchase' AS target,
@@ -693,9 +757,6 @@ def oracle_sql() -> dict[str, str]:
             FROM events, (SELECT {by_size} AS k FROM events)""",
         "report_table": _report_sql(),
         "evaluation_metrics": f"SELECT logloss, auc, auprc FROM ({_metrics_sql(fine)})",
-        "run_experiment_summary": f"""SELECT {_split_case('l_shipdate')} AS prefix, count(*) AS row_count,
-            count(*) FILTER (WHERE {line_label}) AS positives, CAST(sum(l_orderkey) AS BIGINT) AS key_sum,
-            CAST(0 AS BIGINT) AS null_scores, true AS beats_chance
-            FROM lineitem, {line_days} b WHERE {_split_case('l_shipdate')} IN ('val', 'test') GROUP BY 1""",
-        **_text_queries()[1],
-    }
+        "run_experiment_one_fit_summary": experiment,
+        "run_experiment_summary": experiment,
+    } | _text_queries()[1]

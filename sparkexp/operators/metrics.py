@@ -7,6 +7,7 @@ score shared by a third of all rows costs no more than any other.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 
@@ -20,10 +21,8 @@ from sparkexp.operators.prefix import running_totals
 
 # How many distinct scores one bucket of the running totals should hold at most.
 ROWS_PER_BUCKET = 500_000
-# Bounds the list of bucket edges on the driver. More rows make larger buckets, which spill.
-MAX_BUCKETS = 4096
-# Rows per bucket to look at when placing the edges.
-SEEN_PER_BUCKET = 1000
+# Detail of the sketch that places the edges: ranks are off by some hundred-thousandths of the rows.
+SKETCH_DETAIL = 32_768
 
 # The distance from 1 to the next number, for the two score types.
 EPSILON_FLOAT = 2.0**-23
@@ -62,22 +61,23 @@ def score_groups(df: DataFrame, label: str, score: str = SCORE_COLUMN, by: Seque
 def bucket_edges(df: DataFrame, score: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
     """Edges that cut the scores into buckets of about equal size.
 
-    The edges only decide how the work is divided, and results are exact for
-    any edges. So, like Spark's own range partitioning, this looks at a random
-    part of a large table to place them. Between two edges there are about
-    ``rows_per_bucket`` rows, so at most about as many distinct scores,
-    however often a single score repeats.
+    The edges only decide how the work is divided; results are exact for any
+    edges. One pass takes the number of rows and a quantile sketch of fixed
+    size, and the edges are read from the sketch. Between two edges there are about
+    ``rows_per_bucket`` rows, so at most about as many distinct scores, however
+    often a single score repeats. The number of buckets follows the rows, up to
+    what the sketch can tell apart (tens of thousands).
     """
-    rows = df.count()
-    wanted = min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket))
+    number = F.when(is_finite(F.col("_score")), F.col("_score"))
+    seen = df.select(col(score).cast("double").alias("_score")).agg(
+        F.count(F.lit(1)).alias("rows"), F.kll_sketch_agg_double(number, F.lit(SKETCH_DETAIL)).alias("sketch"), F.count(number).alias("usable")
+    ).first()
+    wanted = math.ceil(seen.rows / rows_per_bucket)
     inner: list[float] = [0.0]
-    if wanted > 1:
-        seen = df.select(col(score).cast("double").alias("_score")).where(is_finite(F.col("_score")))
-        share = wanted * SEEN_PER_BUCKET / rows
-        if share < 1:
-            seen = seen.sample(fraction=share, seed=1)
-        places = [i / wanted for i in range(1, wanted)]
-        inner = sorted(set(seen.approxQuantile("_score", places, 1 / (2 * wanted)))) or inner
+    if wanted > 1 and seen.usable:
+        places = F.from_json(F.lit(json.dumps([i / wanted for i in range(1, wanted)])), "array<double>")
+        found = F.kll_sketch_get_quantile_double(F.lit(bytes(seen.sketch)), places)
+        inner = sorted(set(df.sparkSession.range(1).select(found.alias("edges")).first().edges))
     return [-float("inf"), *inner, float("inf")]
 
 

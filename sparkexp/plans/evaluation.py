@@ -28,6 +28,7 @@ EMPTY_PREDICTIONS = "The predictions_data DataFrame is empty."
 TABLES = ("metrics", "roc_curve", "target_counts", "score_histogram")
 # The sections of the report, in order.
 SECTIONS = {"val": "Validation Report", "test": "Test Report"}
+# Fixed value: the section of the spans.
 DETAILS = "Experiment Details"
 
 
@@ -39,6 +40,13 @@ class Evaluation:
     roc_curve: DataFrame
     target_counts: DataFrame
     score_histogram: DataFrame
+    # The table behind the results when they are not stored themselves.
+    ranked_path: str | None = None
+
+    def close(self) -> None:
+        """Remove the intermediate table; results that were not stored cannot be read afterwards."""
+        if self.ranked_path:
+            discard(self.metrics.sparkSession, self.ranked_path)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in TABLES}
@@ -58,18 +66,26 @@ def evaluate(
     The classes are counted and ranked at each distinct score, once, and that
     table is kept in the shared folder. Everything else is a single pass over
     it, without a further sort. With ``output``, the results are written below
-    that path and the intermediate table is removed.
+    that path and the intermediate table is removed; otherwise ``close`` on the result removes it.
     """
     spark = predictions.sparkSession
     epsilon = score_epsilon(predictions, score_col)
     ranked, path = materialize(
         ranked_groups(predictions, target_col, score_col, rows_per_bucket=rows_per_bucket, lead=["p", "n"]), "ranked"
     )
+    try:
+        return _evaluate_ranked(ranked, path, epsilon, output, bins)
+    except BaseException:
+        discard(spark, path)
+        raise
+
+
+def _evaluate_ranked(ranked: DataFrame, path: str, epsilon: float, output: str | None, bins: int) -> Evaluation:
+    spark = ranked.sparkSession
     totals = ranked.agg(
         F.sum("bad").alias("bad"), *range_columns(F.col("n") > 0, F.col("p") > 0, F.col("score"))
     ).first()
     if totals.bad is None or totals.bad > 0:
-        discard(spark, path)
         raise ValueError(f"{totals.bad} rows have no label or no score." if totals.bad else EMPTY_PREDICTIONS)
     by_class = ranked.select(
         "score", F.inline(F.array(*[F.struct(F.lit(t).alias("target"), F.col(c).alias("weight")) for t, c in _CLASSES]))
@@ -79,6 +95,7 @@ def evaluate(
         roc_curve=curve_from_ranked(ranked),
         target_counts=two_class_rows(ranked.agg(F.sum("n").alias("negatives"), F.sum("p").alias("positives"))),
         score_histogram=weighted_histograms(by_class, *class_ranges(totals, bins)),
+        ranked_path=path if output is None else None,
     )
     if output is None:
         return result
@@ -123,8 +140,10 @@ def report_table(experiment_id: str, spans: DataFrame, evaluations: Mapping[str,
     ]
     for prefix, found in evaluations.items():
         section = SECTIONS.get(prefix, "Model Evaluation Report")
-        for name in ("logloss", "auc", "auprc"):
-            parts.append(_values(found.metrics, section, F.lit("metrics"), F.lit(name), None, F.col(name)))
+        # One scan for all three.
+        named = F.array(*[F.struct(F.lit(n).alias("key"), F.col(n).alias("value")) for n in ("logloss", "auc", "auprc")])
+        listed = found.metrics.select(F.inline(named))
+        parts.append(_values(listed, section, F.lit("metrics"), F.col("key"), None, F.col("value")))
         parts.append(
             _values(found.target_counts, section, F.lit("target_counts"), _class_name(), None, F.col("row_count"))
         )

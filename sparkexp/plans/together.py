@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
+from pyspark.sql import SparkSession
 
 T = TypeVar("T")
 
@@ -17,6 +18,7 @@ def run_together(*tasks: Callable[[], T]) -> list[T]:
     Each task starts Spark jobs and waits for them. Side by side, the tail of
     one job leaves no cores idle. The first error is raised once all are done.
     """
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(len(tasks)) as pool:
-        started = [pool.submit(inheritable_thread_target(task)) for task in tasks]
+        started = [pool.submit(inherit(task)) for task in tasks]
     return [task.result() for task in started]
