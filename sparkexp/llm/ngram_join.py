@@ -9,7 +9,8 @@
    of n values equal, the posterior probability of a Jaccard of ``threshold`` or more
    (uniform prior) is a beta tail; once it falls below ``tolerance`` the pair is
    dropped. Components of what is left are the groups that may hold links.
-4. The shingles of these groups are gathered. Pairs are pruned in the same way, and
+4. The shingles of these groups are gathered: documents whose id is not in a bitmap
+   of fixed size are left out where they are read. Pairs are pruned in the same way, and
    what is left is verified on the shingles themselves. Every pair meets once.
 
 A group that is too large for one task is cut into blocks, and every pair of
@@ -148,6 +149,7 @@ _PREPARED = StructType(
         StructField("n_shingles", IntegerType()),
         StructField("signature", BinaryType()),
         StructField("bands", BinaryType()),
+        StructField("short", LongType()),
     ]
 )
 
@@ -159,14 +161,16 @@ def _prepare(pair: DataFrame) -> DataFrame:
     def one(text: str | None) -> tuple:
         found = shingles(text)
         if not len(found):
-            return None, 0, None, None
+            return None, 0, None, None, None
         least = minhash(found)
         short = (least >> np.uint64(24) & np.uint64(0xFFFF)).astype("<u2")
         mixed = np.zeros(BANDS, np.uint64)
         for k, column in enumerate(least.reshape(BANDS, BAND_VALUES).T):
             mixed = (mixed ^ (column >> np.uint64(k + 7))) * np.uint64(0x9E3779B97F4A7C15) + column
         keys = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) + np.arange(BANDS, dtype=np.uint64)
-        return xxhash.xxh3_128_digest(found.tobytes()), len(found), short.tobytes(), keys.astype("<u8").tobytes()
+        name = xxhash.xxh3_128_digest(found.tobytes())
+        first = int.from_bytes(name[:8], "little", signed=True)
+        return name, len(found), short.tobytes(), keys.astype("<u8").tobytes(), first
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,16 +184,15 @@ def _prepare(pair: DataFrame) -> DataFrame:
 
 
 def _band_rows(classes: DataFrame) -> DataFrame:
-    """A row for each class and band."""
-    schema = StructType([StructField("key", LongType()), StructField("class", BinaryType())])
+    """A row for each class and band; classes by the first 64 bits of their hash, which may at worst add a candidate."""
+    schema = StructType([StructField("key", LongType()), StructField("short", LongType())])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.column(0).to_pylist()
+            names = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<i8")[::2]
             keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<i8")
-            repeated = pa.array([n for n in names for _ in range(BANDS)], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(keys), repeated], schema=arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(names, BANDS))], schema=arrow)
 
     return classes.select("class", "bands").mapInArrow(run, schema)
 
@@ -307,16 +310,17 @@ def _grouped(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFr
             F.first("n_shingles").alias("n_shingles"),
             F.first("signature").alias("signature"),
             F.first("bands").alias("bands"),
+            F.first("short").alias("short"),
         ),
         "classes",
     )
 
     bands = _band_rows(classes)
-    members = F.sum(F.xxhash64("class").cast("decimal(38,0)"))
-    grouped = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), members.alias("members")).where("n > 1")
-    kept = grouped.groupBy("n", "members").agg(F.min("key").alias("key")).select("key", "n")
+    members = [F.bit_xor("short").alias("members"), F.bit_xor(F.xxhash64("short")).alias("mixed")]
+    grouped = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *members).where("n > 1")
+    kept = grouped.groupBy("n", "members", "mixed").agg(F.min("key").alias("key")).select("key", "n")
     candidates = written(bands.join(kept, "key"), "candidates")
-    signed = candidates.join(classes.select("class", "signature"), "class")
+    signed = candidates.join(classes.select("class", "signature", "short"), "short").drop("short")
     in_blocks = _in_blocks(signed, "key", F.ceil(F.col("n") / BLOCK_CLASSES))
     likely = in_blocks.groupBy("key", "low", "high").applyInArrow(_likely_edges, _EDGES)
     groups = written(connected_components(likely), "groups")
@@ -324,11 +328,9 @@ def _grouped(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFr
     weight = groups.join(classes.select(F.col("class").alias("node"), "n_shingles", "n_docs", "first_id", "signature"), "node")
     weight = written(weight.withColumnRenamed("node", "class"), "weights")
     sizes = weight.groupBy("root").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).alias("blocks"))
-    # Texts of one document of each class that may have links; an id can be shared by several texts, so the class is checked.
-    needed = weight.select(F.col("first_id").alias("needed_id")).distinct()
-    texts = pair.join(needed, F.col("doc_id").eqNullSafe(F.col("needed_id")), "left_semi")
+    # Shingles of one document of each class that may have links. An id can be shared by several texts, so the class decides.
     shingled = (
-        add_columns(texts, ["text"], [StructField("class", BinaryType()), StructField("shingles", BinaryType())], _shingle_columns, keep=[])
+        _shingles_of(pair, _id_bits(weight.select("first_id")))
         .join(weight.select("class"), "class", "left_semi")
         .groupBy("class")
         .agg(F.first("shingles").alias("shingles"))
@@ -400,12 +402,44 @@ def class_of(text: str | None) -> bytes | None:
     return xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None
 
 
-def _shingle_columns():
-    def work(columns):
-        found = [shingles(t) for t in columns[0]]
-        return [
-            [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in found],
-            [s.astype("<u8").tobytes() for s in found],
-        ]
+_BITS = 1 << 26
+_BUCKET_BITS = 1 << 15  # in one row of Spark's bitmap functions
 
-    return work
+
+def _bit(name: str):
+    return F.pmod(F.xxhash64(name, F.lit(SEED)), F.lit(_BITS))
+
+
+def _id_bits(ids: DataFrame) -> np.ndarray:
+    """A bitmap of hashed ids, of a fixed size (8 MB) whatever their number."""
+    bit = ids.select((_bit(ids.columns[0]) + 1).alias("bit"))
+    rows = (
+        bit.groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+        .collect()
+    )
+    found = np.zeros(_BITS // 8, np.uint8)
+    for row in rows:
+        start = (row.bucket - 1) * _BUCKET_BITS // 8
+        found[start : start + _BUCKET_BITS // 8] = np.frombuffer(bytes(row.bits), np.uint8)
+    return found
+
+
+def _shingles_of(pair: DataFrame, bits: np.ndarray) -> DataFrame:
+    """``class`` and ``shingles`` of the documents whose id is in the bitmap; a few more pass by chance."""
+    shared = pair.sparkSession.sparkContext.broadcast(bits)
+    schema = StructType([StructField("class", BinaryType()), StructField("shingles", BinaryType())])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = batch.column(0).to_numpy()
+            wanted = np.flatnonzero(shared.value[bit >> 3] >> (bit & 7) & 1)
+            for start in range(0, len(wanted), ROWS_AT_ONCE):
+                texts = batch.column(1).take(pa.array(wanted[start : start + ROWS_AT_ONCE])).to_pylist()
+                found = [s for s in map(shingles, texts) if len(s)]
+                names = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary())
+                values = pa.array([s.astype("<u8").tobytes() for s in found], pa.binary())
+                yield pa.RecordBatch.from_arrays([names, values], schema=arrow)
+
+    return pair.select(_bit("doc_id").alias("bit"), "text").mapInArrow(run, schema)
