@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import partial
-from importlib.util import find_spec
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -479,17 +478,15 @@ def q_run_experiment_one_fit_summary(spark, sf_dir):
 
 def _text_queries() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
     """Queries and SQL of the optional subpackage for training text and of its pipeline, where they are present."""
-    if not find_spec("sparkexp.llm"):
+    try:
+        import corpus_pipeline
+        from sparkexp.llm import queries as text_queries
+    except ImportError:
         return {}, {}
-    from sparkexp.llm import queries as text_queries
-
     found, sql = dict(text_queries.queries()), dict(text_queries.oracle_sql())
-    if find_spec("corpus_pipeline"):
-        import corpus_pipeline
-
-        found["pipeline"] = corpus_pipeline.run
-        if corpus_pipeline.ORACLE_SQL:
-            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found, sql
 
 
