@@ -31,7 +31,8 @@ MAX_COVERAGE = 0.5
 
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _SPAN = ArrayType(StructType([StructField("first", IntegerType()), StructField("end", IntegerType())]))
-_built: dict[int, ItemAutomaton] = {}
+# The worker's last automaton, with the items it was built from.
+_built: list[tuple[list, int, ItemAutomaton]] = []
 
 
 class ItemAutomaton:
@@ -145,6 +146,12 @@ class ItemAutomaton:
         return spans, names
 
 
+def _automaton(items: list[tuple[str, str | None]], window: int) -> ItemAutomaton:
+    if not _built or _built[0][0] is not items or _built[0][1] != window:
+        _built[:] = [(items, window, ItemAutomaton(items, window))]
+    return _built[0][2]
+
+
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for first, end in sorted(spans):
@@ -194,10 +201,7 @@ def find_spans(
         shared = frame.sparkSession.sparkContext.broadcast(block)
 
         def make():
-            if id(shared.value) not in _built:
-                _built.clear()
-                _built[id(shared.value)] = ItemAutomaton(shared.value, window)
-            automaton = _built[id(shared.value)]
+            automaton = _automaton(shared.value, window)
 
             def work(columns):
                 texts, before = columns[0], columns[1:] or [[[]] * len(columns[0])] * 2
