@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkexp.llm import decontaminate, language_id, ngram_join, packing, secret_scan
+from sparkexp.llm.ship import shipped
 from sparkexp.sources.scratch import materialize
 
 # Below this share of the chosen language a text fits no language clearly.
@@ -17,6 +18,7 @@ MIN_LANGUAGE_SCORE = 0.3
 VOCABULARY = "byte_bpe_50k.json"
 
 
+@shipped
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or that fit no learned language, go."""
     profiles = language_id.train_profiles(docs.where(~language_id.held_out()))
@@ -25,22 +27,26 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.where(clear).select(*docs.columns)
 
 
+@shipped
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates stays."""
     return ngram_join.keep_one(docs)
 
 
+@shipped
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; documents that mostly consist of them go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     return decontaminate.decontaminate(docs, items)
 
 
+@shipped
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked; every document stays."""
     return secret_scan.redact(docs)
 
 
+@shipped
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' tokens in sequences of 1,024, one row for each piece."""
     return packing.digest(packing.pack(docs, public_tokenizers.path(VOCABULARY)))

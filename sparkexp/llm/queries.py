@@ -19,6 +19,7 @@ from sparkexp.llm import (
     token_records,
     warc_audit,
 )
+from sparkexp.llm.ship import shipped
 from sparkexp.sources.scratch import scratch_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -92,7 +93,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query by name."""
-    return {name: function for name, function in globals().items() if name.startswith("op")}
+    return {name: shipped(function) for name, function in globals().items() if name.startswith("op")}
 
 
 _WORDS = r"[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+"
