@@ -29,8 +29,9 @@ from sparkexp.llm.rows import ROWS_AT_ONCE, add_columns, position_of
 
 GRAMS = 16_384
 TRUSTED_DOCUMENTS = 100_000
-THRESHOLD = -0.2
-SMOOTHING = 1.0
+THRESHOLD = -0.12
+# Grams for each bucket that the trusted counts borrow from the corpus: few trusted documents say little.
+PRIOR = 4.0
 MIN_WORDS = 50
 # Words whose hash a worker remembers.
 _WORDS_KEPT = 400_000
@@ -133,15 +134,17 @@ def count_grams(
     return corpus, target
 
 
-def log_ratio(corpus: np.ndarray, trusted: np.ndarray, smoothing: float = SMOOTHING) -> np.ndarray:
-    """Log of trusted over corpus probability of each bucket."""
+def log_ratio(corpus: np.ndarray, trusted: np.ndarray, prior: float = PRIOR) -> np.ndarray:
+    """Log of trusted over corpus probability of each bucket.
+
+    The corpus counts get one gram a bucket; the trusted ones a prior of ``prior``
+    grams a bucket that are spread as in the corpus.
+    """
     if not trusted.any():
         return np.zeros(len(corpus))
-
-    def probability(counts: np.ndarray) -> np.ndarray:
-        return (counts + smoothing) / (counts.sum() + smoothing * len(counts))
-
-    return np.log(probability(trusted)) - np.log(probability(corpus))
+    raw = (corpus + 1) / (corpus.sum() + len(corpus))
+    borrowed = prior * len(corpus)
+    return np.log((trusted + borrowed * raw) / (trusted.sum() + borrowed)) - np.log(raw)
 
 
 def judge(

@@ -124,9 +124,10 @@ def oracle_sql() -> dict[str, str]:
                       list_transform(range(1, len(h)), lambda i: (h[i] % 65521 * 31 + h[i + 1] % 65521) % 16384))) AS g FROM h),
             good AS (SELECT DISTINCT r FROM d WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND toxic = 0)),
             counts AS (SELECT g, count(*) AS n, count(good.r) AS m FROM b LEFT JOIN good USING (r) GROUP BY g),
-            buckets AS (SELECT range AS g, coalesce(n, 0) + 1.0::DOUBLE AS n, coalesce(m, 0) + 1.0::DOUBLE AS m
+            buckets AS (SELECT range AS g, coalesce(n, 0) + 1.0::DOUBLE AS n, coalesce(m, 0)::DOUBLE AS m
                         FROM range(16384) LEFT JOIN counts ON g = range),
-            ratio AS (SELECT g, ln(m / sum(m) OVER ()) - ln(n / sum(n) OVER ()) AS x FROM buckets),
+            shares AS (SELECT g, n / sum(n) OVER () AS q, m, sum(m) OVER () AS total FROM buckets),
+            ratio AS (SELECT g, ln((m + 65536 * q) / (total + 65536)) - ln(q) AS x FROM shares),
             score AS (SELECT r, avg(x) AS llr FROM b JOIN ratio USING (g) GROUP BY r),
             lines AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
                       WHERE regexp_matches(line, '{_SOLID}') GROUP BY r),
