@@ -169,3 +169,12 @@ def test_class_scores_and_dotted_names(spark):
     assert [r.score for r in class_scores(df, "y", "a.score").collect()] == [0.1]
     assert [r.score for r in class_scores(df, "y", "a.score", positive=False).collect()] == [0.2]
     assert binary_metrics(df.where("y IS NOT NULL"), "y", "a.score").first().auc == 0.0
+
+
+def test_thousands_of_buckets_follow_the_rows(spark):
+    rows = spark.range(20_000).select((F.col("id") / 20_000).alias("s"), (F.col("id") % 3 == 0).alias("y"))
+    edges = bucket_edges(rows, "s", rows_per_bucket=4)
+    assert len(edges) > 4_900
+    fine = binary_metrics(rows, "y", "s", rows_per_bucket=4).first()
+    coarse = binary_metrics(rows, "y", "s").first()
+    assert all(a == pytest.approx(b, abs=1e-12) for a, b in zip(fine, coarse))
