@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from sparkexp.llm.rows import add_columns, position_of, words_of
+from sparkexp.llm.worker import kept
 
 WINDOW = 10
 # Text of items in one automaton, so that a task's memory does not follow the benchmark.
@@ -29,10 +30,9 @@ BLOCK_BYTES = 4_000_000
 # A document of which more than this is hit is left out altogether.
 MAX_COVERAGE = 0.5
 
-_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+# The words of ``words_of`` in a text whose letters are still as written.
+_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 _SPAN = ArrayType(StructType([StructField("first", IntegerType()), StructField("end", IntegerType())]))
-# The worker's last automaton, with the items it was built from.
-_built: list[tuple[list, int, ItemAutomaton]] = []
 
 
 class ItemAutomaton:
@@ -147,9 +147,8 @@ class ItemAutomaton:
 
 
 def _automaton(items: list[tuple[str, str | None]], window: int) -> ItemAutomaton:
-    if not _built or _built[0][0] is not items or _built[0][1] != window:
-        _built[:] = [(items, window, ItemAutomaton(items, window))]
-    return _built[0][2]
+    """The worker's automaton of these items; it holds on to them, so that no others can have their address."""
+    return kept(("automaton", id(items), window), lambda: (ItemAutomaton(items, window), items))[0]
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

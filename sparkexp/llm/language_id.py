@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from sparkexp.llm.rows import ROWS_AT_ONCE, add_columns, position_of
+from sparkexp.llm.worker import kept
 
 DIMENSIONS = 1024
 SEED = 20
@@ -70,11 +71,8 @@ class Encoder:
         return np.fromiter((self.grams[g] for g in wanted), np.int64, len(wanted))
 
 
-_encoders: dict[tuple[int, int], Encoder] = {}
-
-
 def _encoder(dimensions: int, seed: int) -> Encoder:
-    return _encoders.setdefault((dimensions, seed), Encoder(dimensions, seed))
+    return kept(("letters", dimensions, seed), lambda: Encoder(dimensions, seed))
 
 
 _is_letter = np.zeros(0x110000, np.int8)  # 0: not looked up, 1: a letter, -1: none

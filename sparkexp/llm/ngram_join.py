@@ -42,6 +42,7 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 
 from sparkexp.llm.components import connected_components
 from sparkexp.llm.rows import ROWS_AT_ONCE, add_columns, position_of
+from sparkexp.llm.worker import release
 from sparkexp.sources.scratch import discard, materialize
 
 SHINGLE_WORDS = 5
@@ -173,6 +174,7 @@ def _prepare(pair: DataFrame) -> DataFrame:
         return name, len(found), short.tobytes(), keys.astype("<u8").tobytes(), first
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(start, ROWS_AT_ONCE)

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from sparkexp.llm.rows import ROWS_AT_ONCE, add_columns, position_of
+from sparkexp.llm.worker import kept
 
 GRAMS = 16_384
 TRUSTED_DOCUMENTS = 100_000
@@ -48,13 +49,11 @@ class _Hashes(dict):
         return value
 
 
-_hashes = _Hashes()
-
-
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_hashes) > _WORDS_KEPT:
-        _hashes.clear()
-    return np.fromiter(map(_hashes.__getitem__, words), np.int64, len(words))
+    known = kept("word hashes", _Hashes)
+    if len(known) > _WORDS_KEPT:
+        known.clear()
+    return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
 
 def gram_buckets(hashes: np.ndarray, grams: int = GRAMS) -> np.ndarray:

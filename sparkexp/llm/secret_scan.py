@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from sparkexp.llm.rows import add_columns
+from sparkexp.llm.worker import release
 
 SCOPE = 200
 # The kinds in the order in which equal starts are listed.
@@ -157,6 +158,8 @@ def redact(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars",
         return "".join([*out, value[at:]]) if out else value
 
     def make():
+        release()
+
         def work(columns):
             texts = [clean(t) for t in columns[0]]
             if len(fields) == 1:

@@ -15,9 +15,11 @@ import string
 import numpy as np
 from tokenizers import Tokenizer
 
+from sparkexp.llm.worker import kept
+
 END_ID = 0
 # Pieces that a worker remembers, some tens of MB.
-PIECES_KEPT = 700_000
+PIECES_KEPT = 500_000
 _JOINED = 100
 
 
@@ -103,11 +105,6 @@ class TextEncoder:
         return out
 
 
-_encoders: dict[str, TextEncoder] = {}
-
-
 def encoder(vocabulary: str) -> TextEncoder:
     """The worker's encoder for a vocabulary file."""
-    if vocabulary not in _encoders:
-        _encoders[vocabulary] = TextEncoder(vocabulary)
-    return _encoders[vocabulary]
+    return kept(("tokens", vocabulary), lambda: TextEncoder(vocabulary))

@@ -84,6 +84,19 @@ def test_spans_go_and_clean_documents_stay(spark, messy, clashing):
     assert covered.count() == len(rows) - 2  # the text and its near copy
 
 
+def test_capitals_and_punctuation_around_a_span(spark):
+    item = "alpha Beta gamma delta epsilon zeta Eta theta iota KAPPA lambda"
+    rows = [
+        (1, f"ONE, Two! {item.upper()}. THREE Four", None, None, 9),
+        (2, f"É É' X-Y (\n{item}) Z", None, None, 9),
+        (3, "ALL Capitals, AND Nothing Else HERE", None, None, 9),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = {r.doc_id: (r.text, r.n_chars) for r in decontaminate(docs, items, max_coverage=0.9).collect()}
+    assert found == {1: ("ONE, Two! . THREE Four", 22), 2: ("É É' X-Y (\n) Z", 14), 3: (rows[2][1], 9)}
+
+
 def test_empty_tables(spark, messy, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     assert digest(find_spans(empty, none)).count() == 0
