@@ -6,9 +6,12 @@ ran in one would add up.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Hashable
 from typing import TypeVar
 
+import pyarrow as pa
+
 T = TypeVar("T")
 
 _kept: dict[Hashable, object] = {}
@@ -17,11 +20,14 @@ _kept: dict[Hashable, object] = {}
 def kept(name: Hashable, make: Callable[[], T]) -> T:
     """The worker's object of this name; making it drops what is kept under any other."""
     if name not in _kept:
-        _kept.clear()
+        release()
         _kept[name] = make()
     return _kept[name]
 
 
 def release() -> None:
     """Drop what other operators kept."""
-    _kept.clear()
+    if _kept:
+        _kept.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
