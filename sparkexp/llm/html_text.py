@@ -10,7 +10,9 @@ kept blocks are joined in page order with an empty line between.
 
 Defined results: null or empty HTML gives an empty text, and so does a page
 without main text. Tags that are not closed last until their parent ends; an open
-comment or script lasts to the end. Pages are parsed whole; repeated rows one by one.
+comment, script, style, iframe, textarea or title lasts to the end. Self-closed svg
+and math are empty, and a block tag ends them. Pages are parsed whole; repeated rows
+one by one.
 """
 
 from __future__ import annotations
@@ -26,7 +28,12 @@ from pyspark.sql.types import LongType, StringType, StructField
 from sparkexp.llm.rows import add_columns
 
 # Elements by their role.
-_DROPPED = "script|style|noscript|template|svg|math|iframe|object|select|textarea|button|canvas|title"
+_RAW = "script|style|iframe|textarea|title"
+_DROPPED = frozenset("noscript template svg math object select button canvas".split())
+_FOREIGN = frozenset(["svg", "math"])
+# Inside svg and math: elements that hold HTML, and HTML elements that end them.
+_HOLD_HTML = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
+_END_FOREIGN = frozenset("blockquote body center dd div dl dt h1 h2 h3 h4 h5 h6 head hr li menu ol p pre table ul".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
@@ -46,10 +53,13 @@ _FURNITURE_WORDS = frozenset(
 _FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<drop>{_DROPPED})\b(?P<rest>[^>]*)>.*?(?:</(?P=drop)\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})(?=[\s/>])(?P<rest>[^>]*)>?"
     r"""|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^>"']+)*)>?|<[!?][^>]*>?""",
     re.S | re.I,
 )
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I) for tag in _RAW.split("|")}
+# A slash that ends a tag and is no part of a value without quotes.
+_SELF_CLOSED = re.compile(r"""(?:^|["'\s]|[\s"'/][^\s"'=/]+)/\Z""")
 _NAMED = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _PARTS = re.compile(r"[^a-z0-9]+")
 
@@ -98,6 +108,7 @@ def blocks_of(page: str | None) -> list[Block]:
     linked: list[str] = []
     links = 0
     local: tuple[str, int] | None = None  # a paragraph or item with a place of its own
+    dropped: list[str] = []  # the outermost open element without text, and those in it
 
     def flush() -> None:
         if pieces:
@@ -110,19 +121,47 @@ def blocks_of(page: str | None) -> list[Block]:
 
     page = page or ""
     at = 0
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         start, end = m.span()
-        if start > at:
+        if start > at and not dropped:
             pieces.append(page[at:start])
             if links:
                 linked.append(page[at:start])
         at = end
+        if m["raw"]:
+            if not (dropped and dropped[-1] in _FOREIGN and _SELF_CLOSED.search(m["rest"])):
+                closed = _RAW_END[m["raw"].lower()].search(page, at)
+                at = closed.end() if closed else len(page)
+            pieces.append(" ")
+            continue
         tag = (m["tag"] or "").lower()
         if not tag:
-            if m["drop"]:
-                pieces.append(" ")
             continue
         closing = bool(m["close"])
+        if dropped:
+            if closing:
+                if tag not in _BLOCKS and tag not in _DROPPED and tag not in _HOLD_HTML:
+                    continue
+                if tag in dropped:
+                    while dropped.pop() != tag:
+                        pass
+                    continue
+                if tag in _BLOCKS:  # its element was open before
+                    dropped.clear()
+            elif tag == "body" or dropped[-1] in _FOREIGN and tag in _END_FOREIGN:
+                while dropped and (tag == "body" or dropped[-1] in _FOREIGN):
+                    dropped.pop()
+            if dropped:
+                foreign = tag in _FOREIGN or dropped[-1] in _FOREIGN
+                nests = tag in _CONTAINERS or tag in _DROPPED or tag in _HOLD_HTML or tag in _BLOCKS and tag != dropped[-1]
+                if not closing and nests and not (foreign and _SELF_CLOSED.search(m["attrs"])):
+                    dropped.append(tag)
+                continue
+        elif tag in _DROPPED and not closing:
+            pieces.append(" ")
+            if not (tag in _FOREIGN and _SELF_CLOSED.search(m["attrs"])):
+                dropped.append(tag)
+            continue
         if tag == "a":
             links = max(0, links - 1) if closing else links + 1
         elif tag == "br":
@@ -143,7 +182,7 @@ def blocks_of(page: str | None) -> list[Block]:
                 if tag == "body":
                     del stack[1:]
                 stack.append((tag, _place(tag, m["attrs"], stack[-1][1])))
-    if at < len(page):
+    if at < len(page) and not dropped:
         pieces.append(page[at:])
         if links:
             linked.append(page[at:])

@@ -65,3 +65,45 @@ def test_odd_rows(spark, empty):
     assert found.columns == ["page_id", "url", "html", "text", "n_chars"]
     assert sorted(r.n_chars for r in found.collect())[-2:] == [len(LONG)] * 2 and found.count() == 5
     assert H.extract(empty.withColumnRenamed("text", "html")).count() == 0
+
+
+def test_dropped_elements_end_where_they_should():
+    first, second = LONG, LONG.replace("word", "more")
+    whole = f"{first}\n\n{second}"
+    for name in ("svg-icon", "object-view", "button-bar", "script-note", "title-bar", "select-x", "math-ml"):
+        assert text(f"<article><p>{first}</p><{name} name='x'></{name}><p>{second}</p></article>") == whole, name
+    for form in (
+        "<svg class='i'/>",
+        "<svg/>",
+        '<SVG viewBox="0 0 1 1" />',
+        "<svg focusable=false aria-hidden />",
+        "<math/>",
+        "<svg><title/><style/><path d='M0'/></svg>",
+        "<svg><path d='M0'>",
+        "<svg><title>name</title><text>label</text></svg>",
+        "<svg><foreignObject><p>inside</p></foreignObject><text>label</text></svg>",
+        "<math><mi>x</mi></math>",
+        "<div><button>Go</div>",
+        "<div><select><option>a<option>b</div>",
+        "<div><object data=x><param name=a></div>",
+        "<div><canvas>no canvas</div>",
+        "<p><button>Go</p>",
+        "<table><tr><td><p></p><button>Go</td></tr></table>",
+        "<noscript><p>no</p></noscript>",
+        "<template><article><p>no</p></article></template>",
+        "<object><object><p>no</object><p>no</object>",
+        "<button><svg></button>",
+        "<iframe src='a>b'><p>no</p></iframe>",
+        "<textarea><p>no</textarea x>",
+        "<script src=x></script\n><style>p</style >",
+    ):
+        assert text(f"<article><p>{first}</p>{form}<p>{second}</p></article>") == whole, form
+    for name in ("button", "select", "object", "canvas", "noscript", "template"):
+        page = f"<article><p>{first}</p><section><{name}>gone <p>gone</section><p>{second}</p></article>"
+        assert text(page) == whole, name
+        assert text(f"<article><p>{first} <{name}>gone</{name}> {second}</p></article>") == f"{first} {second}", name
+    for name in ("script", "style", "iframe", "textarea", "title"):
+        assert text(f"<article><p>{first}</p><{name}>open <p>{second}</p></article>") == first, name
+        assert text(f"<article><p>{first}</p><{name} a='b'") == first, name
+    assert text(f"<head><noscript><link></head><body><article><p>{first}") == first
+    assert text(f"<p>{first}</p><svg class='i'/><p>{second}</p>") == whole
