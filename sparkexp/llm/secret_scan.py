@@ -7,6 +7,9 @@ The parts of a text are joined as intervals: sorted by place, each weak part
 looks for the nearest complement with a binary search, so a text with many
 parts costs no pairs.
 
+An opaque key is a run of 32 or more base64 characters with a digit, a small and a
+capital letter, and up to two '=' behind it; an '=' before it is no part of it.
+
 Defined results: a null text is empty and has no spans. Spans of one kind never
 overlap; spans of different kinds may. Repeated rows are scanned one by one.
 """
@@ -36,7 +39,7 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _ACCOUNT = re.compile(
     r"""(?<![a-z0-9])(?:user(?:_?name)?|login|account|client_?id)["']?\x20*[:=]\x20*["']?[a-z0-9_.@+-]{3,}""", re.I | re.A
 )
-_OPAQUE = re.compile(r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z0-9+/]*[A-Z])[A-Za-z0-9+/]{32,64}={0,2}(?![A-Za-z0-9+/=_-])")
+_OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z0-9+/]*[A-Z])[A-Za-z0-9+/]{32,}={0,2}(?![A-Za-z0-9+/=_-])")
 _ENDPOINT = re.compile(r"""[a-z][a-z0-9+.]{1,15}://[^\s"'<>]{4,}""", re.A)
 
 Span = tuple[str, int, int]

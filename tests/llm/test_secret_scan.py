@@ -65,3 +65,23 @@ def test_digest_and_redaction(spark, messy, clashing, empty):
     assert out.columns == clashing.columns
     assert sorted(map(repr, out.collect())) == sorted(map(repr, clashing.collect()))
     assert S.digest(empty).count() == 0 and S.redact(empty).count() == 0
+
+
+def test_opaque_keys_of_any_length_and_after_an_equals_sign():
+    long = "aB3+" * 21 + "aB=="
+    assert len(long) == 88
+    for key in (long, "aB3/" * 5_000, OPAQUE):
+        for lead in ("", " ", "'", ":", "=", " = "):
+            text = f"id {KEY} aws_secret_access_key{lead or ' '}{key} end"
+            start = text.index(key)
+            assert S.scan(text)[1:] == [("opaque", start, start + len(key))], (key[:50], lead)
+    text = f"account: myacct key {long}"
+    assert S.scan(text) == [("account", 0, 15), ("opaque", 20, 108)]
+    assert kinds(f"aws_secret_access_key={OPAQUE}") == kinds(long) == []
+    assert kinds(f"id {KEY} {OPAQUE}=== x") == ["access"]
+
+
+def test_long_keys_are_masked(spark):
+    text = f"id {KEY} aws_secret_access_key={OPAQUE} or {'aB3+' * 22} end"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert S.redact(docs).first().text == "id [SECRET] aws_secret_access_key=[SECRET] or [SECRET] end"
