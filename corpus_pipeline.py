@@ -49,7 +49,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 @shipped
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' tokens in sequences of 1,024, one row for each piece."""
-    return packing.digest(packing.pack(docs, public_tokenizers.path(VOCABULARY)))
+    return packing.digest(packing.pack(docs, public_tokenizers.path(VOCABULARY), added_tokens=True))
 
 
 STAGES = [

@@ -120,6 +120,7 @@ def pack(
     size: int = WINDOW,
     open_windows: int = OPEN_WINDOWS,
     merged_partitions: int = MERGED_PARTITIONS,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """One row for each piece, with its ids (little-endian unsigned 32-bit), sequence and offset."""
     spark = docs.sparkSession
@@ -129,7 +130,8 @@ def pack(
     arrow = to_arrow_schema(_PIECES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, packer, task, pieces = encoder(vocabulary), Packer(size, open_windows), TaskContext.get().partitionId(), 0
+        own, packer = encoder(vocabulary, added_tokens), Packer(size, open_windows)
+        task, pieces = TaskContext.get().partitionId(), 0
         rows: list[tuple] = []
 
         def emit(closed: list[tuple[int, list[Piece]]], is_open: bool) -> None:

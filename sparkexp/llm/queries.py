@@ -62,13 +62,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
-    return packing.digest(packing.pack(docs, public_tokenizers.path(VOCABULARY)))
+    return packing.digest(packing.pack(docs, public_tokenizers.path(VOCABULARY), added_tokens=True))
 
 
 def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     folder = scratch_path(spark, "records")
-    index = token_records.write_records(docs, folder, public_tokenizers.path(VOCABULARY))
+    index = token_records.write_records(docs, folder, public_tokenizers.path(VOCABULARY), added_tokens=True)
     files = token_records.number_of_files(spark, index)
     return token_records.digest(token_records.read_records(index, folder, files), index)
 

@@ -87,7 +87,13 @@ def parse(found: list[bytes]) -> list[tuple[int | None, bytes]]:
 
 
 def write_records(
-    docs: DataFrame, folder: str, vocabulary: str, doc_id: str = "doc_id", text: str = "text", file_bytes: int = FILE_BYTES
+    docs: DataFrame,
+    folder: str,
+    vocabulary: str,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    file_bytes: int = FILE_BYTES,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """Write data files and index below ``folder``; returns the index.
 
@@ -109,7 +115,7 @@ def write_records(
     store.create_dir(root, recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, number = encoder(vocabulary), TaskContext.get().partitionId()
+        own, number = encoder(vocabulary, added_tokens), TaskContext.get().partitionId()
         wide = own.tokenizer.get_vocab_size() > 1 << 16
         place, top = _store(data)
         name, at, out = f"part-{number:06d}-{uuid.uuid4().hex}.rec", 0, None

@@ -6,6 +6,10 @@ a token of its own. Nor does it join a letter or digit with the punctuation afte
 it. So a text is cut there, and the library encodes each distinct piece once for as
 long as a worker remembers it. A text with other white space (runs, at either
 end, tabs beside a cut) is encoded whole.
+
+With ``added_tokens`` a text is encoded as the library does by itself: the content of a
+special token, such as ``<|endoftext|>``, gets that token's id. Without, it is text like
+any other. A text in which an added token is recognised is encoded whole.
 """
 
 from __future__ import annotations
@@ -26,9 +30,11 @@ _JOINED = 100
 class TextEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids, each followed by the end id."""
 
-    def __init__(self, vocabulary: str, end_id: int = END_ID, pieces_kept: int = PIECES_KEPT) -> None:
+    def __init__(self, vocabulary: str, end_id: int = END_ID, pieces_kept: int = PIECES_KEPT, added_tokens: bool = False) -> None:
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content for token in added if added_tokens or not token.special]
         self.pieces_kept = pieces_kept
         self.end = np.array([end_id], "<u4").tobytes()
         self.line = self._whole("\n")
@@ -90,12 +96,16 @@ class TextEncoder:
             known.clear()
             self.suffixes.clear()
         # The first piece is written as if a line feed came before it.
-        cut = [("\n" + text.replace("\n", " \n")).split(" ") if text else [] for text in texts]
+        whole = [bool(text) and any(token in text for token in self.added) for text in texts]
+        cut = [("\n" + text.replace("\n", " \n")).split(" ") if text and not w else [] for text, w in zip(texts, whole)]
         found = [list(map(known.get, pieces)) for pieces in cut]
         gaps = [[k for k, ids in enumerate(row) if ids is None] for row in found]
         self._learn({pieces[k] for pieces, places in zip(cut, gaps) for k in places})
         out = []
-        for text, pieces, row, places in zip(texts, cut, found, gaps):
+        for text, w, pieces, row, places in zip(texts, whole, cut, found, gaps):
+            if w:
+                out.append(self._whole(text) + self.end)
+                continue
             for k in places:
                 row[k] = known[pieces[k]]
             try:
@@ -105,6 +115,6 @@ class TextEncoder:
         return out
 
 
-def encoder(vocabulary: str) -> TextEncoder:
+def encoder(vocabulary: str, added_tokens: bool = False) -> TextEncoder:
     """The worker's encoder for a vocabulary file."""
-    return kept(("tokens", vocabulary), lambda: TextEncoder(vocabulary))
+    return kept(("tokens", vocabulary, added_tokens), lambda: TextEncoder(vocabulary, added_tokens=added_tokens))
