@@ -25,7 +25,7 @@ from sparkexp.llm.rows import add_columns, position_of, words_of
 from sparkexp.llm.worker import kept
 
 WINDOW = 10
-# Text of items in one automaton, so that a task's memory does not follow the benchmark.
+# Text of items in one automaton. The benchmark as a whole is collected and broadcast, so it must fit the driver.
 BLOCK_BYTES = 4_000_000
 # A document of which more than this is hit is left out altogether.
 MAX_COVERAGE = 0.5
