@@ -162,7 +162,7 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _item_blocks(items: DataFrame, item_id: str, item_text: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """The items in parts of about ``block_bytes``, so that what is broadcast at once is bounded."""
+    """The items in parts of about ``block_bytes``, so that one automaton is bounded; all parts together are not."""
     named = items.toDF(*[f"_{i}" for i in range(len(items.columns))]).select(
         F.coalesce(F.col(f"_{position_of(items, item_id)}").cast("string"), F.lit("")).alias("name"),
         F.col(f"_{position_of(items, item_text)}").alias("text"),
