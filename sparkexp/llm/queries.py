@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkexp.llm import (
     decontaminate,
+    fill_middle,
     html_text,
     language_id,
     ngram_join,
@@ -17,6 +18,7 @@ from sparkexp.llm import (
     secret_scan,
     sharding,
     token_records,
+    url_filter,
     warc_audit,
 )
 from sparkexp.llm.ship import shipped
@@ -91,6 +93,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(docs)
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return fill_middle.digest(fill_middle.fill_in_middle(docs, keep=["doc_id"]))
+
+
+# The rules of the URL filter.
+RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = ", ".join(f"('{action}', '{host}', '{path}')" for action, host, path in RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {values} AS rules(action, host, path)")
+    return url_filter.filter_urls(_table(spark, sf_dir, "pages", "page_id", "url"), rules, keep=["page_id"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query by name."""
     return {name: shipped(function) for name, function in globals().items() if name.startswith("op")}
@@ -141,6 +158,28 @@ def oracle_sql() -> dict[str, str]:
             failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
             SELECT failed.* EXCLUDE (r), NOT base_failed AND coalesce(llr, 0) >= {quality.THRESHOLD} AS kept
             FROM failed LEFT JOIN score USING (r)""",
+        "op11_fill_middle": """
+            WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+                              sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+            h AS (SELECT *, list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS x FROM d),
+            c AS (SELECT *, least(x[1] % (n + 1), x[2] % (n + 1)) AS a, greatest(x[1] % (n + 1), x[2] % (n + 1)) AS b,
+                         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR x[3] % 100 >= 90 THEN 'plain'
+                              WHEN x[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+            p AS (SELECT *, substring(t, 1, a) AS prefix, substring(t, a + 1, b - a) AS middle, substring(t, b + 1, n - b) AS suffix FROM c)
+            SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+                   CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+                   sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                               ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+                   sha256(t) AS restored_sha256 FROM p""",
+        "op13_url_filter": f"""
+            WITH r(action, h, p) AS (VALUES {", ".join(str(rule) for rule in RULES)}),
+            u AS (SELECT row_number() OVER () AS i, page_id, CASE WHEN contains(url, '://')
+                      THEN substring(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+            parts AS (SELECT i, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+            best AS (SELECT i, arg_max(h || p, length(h || p)) AS rule, arg_max(action, length(h || p)) AS action
+                     FROM parts, r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY i)
+            SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM parts LEFT JOIN best USING (i)""",
         "op8_decontaminate": f"""
             WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce({_LOWER}, ''), '{_WORDS}') AS w
                        FROM documents),
