@@ -15,6 +15,7 @@ from sparkexp.llm import (
     ngram_join,
     packing,
     quality,
+    ranked_search,
     secret_scan,
     sharding,
     token_records,
@@ -98,6 +99,11 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digest(fill_middle.fill_in_middle(docs, keep=["doc_id"]))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return ranked_search.search(docs, _table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 # The rules of the URL filter.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 
@@ -171,6 +177,20 @@ def oracle_sql() -> dict[str, str]:
                    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
                                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
                    sha256(t) AS restored_sha256 FROM p""",
+        "op12_ranked_search": f"""
+            WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '{_WORDS}') AS w FROM documents),
+            n AS (SELECT r, CAST(len(w) AS BIGINT) AS n FROM d WHERE len(w) > 0),
+            totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+            tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t),
+            weights AS (SELECT t, CAST(floor(CAST(1000 AS DOUBLE) * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS x
+                        FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), totals),
+            q AS (SELECT item_id, t, count(*) AS c FROM (SELECT item_id, unnest(regexp_extract_all(coalesce({_LOWER}, ''), '{_WORDS}')) AS t
+                  FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY item_id, t),
+            scores AS (SELECT item_id, r, CAST(sum(c * x * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+                       FROM q JOIN weights USING (t) JOIN tf USING (t) JOIN n USING (r), totals GROUP BY item_id, r)
+            SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score
+            FROM scores JOIN d USING (r) WHERE score > 0 WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+            QUALIFY row_number() OVER best <= 10""",
         "op13_url_filter": f"""
             WITH r(action, h, p) AS (VALUES {", ".join(str(rule) for rule in RULES)}),
             u AS (SELECT row_number() OVER () AS i, page_id, CASE WHEN contains(url, '://')
