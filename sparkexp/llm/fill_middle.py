@@ -37,7 +37,7 @@ MARKS = ("<P>", "<S>", "<M>")
 PLAIN_PERCENT_FROM = 90
 SPM_PERCENT = 20
 SEED = 1
-PART_BYTES = 2_000_000
+PART_BYTES = 250_000
 _NOTHING = pa.scalar("", pa.large_string())
 
 ADDED = [
