@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from sparkexp.llm import url_filter as U
+from sql_check import sql_difference
+
+RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def table(spark, rules):
+    return spark.createDataFrame(rules, "action string, host string, path string")
+
+
+def parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    ends = [rest.find(c) for c in "/?#" if c in rest]
+    cut = min(ends, default=len(rest))
+    path = rest[cut:]
+    ends = [path.find(c) for c in "?#" if c in path]
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut])
+    return host, path[: min(ends, default=len(path))]
+
+
+def judge(url, rules, default="allow"):
+    """Every rule is tried."""
+    host, path = parts(url)
+    fits = []
+    for action, h, p in rules:
+        h, p = "".join(c.lower() if "A" <= c <= "Z" else c for c in h or ""), p or ""
+        if (host == h or host.endswith("." + h)) and path.startswith(p):
+            fits.append((len(h) + len(p), len(h), action, h, p))
+    best = max(fits, default=None)
+    return (host, path, best[3] + best[4] if best else None, best[2] if best else default)
+
+
+URLS = [
+    None, "", "no scheme", "http://", "http://net", "http://net/", "HTTP://A.NET/x?y#z", "https://example.net/en/1?x=/de/",
+    "https://www.example.net/en", "https://example.net/EN/1", "https://notexample.com/de/", "https://m.example.com/de/a/b",
+    "https://example.com?/de/", "https://example.com#/de/", "a://b://c.org/fr/", "x://É.org/fr/é", "x://user@net:80/", "x://a..net/p",
+    "x://.net/p", "x://net./p", "x://a\nb.net/q\nr", "http://example.org/fr/" + "a/" * 5000, "http://" + "a." * 3000 + "net/",
+]
+MORE = [("block", "EXAMPLE.org", "/fr/a"), ("allow", "x.org", "/f"), ("block", "a..net", ""), ("allow", None, None), ("block", "c.org", "fr/"),
+        ("block", "m.example.com", "/de/a/b"), ("allow", "m.example.com", "/de/a/b"), ("allow", "com", "/de/a/b/c"), ("block", "net", "/"), ("block", "net", "/")]
+
+
+@pytest.mark.parametrize("rules", [RULES, RULES + MORE])
+@pytest.mark.parametrize("broadcast", [1000, 0])
+def test_agrees_with_trying_every_rule(spark, rules, broadcast):
+    rows = [(i, u) for i, u in enumerate(URLS)] + [(3, URLS[6])] * 2 + [(None, URLS[7])]
+    pages = spark.createDataFrame(rows, "page_id long, url string").repartition(3)
+    found = U.filter_urls(pages, table(spark, rules), broadcast_rules=broadcast).collect()
+    got = sorted([(r.page_id, r.url, r.host, r.path, r.rule, r.verdict) for r in found], key=repr)
+    assert got == sorted([(i, u, *judge(u, rules)) for i, u in rows], key=repr)
+
+
+def test_random_rules_with_hot_hosts(spark):
+    rng = random.Random(3)
+    hosts = ["a.b", "x.a.b", "c", "b", "y.x.a.b"]
+    paths = ["/", "/p", "/p/", "/p/q", "/q/p/", ""]
+    rules = [(rng.choice(["allow", "block"]), rng.choice(hosts), rng.choice(paths)) for _ in range(12)]
+    rows = [(i, f"http://{'hot.a.b' if i % 3 == 0 else rng.choice(hosts)}{rng.choice(paths)}{rng.choice(paths)}?{i % 50}") for i in range(3000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    for broadcast in (1000, 0):
+        found = U.filter_urls(pages, table(spark, rules), keep=["page_id"], broadcast_rules=broadcast, salts=4).collect()
+        got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in found}
+        assert len(found) == len(rows) and got == {i: judge(u, rules) for i, u in rows}
+
+
+def test_empty_tables_clashing_names_and_bad_actions(spark):
+    pages = spark.createDataFrame([(1, "http://net/", "own", "own")], "page_id long, url string, HOST string, verdict string")
+    out = U.filter_urls(pages, table(spark, RULES))
+    assert out.columns == ["page_id", "url", "host", "path", "rule", "verdict"] and out.first().rule == "net/"
+    assert U.filter_urls(pages.limit(0), table(spark, RULES)).count() == 0
+    free = U.filter_urls(pages, table(spark, []), default="block").first()
+    assert (free.rule, free.verdict) == (None, "block")
+    with pytest.raises(Exception, match="neither allow nor block"):
+        U.filter_urls(pages, table(spark, [("deny", "net", "/")])).collect()
+    with pytest.raises(ValueError, match="There is no column"):
+        U.filter_urls(pages.drop("url"), table(spark, RULES))
+
+
+def test_no_python_in_the_plan(spark):
+    pages = spark.createDataFrame([(1, "http://net/")], "page_id long, url string")
+    plan = U.filter_urls(pages, table(spark, RULES))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_query_agrees_with_sql(spark):
+    assert sql_difference(spark, "op13_url_filter") is None
