@@ -360,13 +360,38 @@ def q_two_stump_scores(spark, sf_dir):
     return _stump_scores(spark, sf_dir, 2)
 
 
+def _one_stump(lineitem: DataFrame, predictors: tuple[str, ...], penalty: float) -> DataFrame:
+    params = {**STUMP_PARAMS, "lambda": penalty}
+    model = boosting.train_gbt(lineitem, predictors=predictors, target="target", params=params, max_iter=1, key=LINEITEM_KEY)
+    return model.score(lineitem).select("l_orderkey", "l_linenumber", F.round("final_score", 9).alias("score"))
+
+
+def q_stump_scores_gaps(spark, sf_dir):
+    """Predictors with missing values; every split is tried with them on either side."""
+    gappy = _lineitem(spark, sf_dir).withColumns(
+        {
+            "l_discount": F.when(F.pmod("l_orderkey", F.lit(3)) != 0, F.col("l_discount")),
+            "l_tax": F.when(F.pmod("l_partkey", F.lit(4)) != 0, F.col("l_tax")),
+        }
+    )
+    return _one_stump(gappy, STUMP_PREDICTORS, 1)
+
+
+def q_stump_scores_penalised(spark, sf_dir):
+    """A penalty of a tenth of the rows, with which another column is split than without."""
+    odd = (F.col("l_linenumber") >= 6) | ((F.col("l_discount") >= 0.08) == (F.col("l_tax") >= 0.06))
+    lineitem = _lineitem(spark, sf_dir).withColumn("target", odd)
+    return _one_stump(lineitem, ("l_linenumber", "l_tax"), lineitem.count() / 10)
+
+
 def q_train_predict_summary(spark, sf_dir):
     lineitem = _lineitem(spark, sf_dir)
     model = boosting.train_gbt(
         lineitem,
         predictors=LINEITEM_PREDICTORS,
         target="target",
-        params={**TREE_PARAMS, "objective": "binary:logistic", "lambda": 0},
+        key=LINEITEM_KEY,
+        params={**TREE_PARAMS, "objective": "binary:logistic"},
         max_iter=5,
     )
     return _model_summary(lineitem, model)
@@ -405,6 +430,7 @@ def q_predict_saved_model(spark, sf_dir):
         batch_size=BATCH_SIZE,
         keep_columns=["event_id", "value"],
         key=["event_id"],
+        spread=(),
     )
     back = read_predictions(spark, folder)
     return back.select(
@@ -472,7 +498,7 @@ def q_run_experiment_summary(spark, sf_dir):
 
 
 def q_run_experiment_one_fit_summary(spark, sf_dir):
-    params = {**TREE_PARAMS, "objective": "binary:logistic", "lambda": 0}
+    params = {**TREE_PARAMS, "objective": "binary:logistic"}
     return _experiment_summary(spark, sf_dir, params=params, trainer="one_fit", rounds=5)
 
 
@@ -481,7 +507,10 @@ def _text_queries() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]]
     try:
         import corpus_pipeline
         from sparkexp.llm import queries as text_queries
-    except ImportError:
+    except ModuleNotFoundError as error:
+        # Only the absence of these parts is expected; a library they lack is an error.
+        if error.name not in ("corpus_pipeline", "sparkexp.llm"):
+            raise
         return {}, {}
     found, sql = dict(text_queries.queries()), dict(text_queries.oracle_sql())
     found["pipeline"] = corpus_pipeline.run
@@ -661,6 +690,24 @@ def _stumps_sql(rounds: int) -> str:
     return f"WITH {', '.join(parts)} SELECT l_orderkey, l_linenumber, round(s, 9) AS score FROM m{rounds}"
 
 
+def _one_stump_sql(first: str, second: str, label: str, penalty: str) -> str:
+    """One split of two columns: each is tried after each value, with the missing values on either side."""
+    return f"""
+        WITH m AS (SELECT l_orderkey, l_linenumber, CAST({first} AS DOUBLE) AS a, CAST({second} AS DOUBLE) AS b,
+                          CAST({label} AS INTEGER)::DOUBLE - 0.5::DOUBLE AS r FROM lineitem),
+        u AS (SELECT 0 AS p, a AS x, r FROM m UNION ALL SELECT 1, b, r FROM m),
+        n AS (SELECT p, sum(r) AS ga, count(*) AS ha, coalesce(sum(r) FILTER (WHERE x IS NULL), 0) AS gn,
+                     count(*) FILTER (WHERE x IS NULL) AS hn, CAST({penalty} AS DOUBLE) AS k FROM u GROUP BY p),
+        v AS (SELECT p, x, sum(r) AS g, count(*) AS h FROM u WHERE x IS NOT NULL GROUP BY p, x),
+        c AS (SELECT p, x, sum(g) OVER w AS g, sum(h) OVER w AS h FROM v WINDOW w AS (PARTITION BY p ORDER BY x)),
+        s AS (SELECT p, x, true AS up, g AS gl, h AS hl, ga, ha, k FROM c JOIN n USING (p)
+              UNION ALL SELECT p, x, false, g + gn, h + hn, ga, ha, k FROM c JOIN n USING (p) WHERE hn > 0),
+        b AS (SELECT p, x, up, 0.5 * gl / (hl + k) AS low, 0.5 * (ga - gl) / (ha - hl + k) AS high FROM s WHERE hl < ha
+              ORDER BY gl * gl / (hl + k) + (ga - gl) * (ga - gl) / (ha - hl + k) DESC LIMIT 1)
+        SELECT l_orderkey, l_linenumber,
+               round(0.5::DOUBLE + CASE WHEN coalesce(CASE WHEN p = 0 THEN a ELSE m.b END > x, up) THEN high ELSE low END, 9) AS score FROM m, b"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The SQL for each query, for DuckDB over the same tables."""
     orders, fine = _scored_sql(), _scored_sql(fine=True)
@@ -747,6 +794,12 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN event_id % 7 = 0 THEN true END AS fill_is_median FROM events""",
         "stump_scores": _stumps_sql(1),
         "two_stump_scores": _stumps_sql(2),
+        "stump_scores_gaps": _one_stump_sql(
+            "CASE WHEN l_orderkey % 3 <> 0 THEN l_discount END", "CASE WHEN l_partkey % 4 <> 0 THEN l_tax END", f"({line_label})", "1"
+        ),
+        "stump_scores_penalised": _one_stump_sql(
+            "l_linenumber", "l_tax", "(l_linenumber >= 6 OR (l_discount >= 0.08) = (l_tax >= 0.06))", "count(*) / 10.0"
+        ),
         "train_predict_summary": learned,
         "incremental_summary": learned,
         "predict_saved_model": f"""SELECT event_id, event_type = 'purchase' AS target,

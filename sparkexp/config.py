@@ -15,7 +15,7 @@ class ColumnRoles:
     """Which columns of the labelled table play which part.
 
     ``key`` names the columns that tell rows apart; it decides the batch of a
-    row. ``keep`` lists the columns to forward to the predictions (all when
+    row, together with ``spread`` (the predictors when left out). ``keep`` lists the columns to forward to the predictions (all when
     left out).
     """
 
@@ -24,6 +24,7 @@ class ColumnRoles:
     predictors: tuple[str, ...]
     key: tuple[str, ...] = ()
     keep: tuple[str, ...] | None = None
+    spread: tuple[str, ...] | None = None
 
 
 @dataclass(frozen=True)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sparkexp.config import SCORE_COLUMN
 from sparkexp.functions.columns import col, key_hash
 from sparkexp.operators.prefix import running_totals
 
@@ -72,6 +73,23 @@ def telling_columns(
     return keys + [name for name in others if name not in keys]
 
 
+# Columns that scoring adds; they never tell rows apart.
+RESERVED = ("batch_id", "prefix", "experiment_id")
+
+
+def batch_columns(
+    df: DataFrame, key: Sequence[str] | str | None, predictors: Sequence[str], spread: Sequence[str] | None = None, score: str = SCORE_COLUMN
+) -> list[str]:
+    """The columns from which training and scoring alike derive a row's batch.
+
+    With a key, the key and then ``spread`` (by default the predictors), so that a key with very
+    many rows fills no batch by itself. Without one, all columns but those that scoring adds.
+    """
+    if not key and spread is None:
+        return [name for name in df.columns if name not in (*RESERVED, score)]
+    return telling_columns(df, key, predictors if spread is None else spread)
+
+
 def batch_ledger(df: DataFrame, target: str, batch_column: str = "batch_id") -> DataFrame:
     """Rows, positives and negatives of each batch, with the running row count and the percentage done.
 

@@ -1,8 +1,7 @@
-"""Boosted trees: in one fit over all rows, or batch by batch.
+"""Boosted trees: over all rows at once, or batch by batch.
 
-Trees are grown by MLlib, on the executors. The batch-by-batch trainer
-continues a model from one batch to the next, which MLlib's own boosting
-cannot do, and it sets leaf values with the L1 and L2 penalties MLlib lacks.
+Trees are grown by Spark aggregations over rows that were binned once (see
+:mod:`sparkexp.operators.trees`) and scored by MLlib's tree models on the executors.
 """
 
 from __future__ import annotations
@@ -10,45 +9,52 @@ from __future__ import annotations
 import json
 import math
 import random
+import time
 import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import ElementwiseProduct
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import (
-    DecisionTreeRegressionModel,
-    GBTRegressionModel,
-    GBTRegressor,
-    RandomForestRegressor,
-)
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressionModel, GBTRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.storagelevel import StorageLevel
 
-from sparkexp.config import PARAMETER_ALIASES, SCORE_COLUMN, TrainingParams, map_params
-from sparkexp.functions.columns import col, key_hash
-from sparkexp.operators.batches import batch_of_hash, num_batches, telling_columns
+from sparkexp.config import SCORE_COLUMN, TrainingParams, map_params
+from sparkexp.functions.columns import as_boolean, col, key_hash
+from sparkexp.operators.batches import batch_columns, batch_of_hash, num_batches
 from sparkexp.operators.features import (
     FEATURES,
     PREFIX,
-    TrainingSummary,
     drop_working_columns,
-    fit_features,
+    finite_double,
+    median_stages,
     refuse_working_names,
-    summarize,
 )
+from sparkexp.operators.trees import (
+    LABEL,
+    MARGIN,
+    WEIGHT,
+    Sketch,
+    Tree,
+    TreeGrower,
+    add_margins,
+    bin_names,
+    ensemble_of,
+    sketch_columns,
+    with_bins,
+)
+from sparkexp.sources.publish import publish, published
 from sparkexp.sources.scratch import discard, materialize
 
 ROUNDS_PER_BATCH = 10
-# Curvature is not taken as smaller than this, so that a certain row's step stays finite.
-LEAST_CURVATURE = 1e-6
+# After so many trees the margins of the batch are written to the shared folder.
+STORE_EVERY = 10
+ROWS_OF_FILE, LEAST_ROWS_OF_FILE, FILES_PER_CORE = 2_000_000, 10_000, 3
 
-LABEL, WEIGHT, MARGIN = f"{PREFIX}label", f"{PREFIX}weight", f"{PREFIX}margin"
-BATCH, HASH = "sx_batch", "sx_hash"
-LEAVES, LEAF, RAW = f"{PREFIX}leaves", f"{PREFIX}leaf", f"{PREFIX}raw"
+BATCH, HASH, POSITIVE = "sx_batch", "sx_hash", "sx_positive"
+RAW = f"{PREFIX}raw"
+# What may become of missing predictor values.
+GAPS = ("direction", "median")
 
 
 def check_training_arguments(
@@ -76,69 +82,23 @@ def check_data_arguments(data: DataFrame, predictors: Sequence[str], target: str
         raise ValueError(f"A batch cannot hold {batch_size} rows.")
 
 
-@dataclass
 class TreeEnsemble:
-    """Trees and the value of each of their leaves. Small: it grows with the trees, not with the rows."""
+    """Trees and the values of their leaves. Small: it grows with the trees, not with the rows."""
 
-    trees: list[DecisionTreeRegressionModel] = field(default_factory=list)
-    leaf_values: list[list[float]] = field(default_factory=list)
-    _known: object = None
+    def __init__(self, grower: TreeGrower) -> None:
+        self.grower = grower
+        self.trees: list[Tree] = []
+        self.models: list[DecisionTreeRegressionModel] = []
+        self.leaf_values: list[list[float]] = []
 
-    def add(self, tree: DecisionTreeRegressionModel, values: list[float]) -> None:
+    def add(self, tree: Tree) -> None:
         self.trees.append(tree)
-        self.leaf_values.append(values)
+        self.models.append(self.grower.tree_model(tree))
+        self.leaf_values.append(list(tree.values.values()))
 
     def as_model(self, spark: SparkSession) -> GBTRegressionModel:
-        """The trees as one MLlib model, which finds the leaves of all trees in one call per row.
-
-        Python has no constructor for it, so this calls the public Scala one.
-        """
-        scala = spark._jvm.org.apache.spark.ml.regression
-        gateway = spark.sparkContext._gateway
-        trees = gateway.new_array(scala.DecisionTreeRegressionModel, len(self.trees))
-        known = 0 if self._known is None else len(self._known)
-        # Only the trees since the last call cross over to the JVM one by one.
-        if known:
-            spark._jvm.java.lang.System.arraycopy(self._known, 0, trees, 0, known)
-        for i in range(known, len(self.trees)):
-            trees[i] = self.trees[i]._java_obj
-        self._known = trees
-        weights = gateway.new_array(spark._jvm.double, len(self.trees))
-        spark._jvm.java.util.Arrays.fill(weights, 1.0)
-        model = GBTRegressionModel(scala.GBTRegressionModel("staged_trees", trees, weights))
-        return _find_leaves(model)
-
-    def margins(self, df: DataFrame, start: float) -> DataFrame:
-        """Set the margin of each row to ``start`` plus the values of the leaves it falls in."""
-        if not self.trees:
-            return df.withColumn(MARGIN, F.lit(start))
-        return _sum_leaves(self.as_model(df.sparkSession).transform(df), self.leaf_values, start)
-
-
-def _find_leaves(model: GBTRegressionModel) -> GBTRegressionModel:
-    return model.setFeaturesCol(FEATURES).setLeafCol(LEAVES).setPredictionCol("")
-
-
-def _constant(values: Sequence, kind: str) -> Column:
-    """An array constant. Spark folds it into one literal while planning, so the compiled
-    code does not depend on the values and is reused from tree to tree."""
-    return F.from_json(F.lit(json.dumps(values)), kind)
-
-
-def _sum_leaves(located: DataFrame, leaf_values: Sequence[Sequence[float]], start: float) -> DataFrame:
-    looked_up = F.zip_with(
-        vector_to_array(LEAVES),
-        _constant(leaf_values, "array<array<double>>"),
-        lambda leaf, values: F.get(values, leaf.cast("int")),
-    )
-    total = F.aggregate(looked_up, F.lit(start), lambda sum_so_far, value: sum_so_far + value)
-    return located.withColumn(MARGIN, total).drop(LEAVES)
-
-
-def _add_tree(rows: DataFrame, tree: DecisionTreeRegressionModel, values: Sequence[float]) -> DataFrame:
-    """The margins after one more tree."""
-    step = F.get(_constant(values, "array<double>"), F.col(LEAF).cast("int"))
-    return tree.transform(rows).withColumn(MARGIN, F.col(MARGIN) + step).drop(LEAF)
+        """The trees as one MLlib model over predictor values."""
+        return ensemble_of(spark, self.models)
 
 
 def _probability(margin: Column) -> Column:
@@ -149,62 +109,38 @@ def _probability(margin: Column) -> Column:
 class TrainedModel:
     """A fitted model that scores a DataFrame on the executors.
 
-    ``ensemble`` is set for a model trained batch by batch; otherwise the
-    last step of ``pipeline`` holds the trees.
+    ``seconds`` has the time that each batch took to train; a loaded model has none.
     """
 
     pipeline: PipelineModel
     params: TrainingParams
     predictors: tuple[str, ...]
     target: str
-    ensemble: GBTRegressionModel | None = None
+    ensemble: GBTRegressionModel
     leaf_values: list[list[float]] = field(default_factory=list)
+    seconds: list[float] = field(default_factory=list)
 
     @property
     def num_trees(self) -> int:
-        return (self.ensemble or self.pipeline.stages[-1]).getNumTrees
+        return self.ensemble.getNumTrees
 
     def score(self, df: DataFrame, score_column: str = SCORE_COLUMN) -> DataFrame:
         """Add the score; every input column is kept and no row is moved."""
-        prepared = self.pipeline.transform(df)
-        logistic = self.params.objective == "logistic"
-        if self.ensemble is not None:
-            located = self.ensemble.transform(prepared)
-            margins = _sum_leaves(located, self.leaf_values, _start_margin(self.params))
-            value = _probability(F.col(MARGIN)) if logistic else F.col(MARGIN)
-            scored = margins.withColumn(score_column, value)
-        elif logistic:
-            scored = prepared.withColumn(score_column, vector_to_array(f"{PREFIX}probability")[1])
-        else:
-            scored = prepared.withColumn(score_column, F.col(RAW))
-        return drop_working_columns(scored)
+        found = self.ensemble.setPredictionCol(RAW).transform(self.pipeline.transform(df))
+        margin = F.col(RAW) + F.lit(_start_margin(self.params))
+        value = _probability(margin) if self.params.objective == "logistic" else margin
+        return drop_working_columns(found.withColumn(score_column, value))
 
     def save(self, path: str) -> str:
         """Save under any path Spark can write to, replacing an earlier model."""
-        spark = SparkSession.active()
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        if self.ensemble is not None:
-            self.ensemble.write().overwrite().save(f"{path}/trees")
-            rows = [
-                (tree, leaf, float(value))
-                for tree, values in enumerate(self.leaf_values)
-                for leaf, value in enumerate(values)
-            ]
-            spark.createDataFrame(rows, "tree int, leaf int, value double").coalesce(1).write.mode(
-                "overwrite"
-            ).parquet(f"{path}/leaf_values")
-        settings = json.dumps(
-            {
-                "params": asdict(self.params),
-                "predictors": list(self.predictors),
-                "target": self.target,
-                "staged": self.ensemble is not None,
-            }
-        )
-        spark.createDataFrame([(settings,)], "value string").coalesce(1).write.mode("overwrite").text(
-            f"{path}/settings"
-        )
-        return path
+        return publish(SparkSession.active(), path, self._write)
+
+    def _write(self, folder: str) -> None:
+        self.pipeline.write().save(f"{folder}/pipeline")
+        self.ensemble.write().save(f"{folder}/trees")
+        settings = {"params": asdict(self.params), "predictors": list(self.predictors), "target": self.target}
+        rows = SparkSession.active().createDataFrame([(json.dumps(settings),)], "value string")
+        rows.coalesce(1).write.text(f"{folder}/settings")
 
 
 def save_model(model: TrainedModel, path: str) -> str:
@@ -213,19 +149,13 @@ def save_model(model: TrainedModel, path: str) -> str:
 
 def load_model(spark: SparkSession, path: str) -> TrainedModel:
     """Load a saved model; a path without one raises Spark's own error."""
-    settings = json.loads(spark.read.text(f"{path}/settings").first().value)
+    folder = published(spark, path)
+    settings = json.loads(spark.read.text(f"{folder}/settings").first().value)
     params = TrainingParams(**{**settings["params"], "notes": tuple(settings["params"]["notes"])})
-    model = TrainedModel(
-        PipelineModel.load(f"{path}/pipeline"), params, tuple(settings["predictors"]), settings["target"]
+    trees = GBTRegressionModel.load(f"{folder}/trees").setFeaturesCol(FEATURES)
+    return TrainedModel(
+        PipelineModel.load(f"{folder}/pipeline"), params, tuple(settings["predictors"]), settings["target"], trees
     )
-    if settings["staged"]:
-        model.ensemble = _find_leaves(GBTRegressionModel.load(f"{path}/trees"))
-        values: list[list[float]] = [[] for _ in range(model.ensemble.getNumTrees)]
-        # One row per leaf, so as small as the model itself.
-        for row in spark.read.parquet(f"{path}/leaf_values").orderBy("tree", "leaf").collect():
-            values[row.tree].append(row.value)
-        model.leaf_values = values
-    return model
 
 
 def _start_margin(params: TrainingParams) -> float:
@@ -234,19 +164,25 @@ def _start_margin(params: TrainingParams) -> float:
     return params.base_score
 
 
-def _check_label(summary: TrainingSummary, target: str) -> None:
-    if summary.rows == 0:
+def _check_label(sketch: Sketch, target: str) -> None:
+    if sketch.rows == 0:
         raise ValueError("There are no rows to train on.")
-    if summary.positives + summary.negatives < summary.rows:
+    if sketch.positives + sketch.negatives < sketch.rows:
         raise ValueError(f"Target column '{target}' holds nulls.")
-    if not summary.positives or not summary.negatives:
+    if not sketch.positives or not sketch.negatives:
         warnings.warn("All training rows are of one class.", stacklevel=3)
 
 
-def _label_and_weight(target: str, params: TrainingParams) -> list[Column]:
-    positive = col(target).cast("boolean")
-    weight = F.when(positive, F.lit(params.scale_pos_weight)).otherwise(F.lit(1.0))
-    return [positive.cast("double").alias(LABEL), weight.alias(WEIGHT)]
+def _vector_stages(values: Sequence[str]) -> list:
+    """The steps from SQL texts of finite doubles (null where missing) to the vector that the trees decide on:
+    each value with gaps beyond every cut, then each with gaps below every cut."""
+    made = [f"coalesce({v}, CAST('Infinity' AS DOUBLE)) AS {PREFIX}a{i}" for i, v in enumerate(values)]
+    made += [f"coalesce({v}, CAST('-Infinity' AS DOUBLE)) AS {PREFIX}z{i}" for i, v in enumerate(values)]
+    names = [f"{PREFIX}{side}{i}" for side in "az" for i in range(len(values))]
+    return [
+        SQLTransformer(statement=f"SELECT *, {', '.join(made)} FROM __THIS__"),
+        VectorAssembler(inputCols=names, outputCol=FEATURES, handleInvalid="keep"),
+    ]
 
 
 def train_gbt(
@@ -257,42 +193,23 @@ def train_gbt(
     params: Mapping[str, object],
     max_iter: int = ROUNDS_PER_BATCH,
     seed: int = 42,
+    key: Sequence[str] | None = None,
+    spread: Sequence[str] | None = None,
+    gaps: str = GAPS[0],
 ) -> TrainedModel:
-    """Fit MLlib boosted trees over all rows at once.
-
-    MLlib has no leaf penalties, no loss-scale ``gamma`` and no columns drawn per
-    tree, so asking for these is refused. ``min_child_weight`` counts rows here.
-    """
-    check_training_arguments(params, train, predictors, target, 1)
-    settings = map_params(params)
-    asked = {PARAMETER_ALIASES.get(name, name): value for name, value in params.items()}
-    unable = [n for n, off in (("lambda", 0), ("alpha", 0), ("gamma", 0), ("colsample_bytree", 1)) if float(asked.get(n, off)) != off]
-    if unable:
-        raise ValueError(f"Training in one fit cannot honour {unable}; train batch by batch or leave them out.")
-    summary = summarize(train, predictors, target)
-    _check_label(summary, target)
-    pipeline = fit_features(train, predictors, summary)
-    used = train.select(*[col(name) for name in predictors], *_label_and_weight(target, settings))
-    rows = pipeline.transform(used).select(FEATURES, LABEL, WEIGHT)
-    kind = GBTClassifier if settings.objective == "logistic" else GBTRegressor
-    trainer = kind(
-        featuresCol=FEATURES,
-        labelCol=LABEL,
-        weightCol=WEIGHT,
-        predictionCol=RAW,
-        maxIter=max_iter,
-        maxDepth=settings.max_depth,
-        stepSize=settings.eta,
-        subsamplingRate=settings.subsample,
-        maxBins=settings.max_bin,
-        minInstancesPerNode=max(1, math.ceil(settings.min_child_weight)),
+    """Boost ``max_iter`` trees over all rows at once."""
+    return train_gbt_incremental(
+        train,
+        predictors=predictors,
+        target=target,
+        params=params,
+        rounds=max_iter,
+        key=key,
         seed=seed,
+        batches=1,
+        spread=spread,
+        gaps=gaps,
     )
-    if kind is GBTClassifier:
-        trainer = trainer.setProbabilityCol(f"{PREFIX}probability").setRawPredictionCol(f"{PREFIX}raw_scores")
-    # MLlib keeps its own binned copy of the rows while it boosts, so they are not persisted here.
-    trees = trainer.fit(rows)
-    return TrainedModel(PipelineModel([*pipeline.stages, trees]), settings, tuple(predictors), target)
 
 
 def train_gbt_incremental(
@@ -306,42 +223,70 @@ def train_gbt_incremental(
     key: Sequence[str] | None = None,
     seed: int = 42,
     batches: int | None = None,
+    spread: Sequence[str] | None = None,
+    gaps: str = GAPS[0],
+    store_every: int = STORE_EVERY,
 ) -> TrainedModel:
     """Train ``rounds`` trees on each batch in turn, each batch continuing from the trees before it.
 
-    There are ``batches`` batches, or as many as rows of about ``batch_size`` need. The
-    role columns are written once to the shared folder, one folder per batch, so
-    that a batch later reads its own rows and no others. Every tree is grown
-    by Spark tasks over the rows of the batch; the driver only keeps the trees, whose
-    number is batches times rounds. A batch may be as large as the whole table.
+    There are ``batches`` batches, or as many as rows of about ``batch_size`` need. A row's batch
+    follows from ``key`` and ``spread`` as in scoring (see ``batch_columns``). One pass over these and the
+    role columns sketches them, a second writes their bins to the shared folder, one folder per batch,
+    so that a batch later reads its own rows and no others. The margins of a
+    batch are written there too, at its start and after every ``store_every`` trees; each tree starts from
+    that table, so what a lost executor costs does not grow with the trees.
+
+    With ``gaps="direction"`` each split learns the side of missing values; values that are missing where
+    training had none go right. With "median" they become the training median first, beside a column
+    that says where they were.
     """
     check_training_arguments(params, train, predictors, target, batch_size)
+    if gaps not in GAPS:
+        raise ValueError(f"Missing values are handled by one of {list(GAPS)}, not by '{gaps}'.")
     settings = map_params(params)
     spark = train.sparkSession
-    number = key_hash(telling_columns(train, key), seed)
-    roles = [number.alias(HASH), *[col(name) for name in dict.fromkeys([*predictors, target])]]
+    telling = batch_columns(train, key, predictors, spread)
+    roles = train.select(*[col(name) for name in dict.fromkeys([*telling, *predictors, target])])
+    positive = as_boolean(col(target))
+    first_steps, values = median_stages(roles, predictors) if gaps == "median" else ([], [finite_double(p) for p in predictors])
+    prepared = PipelineModel(first_steps).transform(roles)
+    columns = [F.expr(value) for value in values]
+    sketch = sketch_columns(prepared, columns, positive, settings.max_bin)
+    _check_label(sketch, target)
     if batches is None:
-        batches = num_batches(train.count(), batch_size)
-    rows = train.select(*roles).withColumn(BATCH, batch_of_hash(F.col(HASH), max(1, batches)))
-    staged, path = materialize(rows, "training", partition_by=BATCH)
-    model = TreeEnsemble()
+        batches = num_batches(sketch.rows, batch_size)
+    batches = max(1, batches)
+    number = key_hash(telling, seed)
+    binned = with_bins(prepared.select("*", number.alias(HASH), positive.alias(POSITIVE)), columns, sketch)
+    kept = [HASH, POSITIVE, *bin_names(len(columns))]
+    rows = binned.select(*kept, batch_of_hash(F.col(HASH), batches).alias(BATCH))
+    files = files_of_batch(sketch.rows // batches, spark.sparkContext.defaultParallelism)
+    # The batch is a remainder of the hash, so its parts are taken from another one.
+    part = F.pmod(F.xxhash64(HASH), F.lit(files))
+    staged, path = materialize(rows.repartition(files * batches, BATCH, part), "training", partition_by=BATCH)
+    model, seconds = TreeEnsemble(TreeGrower(spark, sketch, settings)), []
     try:
-        summary = summarize(staged, predictors, target)
-        _check_label(summary, target)
-        pipeline = fit_features(staged, predictors, summary)
-        labelled = staged.withColumns(dict(zip((LABEL, WEIGHT), _label_and_weight(target, settings))))
+        weight = F.when(F.col(POSITIVE), F.lit(settings.scale_pos_weight)).otherwise(F.lit(1.0))
+        labelled = staged.withColumns({LABEL: F.col(POSITIVE).cast("double"), WEIGHT: weight})
         for batch in range(batches):
-            stage = pipeline.transform(labelled.where(F.col(BATCH) == batch))
-            _train_stage(stage, model, settings, rounds, seed + batch * rounds)
+            started = time.monotonic()
+            _train_stage(labelled.where(F.col(BATCH) == batch).drop(BATCH), model, settings, rounds, seed + batch * rounds, store_every)
+            seconds.append(time.monotonic() - started)
     finally:
         discard(spark, path)
     if not model.trees:
         raise ValueError("No tree was trained: 'subsample' drew no row of any batch.")
+    pipeline = PipelineModel([*first_steps, *_vector_stages(values)])
     return TrainedModel(
-        pipeline, settings, tuple(predictors), target, model.as_model(spark), model.leaf_values
+        pipeline, settings, tuple(predictors), target, model.as_model(spark), model.leaf_values, seconds
     )
 
 
+def files_of_batch(rows: int, cores: int) -> int:
+    """Into how many files a batch is dealt: some for each core, but neither tiny nor huge ones."""
+    return max(1, -(-rows // ROWS_OF_FILE), min(FILES_PER_CORE * cores, rows // LEAST_ROWS_OF_FILE))
+
+
 # The names of the two trainers.
 TRAINERS = ("batches", "one_fit")
 
@@ -358,12 +303,12 @@ def train_with(
     key: Sequence[str] | None,
     seed: int,
     batches: int | None,
+    spread: Sequence[str] | None = None,
+    gaps: str = GAPS[0],
 ) -> TrainedModel:
-    """Train batch by batch, or in one fit of ``rounds`` trees; the caller says which."""
+    """Train batch by batch, or in one fit of ``rounds`` trees over all rows; the caller says which."""
     if trainer not in TRAINERS:
         raise ValueError(f"There is no trainer '{trainer}'; there are {list(TRAINERS)}.")
-    if trainer == "one_fit":
-        return train_gbt(train, predictors=predictors, target=target, params=params, max_iter=rounds, seed=seed)
     return train_gbt_incremental(
         train,
         predictors=predictors,
@@ -373,36 +318,39 @@ def train_with(
         rounds=rounds,
         key=key,
         seed=seed,
-        batches=batches,
+        batches=1 if trainer == "one_fit" else batches,
+        spread=spread,
+        gaps=gaps,
     )
 
 
-def _train_stage(stage: DataFrame, model: TreeEnsemble, params: TrainingParams, rounds: int, seed: int) -> None:
+def _train_stage(
+    stage: DataFrame, model: TreeEnsemble, params: TrainingParams, rounds: int, seed: int, store_every: int = STORE_EVERY
+) -> None:
     """Add up to ``rounds`` trees grown on one batch.
 
-    The margins are stored after every tree, so a pass over the rows never runs
-    more than one tree and each tree costs the same. The margins before are
-    dropped once the new ones are there.
+    A pass over the rows adds the values of the trees since the margins were last
+    written, fewer than ``store_every``, so trees late in a batch cost what early ones do.
     """
-    current = model.margins(stage, _start_margin(params)).select(FEATURES, LABEL, WEIGHT, MARGIN, HASH)
-    held = [current.persist(StorageLevel.MEMORY_AND_DISK)]
+    spark, count = stage.sparkSession, len(model.grower.cuts)
+    base, written, stored = stage.withColumn(MARGIN, F.lit(_start_margin(params))), None, 0
     try:
         for number in range(rounds):
-            rows = _with_gradients(held[-1], params)
-            drawn = rows.where(_is_drawn(params.subsample, seed + number)) if params.subsample < 1.0 else rows
-            weight = F.sum(F.col(WEIGHT) * F.col("curvature")).alias("weight")
-            total = drawn.agg(weight, F.first(FEATURES).alias("one")).first()
-            while len(held) > 1:  # that pass stored the newest
-                held.pop(0).unpersist()
-            if total.weight is None:
-                continue
-            tree = _grow_tree(drawn, params, seed + number, total.weight, total.one.size)
-            values = _leaf_values(drawn, tree, params)
-            model.add(tree, values)
-            held.append(_add_tree(held[-1], tree, values).persist(StorageLevel.MEMORY_AND_DISK))
+            pending = model.trees[stored:]
+            if len(pending) >= store_every or (number == 0 and pending):
+                base, fresh = materialize(add_margins(base, pending, count), "margins")
+                stored, pending = len(model.trees), []
+                if written:
+                    discard(spark, written)
+                written = fresh
+            drawn = base.where(_is_drawn(params.subsample, seed + number)) if params.subsample < 1.0 else base
+            chosen = drawn_columns(count, params.colsample, seed + number) if params.colsample < 1.0 else range(count)
+            tree = model.grower.grow(drawn, chosen, pending)
+            if tree is not None:
+                model.add(tree)
     finally:
-        for frame in held:
-            frame.unpersist()
+        if written:
+            discard(spark, written)
 
 
 def _is_drawn(share: float, seed: int) -> Column:
@@ -412,95 +360,6 @@ def _is_drawn(share: float, seed: int) -> Column:
     return F.pmod(F.xxhash64(HASH, F.lit(str(seed))), F.lit(million)) < share * million
 
 
-def _with_gradients(rows: DataFrame, params: TrainingParams) -> DataFrame:
-    """Residual and curvature of the loss at the current margin."""
-    if params.objective == "logistic":
-        guess = _probability(F.col(MARGIN))
-        curvature = F.greatest(guess * (1 - guess), F.lit(LEAST_CURVATURE))
-        return rows.withColumns({"residual": F.col(LABEL) - guess, "curvature": curvature})
-    return rows.withColumns({"residual": F.col(LABEL) - F.col(MARGIN), "curvature": F.lit(1.0)})
-
-
 def drawn_columns(size: int, share: float, seed: int) -> list[int]:
     """The columns of one tree: a share of all, rounded down, and one at least."""
     return sorted(random.Random(seed).sample(range(size), max(1, int(share * size))))
-
-
-def _grow_tree(rows: DataFrame, params: TrainingParams, seed: int, weight: float, size: int) -> DecisionTreeRegressionModel:
-    """A regression tree on the Newton steps, weighted by curvature.
-
-    The variance it reduces is then the second-order loss, and a child's weight is
-    its curvature, which ``min_child_weight`` bounds. Columns that are not drawn are
-    constant for this tree, so that it cannot split on them.
-    """
-    steps = rows.select(
-        FEATURES,
-        (F.col("residual") / F.col("curvature")).alias("step"),
-        (F.col(WEIGHT) * F.col("curvature")).alias("mass"),
-    )
-    features = FEATURES
-    if params.colsample < 1.0:
-        chosen = drawn_columns(size, params.colsample, seed)
-        mask = Vectors.dense([float(i in chosen) for i in range(size)])
-        features = f"{PREFIX}drawn"
-        steps = ElementwiseProduct(scalingVec=mask, inputCol=FEATURES, outputCol=features).transform(steps)
-    forest = RandomForestRegressor(
-        featuresCol=features,
-        labelCol="step",
-        weightCol="mass",
-        numTrees=1,
-        bootstrap=False,
-        # Not even half of the rows weigh enough for a child: a single leaf.
-        maxDepth=params.max_depth if 2 * params.min_child_weight <= weight else 0,
-        maxBins=params.max_bin,
-        featureSubsetStrategy="all",
-        minInstancesPerNode=1,
-        minWeightFractionPerNode=min(0.499999, params.min_child_weight / weight) if weight > 0 else 0.0,
-        seed=seed,
-    ).fit(steps)
-    return forest.trees[0].setFeaturesCol(FEATURES).setLeafCol(LEAF).setPredictionCol("")
-
-
-def _leaf_values(rows: DataFrame, tree: DecisionTreeRegressionModel, params: TrainingParams) -> list[float]:
-    """The step each leaf adds: penalised residual sum over penalised curvature sum, times the learning rate.
-
-    One partial aggregation; at most ``2 ** max_depth`` rows come to the driver.
-    Splits that lower the loss by less than ``gamma`` are taken back, from the
-    leaves up: their leaves get the value of the node above.
-    """
-    leaves = (tree.numNodes + 1) // 2
-    sums = [(0.0, 0.0)] * leaves
-    gradient, curvature = F.sum(F.col(WEIGHT) * F.col("residual")), F.sum(F.col(WEIGHT) * F.col("curvature"))
-    for row in tree.transform(rows).groupBy(LEAF).agg(gradient.alias("g"), curvature.alias("h")).collect():
-        sums[int(row[LEAF])] = (row.g or 0.0, row.h or 0.0)
-
-    def shrunk(g: float) -> float:
-        return math.copysign(max(abs(g) - params.reg_alpha, 0.0), g)
-
-    def gain(g: float, h: float) -> float:
-        return shrunk(g) ** 2 / (h + params.reg_lambda) / 2 if h + params.reg_lambda > 0 else 0.0
-
-    groups = [[i] for i in range(leaves)]
-    if params.gamma > 0:
-        groups = []
-
-        def visit(node, first: int) -> tuple[list[int], bool, float, float]:
-            """Leaves below a node, whether they are one group, and their sums."""
-            if node.subtreeDepth() == 0:
-                return [first], True, *sums[first]
-            low, low_one, gl, hl = visit(node.leftChild(), first)
-            high, high_one, gr, hr = visit(node.rightChild(), first + len(low))
-            if low_one and high_one and gain(gl, hl) + gain(gr, hr) - gain(gl + gr, hl + hr) < params.gamma:
-                return low + high, True, gl + gr, hl + hr
-            groups.extend(part for part, one in ((low, low_one), (high, high_one)) if one)
-            return low + high, False, gl + gr, hl + hr
-
-        every, one, _, _ = visit(tree._java_obj.rootNode(), 0)
-        if one:
-            groups.append(every)
-    values = [0.0] * leaves
-    for group in groups:
-        g, h = (sum(sums[i][k] for i in group) for k in (0, 1))
-        for i in group:
-            values[i] = params.eta * shrunk(g) / (h + params.reg_lambda) if h + params.reg_lambda > 0 else 0.0
-    return values

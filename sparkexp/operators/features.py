@@ -1,50 +1,19 @@
-"""Turning predictor columns into the feature vector the trees need."""
+"""Turning predictor columns into the finite numbers the trees decide on."""
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer
 from pyspark.sql import DataFrame, functions as F
 
 from sparkexp.functions.columns import col, is_number
 
 FEATURES = "_sx_features"
 PREFIX = "_sx_"
-
-
-@dataclass(frozen=True)
-class TrainingSummary:
-    """What one pass over the training rows tells."""
-
-    rows: int
-    positives: int
-    negatives: int
-    present: dict[str, int]
-
-
-def summarize(train: DataFrame, predictors: Sequence[str], target: str) -> TrainingSummary:
-    """Count rows, classes, and the values present in each predictor, in one job."""
-    label = col(target).cast("boolean")
-    present = [
-        F.count_if(is_number(col(name).cast("double"))).alias(f"present_{i}")
-        for i, name in enumerate(predictors)
-    ]
-    row = train.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(label).alias("positives"),
-        F.count_if(~label).alias("negatives"),
-        *present,
-    ).first()
-    return TrainingSummary(
-        row.total,
-        row.positives,
-        row.negatives,
-        {name: row[f"present_{i}"] for i, name in enumerate(predictors)},
-    )
-
+# Largest finite double: infinite predictor values count as this.
+FINITE = sys.float_info.max
 
 # Relative error in the rank of the medians; smaller is nearer the exact median and dearer.
 MEDIAN_ERROR = 0.0001
@@ -62,36 +31,41 @@ def _as_double(name: str) -> str:
     return f"nullif(CAST({quoted} AS DOUBLE), CAST('NaN' AS DOUBLE))"
 
 
-def fit_features(
-    train: DataFrame, predictors: Sequence[str], summary: TrainingSummary, median_error: float = MEDIAN_ERROR
-) -> PipelineModel:
-    """Fit the steps from predictor columns to a feature vector without gaps.
+def finite_double(name: str) -> str:
+    """SQL text of a predictor as a finite double; null where it is missing."""
+    value = _as_double(name)
+    return f"CASE WHEN {value} IS NOT NULL THEN least(greatest({value}, {-FINITE!r}D), {FINITE!r}D) END"
+
 
-    A missing value becomes the median of the training rows, whose rank is off by ``median_error`` of the rows at most. A predictor that
-    has gaps in training also gets a column that says where they were, so that
-    trees can split on it. One without any value becomes constant, and no tree
-    splits on it.
+def median_stages(
+    train: DataFrame, predictors: Sequence[str], median_error: float = MEDIAN_ERROR
+) -> tuple[list, list[str]]:
+    """Fitted steps that fill gaps, and the SQL texts of the columns the trees then see.
+
+    A missing value becomes the median of the training rows, whose rank is off by
+    ``median_error`` of the rows at most. A predictor that has gaps in training also gets a
+    column that says where they were. One without any value stays empty, and no tree splits on it.
     """
-    values, gaps, filled = [], [], []
+    counts = train.agg(
+        F.count(F.lit(1)).alias("total"),
+        *[F.count_if(is_number(col(name).cast("double"))).alias(f"n{i}") for i, name in enumerate(predictors)],
+    ).first()
+    whole = [i for i in range(len(predictors)) if counts[f"n{i}"]]
+    texts = ", ".join(f"{finite_double(predictors[i])} AS {PREFIX}v{i}" for i in whole)
+    stages, values = [], []
+    if whole:
+        stages.append(SQLTransformer(statement=f"SELECT *, {texts} FROM __THIS__"))
+        imputer = Imputer(
+            inputCols=[f"{PREFIX}v{i}" for i in whole],
+            outputCols=[f"{PREFIX}f{i}" for i in whole],
+            strategy="median",
+            relativeError=median_error,
+        )
+        stages.append(imputer.fit(stages[0].transform(train)))
     for i, name in enumerate(predictors):
-        present = summary.present[name]
-        if present == 0:
-            values.append(f"CAST(0 AS DOUBLE) AS {PREFIX}v{i}")
-            filled.append(f"{PREFIX}v{i}")
-            continue
-        values.append(f"{_as_double(name)} AS {PREFIX}v{i}")
-        filled.append(f"{PREFIX}f{i}")
-        if present < summary.rows:
-            gaps.append((i, f"CAST({_as_double(name)} IS NULL AS DOUBLE) AS {PREFIX}gap{i}"))
-    selected = ", ".join(["*", *values, *[text for _, text in gaps]])
-    imputed = [f for f in filled if f.startswith(f"{PREFIX}f")]
-    stages = [SQLTransformer(statement=f"SELECT {selected} FROM __THIS__")]
-    if imputed:
-        raw = [f.replace(f"{PREFIX}f", f"{PREFIX}v") for f in imputed]
-        stages.append(Imputer(inputCols=raw, outputCols=imputed, strategy="median", relativeError=median_error))
-    inputs = filled + [f"{PREFIX}gap{i}" for i, _ in gaps]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=FEATURES, handleInvalid="error"))
-    return Pipeline(stages=stages).fit(train.select(*[col(name) for name in predictors]))
+        values.append(f"{PREFIX}f{i}" if i in whole else "CAST(NULL AS DOUBLE)")
+    values += [f"CAST({PREFIX}v{i} IS NULL AS DOUBLE)" for i in whole if counts[f"n{i}"] < counts.total]
+    return stages, values
 
 
 def impute_missing(df: DataFrame, columns: Sequence[str], median_error: float = MEDIAN_ERROR) -> DataFrame:

@@ -10,7 +10,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 
 from sparkexp.config import ColumnRoles, ExperimentPaths, new_run_id
-from sparkexp.operators.boosting import ROUNDS_PER_BATCH, check_data_arguments, train_with
+from sparkexp.operators.boosting import GAPS, ROUNDS_PER_BATCH, check_data_arguments, train_with
 from sparkexp.operators.batches import num_batches
 from sparkexp.operators.split import (
     PreparedExperiment,
@@ -56,10 +56,12 @@ def run_experiment(
     seed: int = 42,
     trainer: str = "batches",
     batches: int | None = None,
+    gaps: str = GAPS[0],
 ) -> ExperimentResult:
     """Split, train, score validation and test, evaluate both, and combine the report.
 
-    ``trainer`` is "batches" (``batches`` of them, or by ``batch_size``) or "one_fit".
+    ``trainer`` is "batches" (``batches`` of them, or by ``batch_size``) or "one_fit"; ``gaps`` says
+    how missing values are handled, "direction" or "median".
 
     Uses the session of ``data`` and neither starts nor stops one. Data moves
     between the steps as tables below ``paths``.
@@ -92,6 +94,8 @@ def run_experiment(
         key=roles.key or None,
         seed=seed,
         batches=batches,
+        spread=roles.spread,
+        gaps=gaps,
     )
     conditions = split_conditions(data, roles.datetime, prepared.bounds, cap_test)
     model_path, predictions = run_together(
@@ -108,6 +112,7 @@ def run_experiment(
             keep_columns=roles.keep,
             key=roles.key or None,
             seed=seed,
+            spread=roles.spread,
         ),
     )
 

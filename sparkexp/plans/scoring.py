@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkexp.config import SCORE_COLUMN, ExperimentPaths
 from sparkexp.functions.columns import col
-from sparkexp.operators.batches import batch_of, num_batches
+from sparkexp.operators.batches import RESERVED, batch_columns, batch_of, num_batches
 from sparkexp.operators.boosting import (
+    GAPS,
     ROUNDS_PER_BATCH,
     TrainedModel,
     check_data_arguments,
@@ -20,10 +21,6 @@ from sparkexp.operators.features import refuse_working_names
 from sparkexp.sources.tables import write_predictions
 
 
-# Columns added to the predictions.
-RESERVED = ("batch_id", "prefix", "experiment_id")
-
-
 def train_model(
     *,
     experiment_id: str,
@@ -38,6 +35,8 @@ def train_model(
     seed: int = 42,
     trainer: str = "batches",
     batches: int | None = None,
+    spread: Sequence[str] | None = None,
+    gaps: str = GAPS[0],
 ) -> str:
     """Train batch by batch, or with ``trainer="one_fit"`` in one fit, and save the model; returns its path."""
     model = train_with(
@@ -51,6 +50,8 @@ def train_model(
         key=key,
         seed=seed,
         batches=batches,
+        spread=spread,
+        gaps=gaps,
     )
     return model.save(paths.model(experiment_id))
 
@@ -84,12 +85,13 @@ def score_table(
     key: Sequence[str] | None = None,
     seed: int = 42,
     score_column: str = SCORE_COLUMN,
+    spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add score and batch in one projection over the scan, without moving a row."""
     kept = kept_columns(data, target, keep_columns, score_column)
     refuse_working_names(kept)
-    own = [name for name in data.columns if name not in (*RESERVED, score_column)]
-    batched = data.withColumn("batch_id", batch_of(list(key) if key else own, batches, seed))
+    telling = batch_columns(data, key, model.predictors, spread, score_column)
+    batched = data.withColumn("batch_id", batch_of(telling, batches, seed))
     scored = model.score(batched, score_column)
     return scored.select(*[col(name) for name in kept], col(score_column), "batch_id")
 
@@ -109,6 +111,7 @@ def predict(
     seed: int = 42,
     score_column: str = SCORE_COLUMN,
     batch_folders: bool = False,
+    spread: Sequence[str] | None = None,
 ) -> str:
     """Score ``data`` with a saved model and write the result; returns the folder."""
     check_data_arguments(data, predictors, target_column, batch_size)
@@ -126,6 +129,7 @@ def predict(
         key=key,
         seed=seed,
         score_column=score_column,
+        spread=spread,
     )
     path = paths.predictions(experiment_id, prefix)
     return write_predictions(scored, path, batch_folders=batch_folders)
@@ -144,6 +148,7 @@ def predict_splits(
     keep_columns: Sequence[str] | None = None,
     key: Sequence[str] | None = None,
     seed: int = 42,
+    spread: Sequence[str] | None = None,
 ) -> dict[str, str]:
     """Score several parts of one table in a single pass; returns the folder of each part.
 
@@ -159,8 +164,8 @@ def predict_splits(
     for condition in wanted[1:]:
         any_part = any_part | condition
     rows = data.where(any_part)
-    keys = list(key) if key else [name for name in data.columns if name not in (*RESERVED, SCORE_COLUMN)]
-    batched = rows.withColumns({"prefix": prefix, "batch_id": batch_of(keys, batches_of_part, seed)})
+    telling = batch_columns(data, key, model.predictors, spread)
+    batched = rows.withColumns({"prefix": prefix, "batch_id": batch_of(telling, batches_of_part, seed)})
     kept = kept_columns(data, target_column, keep_columns)
     scored = model.score(batched).select(*[col(name) for name in kept], SCORE_COLUMN, "prefix", "batch_id")
     write_predictions(scored, paths.predictions(experiment_id), by=["prefix"])

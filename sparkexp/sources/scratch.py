@@ -37,14 +37,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> tuple[DataFrame, str]:
     """Write ``df`` to the shared folder and read it back, which cuts its lineage.
 
-    With ``partition_by``, rows are first gathered by that column so that each
-    value becomes a few files; Spark splits a value that holds too many rows.
+    With ``partition_by`` each value of that column gets a folder.
     """
     path = scratch_path(df.sparkSession, label)
-    if partition_by is None:
-        df.write.parquet(path)
-    else:
-        df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
+    writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
+    writer.parquet(path)
     # With the schema given, a table without rows reads back as well, and no file is opened to learn it.
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 

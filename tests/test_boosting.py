@@ -1,18 +1,21 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from sparkexp.config import ExperimentPaths
+from sparkexp.config import ExperimentPaths, map_params
+from sparkexp.functions.columns import key_hash
 from sparkexp.operators import boosting
 from sparkexp.operators.boosting import load_model, save_model, train_gbt, train_gbt_incremental
 from sparkexp.operators.features import impute_missing
 from sparkexp.operators.metrics import roc_auc
-from sparkexp.plans.scoring import predict, train_model
+from sparkexp.operators.trees import LABEL, MARGIN, WEIGHT, TreeGrower, sketch_columns, with_bins
+from sparkexp.plans.scoring import predict, score_table, train_model
 from sparkexp.sources.tables import read_predictions
 
 # The small table of the workload.
@@ -148,7 +151,6 @@ def test_score_survives_saving(spark, separable, tmp_path, objective, trainer):
     if trainer == "batches":
         model = train_gbt_incremental(separable, batch_size=4000, rounds=3, key=["id"], **options)
     else:
-        options["params"].pop("lambda")
         model = train_gbt(separable, max_iter=4, **options)
     scored = model.score(separable)
     assert scored.columns == [*separable.columns, "final_score"]
@@ -320,10 +322,31 @@ def test_gamma_prunes_from_the_leaves_up(separable):
     assert values[0] > values[1] > values[2] == 1
 
 
-def test_one_fit_refuses_what_it_cannot_do(separable):
-    for name, value in (("lambda", 1), ("reg_alpha", 1), ("gamma", 0.1), ("colsample_bytree", 0.5)):
-        with pytest.raises(ValueError, match="cannot honour"):
-            train_gbt(separable, predictors=["l_quantity"], target="target", params={name: value})
+# The workload's own parameters.
+WORKLOAD = {
+    "max_depth": 1,
+    "eta": 0.1,
+    "subsample": 0.8,
+    "colsample_bytree": 0.8,
+    "lambda": 1,
+    "alpha": 0,
+    "gamma": 0,
+    "min_child_weight": 1,
+    "objective": "reg:squarederror",
+    "eval_metric": "logloss",
+    "nthread": 3,
+}
+
+
+def test_one_fit_takes_every_parameter(separable):
+    options = {"predictors": ["l_quantity", "l_discount"], "target": "target", "key": ["id"]}
+    model = train_gbt(separable, params=WORKLOAD, max_iter=3, **options)
+    assert model.num_trees == 3 and len(model.seconds) == 1 and model.seconds[0] > 0
+    plain, shrunk, pruned = (
+        train_gbt(separable, params={"max_depth": 2, "lambda": 0, "eta": 1, **p}, max_iter=1, **options).leaf_values[0]
+        for p in ({}, {"lambda": 1e6, "alpha": 1}, {"gamma": 1e6})
+    )
+    assert max(map(abs, shrunk)) < 0.01 * max(map(abs, plain)) and len(plain) == 4 and len(pruned) == 1
 
 
 def test_trainers_by_name(small, tmp_path):
@@ -339,7 +362,8 @@ def test_trainers_by_name(small, tmp_path):
         load_model(small.sparkSession, train_model(experiment_id=name, trainer=name, batches=1, **arguments))
         for name in ("one_fit", "batches")
     ]
-    assert [m.num_trees for m in loaded] == [2, 2] and [m.ensemble is None for m in loaded] == [True, False]
+    assert [m.num_trees for m in loaded] == [2, 2]
+    assert len({tuple(r.final_score for r in m.score(small).orderBy("id").collect()) for m in loaded}) == 1
     with pytest.raises(ValueError, match="no trainer"):
         train_model(experiment_id="x", trainer="other", **arguments)
 
@@ -380,3 +404,186 @@ def test_nothing_is_left_in_the_shared_folder(spark, separable, tmp_path):
     with pytest.raises(ValueError):
         evaluate(scored.withColumn("target", F.lit(None).cast("boolean")), target_col="target")
     assert files() == before
+
+
+def brute_force_stump(rows, penalty, least=1.0):
+    """Try every split of every column with the gaps on both sides; rows are (values, residual)."""
+    def score(part):
+        return sum(r for _, r in part) ** 2 / (len(part) + penalty) if part else 0.0
+
+    best = None
+    for column in range(len(rows[0][0])):
+        known = [r for r in rows if r[0][column] is not None]
+        gaps = [r for r in rows if r[0][column] is None]
+        for cut in sorted({r[0][column] for r in known}):
+            low = [r for r in known if r[0][column] <= cut]
+            high = [r for r in known if r[0][column] > cut]
+            for right in (True, False):
+                left, rest = (low, high + gaps) if right else (low + gaps, high)
+                if len(left) < least or len(rest) < least:
+                    continue
+                gain = 0.5 * (score(left) + score(rest) - score(rows))
+                if gain > 1e-9 and (best is None or gain > best[0] + 1e-9):
+                    best = (gain, column, cut, right, left, rest)
+    return best
+
+
+@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("penalty", [0, 5])
+def test_stumps_with_gaps_agree_with_trying_every_split(spark, seed, penalty):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(60):
+        x = [rng.choice([None, float("nan"), *range(6)]) if rng.random() < 0.9 else None for _ in range(3)]
+        rows.append((i, *[None if v is None else float(v) for v in x], rng.random() < (0.8 if x[seed % 3] is None else 0.3)))
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, y boolean")
+    params = {"max_depth": 1, "eta": 1, "lambda": penalty, "base_score": 0.5}
+    model = train_gbt_incremental(df, predictors=["a", "b", "c"], target="y", params=params, batches=1, rounds=1, key=["id"])
+    clean = [([None if v is None or math.isnan(v) else v for v in r[1:4]], float(r[4]) - 0.5) for r in rows]
+    _, column, cut, right, left, rest = brute_force_stump(clean, penalty)
+    values = [sum(r for _, r in side) / (len(side) + penalty) for side in (left, rest)]
+    got = {r.id: r.final_score for r in model.score(df).collect()}
+    for (x, _), row in zip(clean, rows):
+        goes_right = right if x[column] is None else x[column] > cut
+        assert got[row[0]] == pytest.approx(0.5 + values[goes_right], abs=1e-9)
+
+
+def test_gaps_go_where_the_loss_is_least_and_median_stays_an_option(spark, tmp_path):
+    """Gaps behave like the low values, so sending them right or filling in the median would be worse."""
+    rows = [(i, None if i % 3 == 0 else float(i % 10), i % 3 == 0 or i % 10 < 3) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, x double, y boolean")
+    options = {"predictors": ["x"], "target": "y", "params": {"max_depth": 1, "eta": 1, "lambda": 0}, "rounds": 1, "batches": 1, "key": ["id"]}
+    learned = train_gbt_incremental(df, **options)
+    assert squared_error(learned.score(df).withColumnRenamed("y", "target")) == pytest.approx(0, abs=1e-12)
+    loaded = load_model(spark, save_model(learned, str(tmp_path / "m")))
+    assert squared_error(loaded.score(df).withColumnRenamed("y", "target")) == pytest.approx(0, abs=1e-12)
+    median = train_gbt_incremental(df, gaps="median", **options)
+    scored = median.score(df)
+    assert set(scored.columns) == {*df.columns, "final_score"} and squared_error(scored.withColumnRenamed("y", "target")) > 0.01
+    with pytest.raises(ValueError, match="direction"):
+        train_gbt_incremental(df, gaps="other", **options)
+
+
+def test_gaps_that_training_did_not_have_go_right(spark):
+    df = spark.createDataFrame([(i, float(i % 2), i % 2 == 1) for i in range(20)], "id long, x double, y boolean")
+    model = train_gbt_incremental(df, predictors=["x"], target="y", params={"eta": 1, "lambda": 0}, batches=1, rounds=1, key=["id"])
+    odd = spark.createDataFrame([(None,), (float("nan"),), (float("inf"),), (float("-inf"),), (0.5,)], "x double")
+    assert [r.final_score for r in model.score(odd).collect()] == pytest.approx([1, 1, 1, 0, 0])
+
+
+def test_infinite_values_are_the_largest_finite_ones(spark):
+    rows = [(i, (float("-inf"), 0.0, float("inf"))[i % 3], i % 3 == 2) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, x double, y boolean")
+    model = train_gbt_incremental(df, predictors=["x"], target="y", params={"eta": 1, "lambda": 0, "max_depth": 2}, batches=1, rounds=1, key=["id"])
+    assert squared_error(model.score(df).withColumnRenamed("y", "target")) == pytest.approx(0, abs=1e-12)
+
+
+def test_lambda_takes_part_in_the_choice_of_the_split(spark):
+    """A few clean rows on one column win without a penalty, many less clean ones on the other with it."""
+    rows = [(i, float(i < 4), float(i % 2), i < 4 or (i % 2 == 1 and i % 10 != 9) or i % 10 == 8) for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y boolean")
+    used = []
+    for penalty in (0, 50):
+        params = {"max_depth": 1, "lambda": penalty, "base_score": 0.45}
+        model = train_gbt_incremental(df, predictors=["a", "b"], target="y", params=params, batches=1, rounds=1, key=["id"])
+        residuals = [([r[1], r[2]], float(r[3]) - 0.45) for r in rows]
+        assert model.ensemble.trees[0]._java_obj.rootNode().split().featureIndex() == brute_force_stump(residuals, penalty)[1]
+        used.append(brute_force_stump(residuals, penalty)[1])
+    assert used[1] == 1
+
+
+def deep_tree(spark, separable, cells):
+    summed = sketch_columns(separable, [F.col(c) for c in ("l_quantity", "l_discount", "l_tax")], F.col("target"), 16)
+    rows = with_bins(separable, [F.col(c) for c in ("l_quantity", "l_discount", "l_tax")], summed).withColumns(
+        {LABEL: F.col("target").cast("double"), WEIGHT: F.lit(1.0), MARGIN: F.lit(0.5)}
+    )
+    grower = TreeGrower(spark, summed, map_params({"max_depth": 5, "lambda": 1}), cells)
+    tree = grower.grow(rows, range(3))
+    return [(n.column, n.bin, n.rows, n.left, round(n.gain, 6)) for n in tree.nodes]
+
+
+def test_blocks_of_columns_and_subtraction_grow_the_same_tree(spark, separable):
+    whole = deep_tree(spark, separable, 1_000_000)
+    assert len(whole) > 20
+    assert deep_tree(spark, separable, 40) == whole  # a block is one column, and no sums are kept
+
+
+def test_every_tree_fits_the_rows_as_binned_before(spark, separable):
+    """Stored margins, pending trees and the final model agree."""
+    options = {"predictors": ["l_quantity", "l_discount"], "target": "target", "params": {"max_depth": 2, "eta": 0.3}, "rounds": 5, "batches": 2, "key": ["id"]}
+    scores = []
+    for every in (1, 2, 100):
+        model = train_gbt_incremental(separable, store_every=every, **options)
+        scores.append(sorted((r.id, round(r.final_score, 9)) for r in model.score(separable).collect()))
+    assert scores[0] == scores[1] == scores[2]
+
+
+def test_many_distinct_values_are_cut_at_quantiles(spark):
+    df = spark.range(5000).select("id", (F.col("id") * 1.0).alias("x"), (F.col("id") > 1234).alias("y"))
+    found = sketch_columns(df, [F.col("x")], F.col("y"), 10)
+    assert found.rows == 5000 and found.positives == 3765 and len(found.cuts[0]) == 9
+    assert all(abs(cut - 500 * (i + 1)) < 30 for i, cut in enumerate(found.cuts[0]))
+    binned = with_bins(df, [F.col("x")], found).groupBy("bin0").count().collect()
+    assert len(binned) == 10 and max(r["count"] for r in binned) < 600
+
+
+def test_training_and_scoring_give_a_row_the_same_batch(spark, separable, monkeypatch):
+    seen = {}
+
+    def record(stage, model, *rest):
+        seen[len(seen)] = stage.count()
+        model.trees.append(None)
+
+    monkeypatch.setattr(boosting, "_train_stage", record)
+    monkeypatch.setattr(boosting.TreeEnsemble, "as_model", lambda self, spark: None)
+    options = {"predictors": ["l_quantity", "l_discount"], "target": "target", "params": {}, "key": ["id"], "batches": 7}
+    train_gbt_incremental(separable, **options)
+    wanted = separable.select(F.pmod(key_hash(["id", "l_quantity", "l_discount"], 42), F.lit(7)).alias("b")).groupBy("b").count()
+    assert seen == {r.b: r["count"] for r in wanted.collect()}
+    monkeypatch.undo()
+    model = train_gbt_incremental(separable, rounds=1, **options)
+    scored = score_table(model, separable, target="target", batches=7, key=["id"])
+    assert {r.batch_id: r["count"] for r in scored.groupBy("batch_id").count().collect()} == seen
+
+
+def test_training_reads_key_and_role_columns_only(spark, tmp_path):
+    lineitem = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").withColumn("target", F.col("l_quantity") > 20)
+    read = []
+    original = boosting.materialize
+
+    def record(df, label, *rest, **options):
+        if label == "training":
+            read.append(df._jdf.queryExecution().executedPlan().toString())
+        return original(df, label, *rest, **options)
+
+    boosting.materialize, params = record, {"max_depth": 1}
+    try:
+        train_gbt_incremental(lineitem, predictors=["l_tax"], target="target", params=params, batches=1, rounds=1, key=["l_orderkey", "l_linenumber"])
+    finally:
+        boosting.materialize = original
+    assert re.search(r"ReadSchema: struct<(l_orderkey|l_linenumber|l_quantity|l_tax):\w+(,(l_orderkey|l_linenumber|l_quantity|l_tax):\w+){3}>", read[0])
+
+
+def test_a_model_that_is_not_written_to_the_end_leaves_the_earlier_one(spark, small, tmp_path, monkeypatch):
+    path = str(tmp_path / "model")
+    first, second = (
+        train_gbt(small, predictors=["feature1"], target="target", params={"eta": eta}, max_iter=1, key=["id"]) for eta in (0.1, 0.9)
+    )
+
+    def scores(model):
+        return [r.final_score for r in model.score(small).orderBy("id").collect()]
+
+    save_model(first, path)
+
+    def fail(folder):
+        first.pipeline.write().save(f"{folder}/pipeline")
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(second, "_write", fail)
+    with pytest.raises(RuntimeError, match="killed"):
+        save_model(second, path)
+    assert scores(load_model(spark, path)) == scores(first)
+    monkeypatch.undo()
+    save_model(second, path)
+    assert scores(load_model(spark, path)) == scores(second) != scores(first)
+    assert len(list((tmp_path / "model" / "versions").iterdir())) == 1
