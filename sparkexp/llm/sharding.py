@@ -1,24 +1,25 @@
 """Two-pass external shuffle of a table into shards of equal row counts.
 
-Pass one scatters rows into buckets by a seeded hash; the number of buckets
-follows the table's bytes, so a bucket fits in memory. Pass two loads one bucket
-at a time, puts its rows in an order that does not depend on their arrival, and
-shuffles them by Fisher and Yates with a seed of its own. The buckets, one after
-another, are the shuffled table; it is cut into shards whose counts differ by
-one at most (law ``rows``). Each bucket is written by one task.
-
-A key held by very many rows would fill one bucket, so rows of a hot key are
-scattered by their place in the input as well. Only these rows depend on the
-input's layout, and rows with equal key and text on their order of arrival.
+Pass one scatters rows into buckets by a seeded hash of the whole row; the number of
+buckets follows the table's bytes, so a bucket fits in memory. Pass two loads one bucket
+at a time, puts its rows in the order of their hashes, and shuffles them by Fisher and
+Yates with a seed of its own. The buckets, one after another, are the shuffled table; it is cut into
+shards whose counts differ by one at most (law ``rows``). Each bucket is written by one task.
+
+Where a row goes depends on its content, the seed and the number of buckets alone, never on the input's
+layout, so it does not matter how often Spark computes the input or in which order its rows come. A key
+with very many rows is spread by their other columns. Rows that are equal in every column and so many that
+they would fill a bucket are counted, and the copies are numbered and scattered by hash and number.
+What was written is compared with what was counted; a difference, as from an input that is computed
+differently each time, raises.
 
 Defined results: a null text has no bytes and checksum 0. Repeated rows are kept
-and placed one by one. An empty table has no shards. Null keys are a key.
+and placed one by one. An empty table has no shards. Null keys are a key. Columns that Spark cannot hash
+(maps) do not take part in the hash; with such a column equal rows are not spread.
 """
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -27,12 +28,14 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from sparkexp.llm.rows import position_of
 from sparkexp.operators.prefix import running_totals
-from sparkexp.sources.scratch import scratch_path
+from sparkexp.sources.scratch import materialize, scratch_path
 
 SHARDS = 40
 SEED = 7
 BUCKET_BYTES = 16_000_000
 ROW_BYTES = 16
+# Copies of one row that a task makes from its count at a time.
+COPIES_AT_ONCE = 10_000
 
 
 def fisher_yates(count: int, seed: list[int]) -> list[int]:
@@ -66,23 +69,17 @@ def shuffle_into_shards(
     spark = docs.sparkSession
     fields = [f for f in docs.schema.fields if f.name.lower() not in ("shard", "slot")]
     places = [i for i, f in enumerate(docs.schema.fields) if f.name.lower() not in ("shard", "slot")]
-    key_at, text_at = position_of(docs, key), position_of(docs, text)
+    position_of(docs, key)
+    size = _size(F.col(f"_{position_of(docs, text)}"))
     rows = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
-    key_hash = F.xxhash64(F.lit(seed), F.col(f"_{key_at}"), F.col(f"_{key_at}").isNull())
+    own = [f"_{i}" for i in places]
+    hashable = [name for name, field in zip(own, fields) if "map<" not in field.dataType.simpleString()]
+    row_hash = F.xxhash64(F.lit(seed), *[c for name in hashable for c in (F.col(name), F.col(name).isNull())])
 
-    totals = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_size(F.col(f"_{text_at}"))), F.lit(0)).alias("bytes")).first()
+    totals = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
     buckets = max(1, -(-totals.bytes // bucket_bytes))
-    # A key is hot if it fills a bucket by itself, so there are fewer hot keys than buckets.
-    few = max(2, totals.n // buckets)
-    hashed = rows.withColumn("_hash", key_hash)
-    hot = hashed.groupBy("_hash").count().where(F.col("count") > few).select("_hash").collect()
-    plain = F.pmod(F.col("_hash"), F.lit(buckets))
-    if hot:
-        spread = F.pmod(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), F.lit(buckets))
-        listed = spark.createDataFrame(hot, "_hash long").withColumn("_hot", F.lit(True))
-        hashed = hashed.withColumn("_spread", spread).join(listed, "_hash", "left")
-        plain = F.when(F.col("_hot"), F.col("_spread")).otherwise(plain)
-    scattered = hashed.select(plain.alias("bucket"), *[f"_{i}" for i in places])
+    hashed = rows.select(row_hash.alias("_hash"), *own)
+    scattered = _scatter(hashed, own, buckets, max(2, totals.n // buckets), seed, len(hashable) == len(own))
 
     counts = scattered.groupBy("bucket").count().withColumn("part", F.floor(F.col("bucket") / 4096))
     summed = running_totals(counts, bucket="part", order="bucket", sums=["count"])
@@ -95,20 +92,18 @@ def shuffle_into_shards(
         + [StructField("shard", IntegerType()), StructField("slot", LongType())]
     )
     arrow = to_arrow_schema(schema)
-    own_key, own_text = 1 + places.index(key_at), 1 + places.index(text_at)
 
     def one_bucket(table: pa.Table) -> pa.Table:
-        number = table.column(0)[0].as_py()
-        names = table.column(own_key).to_pylist()
-        prints = [(t is not None, zlib.crc32(t.encode("utf-8", "surrogatepass"))) if t is not None else (False, 0) for t in table.column(own_text).to_pylist()]
-        alike = sorted(range(len(names)), key=lambda i: (names[i] is not None, names[i] if names[i] is not None else 0, prints[i]))
-        order = [alike[i] for i in fisher_yates(len(alike), [seed, number])]
-        place = table.column(len(fields) + 1)[0].as_py() + np.arange(len(order))
+        number, start = table.column("bucket")[0].as_py(), table.column("first")[0].as_py()
+        # Rows of equal hash are equal, so their order does not matter.
+        alike = np.argsort(table.column("_hash").to_numpy(), kind="stable")
+        order = alike[fisher_yates(len(alike), [seed, number])]
+        place = start + np.arange(len(order))
         # Shard s holds the places from ceil(s * rows / shards) on, so counts differ by one at most.
         shard = place * shards // rows_total
         slot = place - -(-shard * rows_total // shards)
-        taken = table.take(pa.array(order, pa.int64()))
-        columns = [taken.column(1 + k).cast(f.type) for k, f in zip(range(len(fields)), arrow)]
+        taken = table.select(own).take(pa.array(order, pa.int64()))
+        columns = [column.cast(f.type) for column, f in zip(taken.columns, arrow)]
         columns += [pa.array(shard.astype(np.int32)), pa.array(slot)]
         return pa.Table.from_arrays(columns, schema=arrow)
 
@@ -116,7 +111,46 @@ def shuffle_into_shards(
     path = path or scratch_path(spark, "shards")
     done.toDF(*[f.name for f in fields], "shard", "slot").write.partitionBy("shard").parquet(path)
     kept = StructType([StructField(f.name, f.dataType, True) for f in fields] + [StructField("slot", LongType()), StructField("shard", IntegerType())])
-    return spark.read.schema(kept).parquet(path)
+    written = spark.read.schema(kept).parquet(path)
+    _verify(written, rows_total, shards)
+    return written
+
+
+def _scatter(hashed: DataFrame, own: list[str], buckets: int, few: int, seed: int, spread: bool) -> DataFrame:
+    """The rows with their bucket. Equal rows, more than ``few``, are numbered."""
+    plain = F.pmod(F.col("_hash"), F.lit(buckets)).alias("bucket")
+    heavy = hashed.groupBy("_hash").count().where(F.col("count") > few).select("_hash")
+    if not spread:
+        return hashed.select(plain, "_hash", *own)
+    # Fewer than the buckets. As a stored table Spark knows its size and broadcasts it only if it is small.
+    heavy, _ = materialize(heavy, "heavy-rows")
+    if heavy.isEmpty():
+        return hashed.select(plain, "_hash", *own)
+    chunks = hashed.join(heavy, "_hash", "left_semi").groupBy("_hash", *own).agg(F.count(F.lit(1)).alias("_n"))
+    at_once = F.lit(COPIES_AT_ONCE)
+    chunks = chunks.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / at_once).cast("long"))))
+    dealt = chunks.repartition("_hash", "_chunk")
+    last = F.least(F.col("_n") - F.col("_chunk") * at_once, at_once) - 1
+    copies = dealt.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    copy = F.col("_copy") + F.col("_chunk") * at_once
+    numbered = F.pmod(F.xxhash64(F.lit(seed), F.col("_hash"), copy), F.lit(buckets)).alias("bucket")
+    rest = hashed.join(heavy, "_hash", "left_anti").select(plain, "_hash", *own)
+    return rest.unionByName(copies.select(numbered, "_hash", *own))
+
+
+def _verify(written: DataFrame, rows: int, shards: int) -> None:
+    """Raise unless every shard holds the places it must, each once."""
+    found = written.groupBy("shard").agg(
+        F.count(F.lit(1)).alias("n"), F.max("slot").alias("last"), F.sum("slot").alias("sum")
+    )
+    got = {row.shard: (row.n, row.last, row.sum) for row in found.collect()}
+    wanted = {}
+    for shard in range(shards):
+        n = -(-(shard + 1) * rows // shards) - -(-shard * rows // shards)
+        if n:
+            wanted[shard] = (n, n - 1, n * (n - 1) // 2)
+    if got != wanted:
+        raise RuntimeError("The rows written are not those counted: the input is computed differently each time. Store it first.")
 
 
 def digest(shards: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
