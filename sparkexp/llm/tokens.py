@@ -4,8 +4,13 @@ The vocabulary's pre-tokenizer never joins text across a single white space
 between two other characters: a space starts the token after it, a line feed is
 a token of its own. Nor does it join a letter or digit with the punctuation after
 it. So a text is cut there, and the library encodes each distinct piece once for as
-long as a worker remembers it. A text with other white space (runs, at either
-end, tabs beside a cut) is encoded whole.
+long as a worker remembers it; a word of letters goes straight to the library's model, in the
+letters that stand for its bytes, as the steps before it would pass it on. A text with other
+white space (runs, at either end, tabs beside a cut) is encoded whole.
+
+A worker remembers two generations of pieces. When the young one has ``BYTES_KEPT`` it
+becomes the old one, and pieces that are met again move to the new young one. So frequent pieces
+stay, pieces that occur once go, and memory is bounded in bytes, however long a piece is.
 
 With ``added_tokens`` a text is encoded as the library does by itself: the content of a
 special token, such as ``<|endoftext|>``, gets that token's id. Without, it is text like
@@ -22,57 +27,109 @@ from tokenizers import Tokenizer
 from sparkexp.llm.worker import kept
 
 END_ID = 0
-# Pieces that a worker remembers, some tens of MB.
-PIECES_KEPT = 300_000
+# What a generation of remembered pieces takes, and what a piece takes besides its text and ids.
+BYTES_KEPT = 40_000_000
+_PIECE_BYTES = 180
 _JOINED = 100
+# Letters below this have long been letters for every library.
+_OLD_LETTERS = "\u0530"
+
+
+def _byte_letters() -> list[str]:
+    """How byte-level vocabularies write each byte: visible Latin-1 letters as they are, others from U+0100 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in visible]
+    return [chr(b) if b in visible else chr(256 + others.index(b)) for b in range(256)]
+
+
+_LETTERS = _byte_letters()
+_FROM_LATIN = str.maketrans({chr(b): letter for b, letter in enumerate(_LETTERS)})
 
 
 class TextEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids, each followed by the end id."""
 
-    def __init__(self, vocabulary: str, end_id: int = END_ID, pieces_kept: int = PIECES_KEPT, added_tokens: bool = False) -> None:
+    def __init__(self, vocabulary: str, end_id: int = END_ID, bytes_kept: int = BYTES_KEPT, added_tokens: bool = False) -> None:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = not added_tokens
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = [token.content for token in added if added_tokens or not token.special]
-        self.pieces_kept = pieces_kept
+        self.bytes_kept = bytes_kept
         self.end = np.array([end_id], "<u4").tobytes()
         self.line = self._whole("\n")
+        self.model = self.tokenizer.model
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        # Words may go to the model only if it does to them what the whole library does.
+        self.plain = all(self._whole(word) == self._of_model(word) for word in (" probe", " Éléphantß", "probe", " жук"))
         # Ids of a piece that follows a space, or, written with its line feed, a line feed. False: not to be cut there.
         self.known: dict[str, bytes | bool] = {}
+        self.older: dict[str, bytes | bool] = {}
         self.suffixes: dict[str, bytes] = {}
+        self.size = 0
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _of_model(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(_FROM_LATIN)
+        return b"".join([self.id_bytes[token.id] for token in self.model.tokenize(letters)])
+
+    def _keep(self, piece: str, ids: bytes | bool) -> None:
+        self.known[piece] = ids
+        self.size += _PIECE_BYTES + len(piece) + (len(ids) if ids else 0)
+
+    def _recall(self, pieces: set[str]) -> set[str]:
+        """Move what the older generation has of the pieces to the young one; returns the rest."""
+        older = self.older
+        if not older:
+            return pieces
+        rest = pieces.difference(older)
+        for piece in pieces.difference(rest):
+            self._keep(piece, older[piece])
+        return rest
+
     def _learn(self, pieces: set[str]) -> None:
         """Remember the ids of pieces that are not known."""
-        known, stems, endings = self.known, {}, []
+        known, stems, endings, others = self.known, set(), [], []
         for piece in pieces:
             if piece.isalpha():  # most are
-                stems[piece] = None
+                stems.add(piece)
                 continue
+            stem = piece.rstrip(string.punctuation)
             body = piece[1:] if piece[:1] == "\n" else piece
             if not body or body[0].isspace() or body[-1].isspace():
-                known[piece] = False
-                continue
-            stem = piece.rstrip(string.punctuation)
-            if len(stem) < len(piece) and stem and stem[-1].isalnum():
+                self._keep(piece, False)
+            elif len(stem) < len(piece) and stem and stem[-1].isalnum():
                 endings.append((piece, stem, piece[len(stem) :]))
-                if stem not in known:
-                    stems[stem] = None
+                others.append(stem)
             else:
-                stems[piece] = None
+                stems.add(piece)
+        stems |= self._recall(set(others).difference(known))
+        if self.plain:
+            tokenize, id_bytes, of_model, line = self.model.tokenize, self.id_bytes, self._of_model, self.line
+            size, left = 0, []
+            for word in stems:
+                if word.isalpha() and word.isascii():
+                    known[word] = ids = b"".join([id_bytes[token.id] for token in tokenize("\u0120" + word)])
+                elif word.removeprefix("\n").isalpha() and max(word) < _OLD_LETTERS:
+                    known[word] = ids = line + of_model(word[1:]) if word[0] == "\n" else of_model(" " + word)
+                else:
+                    left.append(word)
+                    continue
+                size += _PIECE_BYTES + len(word) + len(ids)
+            self.size += size
+            stems = left
         self._encode_apart([s for s in stems if s[0] == "\n"], "")
         self._encode_apart([s for s in stems if s[0] != "\n"], " ")
         for piece, stem, ending in endings:
             if ending not in self.suffixes:
                 self.suffixes[ending] = self._whole(ending)
-            known[piece] = known[stem] + self.suffixes[ending]
+                self.size += _PIECE_BYTES + 5 * len(ending)
+            self._keep(piece, known[stem] + self.suffixes[ending])
 
     def _encode_apart(self, pieces: list[str], lead: str) -> None:
         """Encode many pieces with few calls; line feeds between them show where one ends."""
-        known, skip = self.known, 0 if lead else 1
+        skip = 0 if lead else 1
         groups = [pieces[i : i + _JOINED] for i in range(0, len(pieces), _JOINED)]
         texts = ["\n".join([lead + piece[skip:] for piece in group]) for group in groups]
         line = np.frombuffer(self.line, "<u4")[0]
@@ -81,35 +138,33 @@ class TextEncoder:
             cuts = (4 * np.flatnonzero(ids == line)).tolist()
             if len(cuts) != len(group) - 1:
                 for piece in group:
-                    known[piece] = self.line * skip + self._whole(lead + piece[skip:])
+                    self._keep(piece, self.line * skip + self._whole(lead + piece[skip:]))
                 continue
             raw, at = ids.tobytes(), 0
             for piece, cut in zip(group, [*cuts, len(raw)]):
                 # For a piece that starts a line the line feed's id goes in front.
-                known[piece] = self.line + raw[at:cut] if skip else raw[at:cut]
+                self._keep(piece, self.line + raw[at:cut] if skip else raw[at:cut])
                 at = cut + 4
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as bytes; null is empty."""
-        known = self.known
-        if len(known) > self.pieces_kept:
-            known.clear()
+        if self.size > self.bytes_kept:
+            self.known, self.older, self.size = {}, self.known, 0
             self.suffixes.clear()
+        known = self.known
         # The first piece is written as if a line feed came before it.
         whole = [bool(text) and any(token in text for token in self.added) for text in texts]
         cut = [("\n" + text.replace("\n", " \n")).split(" ") if text and not w else [] for text, w in zip(texts, whole)]
-        found = [list(map(known.get, pieces)) for pieces in cut]
-        gaps = [[k for k, ids in enumerate(row) if ids is None] for row in found]
-        self._learn({pieces[k] for pieces, places in zip(cut, gaps) for k in places})
+        new = set().union(*cut).difference(known)
+        if new:
+            self._learn(self._recall(new))
         out = []
-        for text, w, pieces, row, places in zip(texts, whole, cut, found, gaps):
+        for text, w, pieces in zip(texts, whole, cut):
             if w:
                 out.append(self._whole(text) + self.end)
                 continue
-            for k in places:
-                row[k] = known[pieces[k]]
             try:
-                out.append(b"".join(row)[len(self.line) :] + self.end)
+                out.append(b"".join(map(known.__getitem__, pieces))[len(self.line) :] + self.end)
             except TypeError:  # a False among them
                 out.append(self._whole(text) + self.end)
         return out

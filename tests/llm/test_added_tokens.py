@@ -35,7 +35,7 @@ def ids_of(text, tokenizer=TOKENIZER):
 def test_added_tokens_get_their_ids(kept):
     assert list(np.frombuffer(ids_of("a <|endoftext|> b"), "<u4")) == [64, 220, 50256, 275, 0]
     texts = TEXTS + [r[1] for r in messy_rows()]
-    own = TextEncoder(VOCABULARY, pieces_kept=kept, added_tokens=True)
+    own = TextEncoder(VOCABULARY, bytes_kept=kept, added_tokens=True)
     for _ in range(2):
         assert own.encode(texts) == [ids_of(t) for t in texts]
 

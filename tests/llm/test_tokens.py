@@ -48,7 +48,7 @@ ODD = [
 @pytest.mark.parametrize("kept", [3, 100_000])
 def test_cut_texts_encode_as_whole_ones(kept):
     texts = ODD + [r[1] for r in messy_rows()]
-    own = TextEncoder(VOCABULARY, pieces_kept=kept)
+    own = TextEncoder(VOCABULARY, bytes_kept=kept)
     for _ in range(2):
         assert own.encode(texts) == [ids_of(t) for t in texts]
 
