@@ -20,6 +20,7 @@ any other. A text in which an added token is recognised is encoded whole.
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -30,7 +31,7 @@ END_ID = 0
 # What a generation of remembered pieces takes, and what a piece takes besides its text and ids.
 BYTES_KEPT = 40_000_000
 _PIECE_BYTES = 180
-_JOINED = 100
+_ENDINGS_KEPT = 10_000
 # Letters below this have long been letters for every library.
 _OLD_LETTERS = "\u0530"
 
@@ -43,9 +44,29 @@ def _byte_letters() -> list[str]:
 
 
 _LETTERS = _byte_letters()
+_SPACE = _LETTERS[32]
 _FROM_LATIN = str.maketrans({chr(b): letter for b, letter in enumerate(_LETTERS)})
 
 
+class _Pieces(dict):
+    """Ids of a piece that follows a space, or, written with its line feed, a line feed. False: not to be cut there.
+
+    A piece that is not here is taken from the older generation or encoded.
+    """
+
+    def __init__(self, make: Callable[[str], bytes | bool], older: dict[str, bytes | bool]) -> None:
+        super().__init__()
+        self.make, self.older, self.size = make, older, 0
+
+    def __missing__(self, piece: str) -> bytes | bool:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.make(piece)
+        self[piece] = ids
+        self.size += _PIECE_BYTES + len(piece) + (len(ids) if ids else 0)
+        return ids
+
+
 class TextEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids, each followed by the end id."""
 
@@ -57,114 +78,61 @@ class TextEncoder:
         self.bytes_kept = bytes_kept
         self.end = np.array([end_id], "<u4").tobytes()
         self.line = self._whole("\n")
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         # Words may go to the model only if it does to them what the whole library does.
         self.plain = all(self._whole(word) == self._of_model(word) for word in (" probe", " Éléphantß", "probe", " жук"))
-        # Ids of a piece that follows a space, or, written with its line feed, a line feed. False: not to be cut there.
-        self.known: dict[str, bytes | bool] = {}
-        self.older: dict[str, bytes | bool] = {}
-        self.suffixes: dict[str, bytes] = {}
-        self.size = 0
+        self.known, self.suffixes = _Pieces(self._of_piece, {}), {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _of_model(self, word: str) -> bytes:
         letters = word.encode().decode("latin-1").translate(_FROM_LATIN)
-        return b"".join([self.id_bytes[token.id] for token in self.model.tokenize(letters)])
-
-    def _keep(self, piece: str, ids: bytes | bool) -> None:
-        self.known[piece] = ids
-        self.size += _PIECE_BYTES + len(piece) + (len(ids) if ids else 0)
-
-    def _recall(self, pieces: set[str]) -> set[str]:
-        """Move what the older generation has of the pieces to the young one; returns the rest."""
-        older = self.older
-        if not older:
-            return pieces
-        rest = pieces.difference(older)
-        for piece in pieces.difference(rest):
-            self._keep(piece, older[piece])
-        return rest
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Remember the ids of pieces that are not known."""
-        known, stems, endings, others = self.known, set(), [], []
-        for piece in pieces:
-            if piece.isalpha():  # most are
-                stems.add(piece)
-                continue
-            stem = piece.rstrip(string.punctuation)
-            body = piece[1:] if piece[:1] == "\n" else piece
-            if not body or body[0].isspace() or body[-1].isspace():
-                self._keep(piece, False)
-            elif len(stem) < len(piece) and stem and stem[-1].isalnum():
-                endings.append((piece, stem, piece[len(stem) :]))
-                others.append(stem)
-            else:
-                stems.add(piece)
-        stems |= self._recall(set(others).difference(known))
-        if self.plain:
-            tokenize, id_bytes, of_model, line = self.model.tokenize, self.id_bytes, self._of_model, self.line
-            size, left = 0, []
-            for word in stems:
-                if word.isalpha() and word.isascii():
-                    known[word] = ids = b"".join([id_bytes[token.id] for token in tokenize("\u0120" + word)])
-                elif word.removeprefix("\n").isalpha() and max(word) < _OLD_LETTERS:
-                    known[word] = ids = line + of_model(word[1:]) if word[0] == "\n" else of_model(" " + word)
-                else:
-                    left.append(word)
-                    continue
-                size += _PIECE_BYTES + len(word) + len(ids)
-            self.size += size
-            stems = left
-        self._encode_apart([s for s in stems if s[0] == "\n"], "")
-        self._encode_apart([s for s in stems if s[0] != "\n"], " ")
-        for piece, stem, ending in endings:
+        return b"".join([self.id_bytes[token.id] for token in self.tokenize(letters)])
+
+    def _of_piece(self, piece: str) -> bytes | bool:
+        """The ids of a piece that no generation has."""
+        if self.plain and piece.isalpha():  # most are
+            if piece.isascii():
+                return b"".join([self.id_bytes[token.id] for token in self.tokenize(_SPACE + piece)])
+            if max(piece) < _OLD_LETTERS:
+                return self._of_model(" " + piece)
+        at_line = piece[:1] == "\n"
+        body = piece[1:] if at_line else piece
+        if not body or body[0].isspace() or body[-1].isspace():
+            return False
+        stem = piece.rstrip(string.punctuation)
+        if stem and len(stem) < len(piece) and stem[-1].isalnum():
+            ending = piece[len(stem) :]
             if ending not in self.suffixes:
+                if len(self.suffixes) > _ENDINGS_KEPT:
+                    self.suffixes.clear()
                 self.suffixes[ending] = self._whole(ending)
-                self.size += _PIECE_BYTES + 5 * len(ending)
-            self._keep(piece, known[stem] + self.suffixes[ending])
-
-    def _encode_apart(self, pieces: list[str], lead: str) -> None:
-        """Encode many pieces with few calls; line feeds between them show where one ends."""
-        skip = 0 if lead else 1
-        groups = [pieces[i : i + _JOINED] for i in range(0, len(pieces), _JOINED)]
-        texts = ["\n".join([lead + piece[skip:] for piece in group]) for group in groups]
-        line = np.frombuffer(self.line, "<u4")[0]
-        for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(found.ids, "<u4")
-            cuts = (4 * np.flatnonzero(ids == line)).tolist()
-            if len(cuts) != len(group) - 1:
-                for piece in group:
-                    self._keep(piece, self.line * skip + self._whole(lead + piece[skip:]))
-                continue
-            raw, at = ids.tobytes(), 0
-            for piece, cut in zip(group, [*cuts, len(raw)]):
-                # For a piece that starts a line the line feed's id goes in front.
-                self._keep(piece, self.line + raw[at:cut] if skip else raw[at:cut])
-                at = cut + 4
+            return self.known[stem] + self.suffixes[ending]
+        if not at_line:
+            return self._whole(" " + piece)
+        if self.plain and body.isalpha() and max(body) < _OLD_LETTERS:
+            return self.line + self._of_model(body)
+        return self.line + self._whole(body)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as bytes; null is empty."""
-        if self.size > self.bytes_kept:
-            self.known, self.older, self.size = {}, self.known, 0
-            self.suffixes.clear()
-        known = self.known
-        # The first piece is written as if a line feed came before it.
-        whole = [bool(text) and any(token in text for token in self.added) for text in texts]
-        cut = [("\n" + text.replace("\n", " \n")).split(" ") if text and not w else [] for text, w in zip(texts, whole)]
-        new = set().union(*cut).difference(known)
-        if new:
-            self._learn(self._recall(new))
-        out = []
-        for text, w, pieces in zip(texts, whole, cut):
-            if w:
+        if self.known.size > self.bytes_kept:
+            older, self.known.older = self.known, {}
+            self.known = _Pieces(self._of_piece, older)
+        lookup, line, out = self.known.__getitem__, len(self.line), []
+        for text in texts:
+            if not text:
+                out.append(self.end)
+                continue
+            if any(token in text for token in self.added):
                 out.append(self._whole(text) + self.end)
                 continue
+            # The first piece is written as if a line feed came before it.
+            pieces = ("\n" + text.replace("\n", " \n")).split(" ")
             try:
-                out.append(b"".join(map(known.__getitem__, pieces))[len(self.line) :] + self.end)
+                out.append(b"".join(map(lookup, pieces))[line:] + self.end)
             except TypeError:  # a False among them
                 out.append(self._whole(text) + self.end)
         return out
