@@ -252,11 +252,14 @@ def decontaminate(
     ``max_coverage`` of the words is hit goes altogether. Untouched documents
     stay as they are, null texts too. ``n_chars`` follows a changed text.
     """
-    columns = docs.columns
-    found = find_spans(docs, items, text=text, **options)
+    # Numbered, so that no column of the user's is taken for one that the search adds.
+    numbered = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
+    body = f"_{position_of(docs, text)}"
+    length = f"_{position_of(docs, n_chars)}" if n_chars in docs.columns else None
+    found = find_spans(numbered, items, text=body, **options)
     hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s.end - s.first)
     found = found.where(hit <= F.lit(max_coverage) * F.col("n_words"))
-    fields = [f for f in docs.schema.fields if f.name in (text, n_chars)]
+    fields = [f for f in numbered.schema.fields if f.name in (body, length)]
 
     def make():
         def work(values):
@@ -266,13 +269,13 @@ def decontaminate(
             if len(fields) == 1:
                 return [texts]
             counts = [len(t) if spans else n for t, spans, n in zip(texts, values[1], values[2])]
-            return [texts if f.name == text else counts for f in fields]
+            return [texts if f.name == body else counts for f in fields]
 
         return work
 
-    uses = [text, "spans"] + ([n_chars] if len(fields) == 2 else [])
-    cut = add_columns(found, uses, fields, make, keep=[c for c in columns if c not in (text, n_chars)])
-    return cut.select(*columns)
+    uses = [body, "spans"] + ([length] if len(fields) == 2 else [])
+    cut = add_columns(found, uses, fields, make, keep=[c for c in numbered.columns if c not in (body, length)])
+    return cut.select(*numbered.columns).toDF(*docs.columns)
 
 
 def digest(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:

@@ -35,7 +35,8 @@ MAX_LANGUAGES = 5000
 # Cosines are compared after multiplication by this, which spreads the score over 0 to 1.
 SHARPNESS = 20.0
 # Distinct trigrams whose vectors a worker keeps.
-_KEPT_GRAMS = 60_000
+_KEPT_GRAMS = 40_000
+_GRAMS_AT_ONCE = 4096
 
 _SPACE = 32
 
@@ -47,7 +48,8 @@ class Encoder:
         self.dimensions, self.seed = dimensions, seed
         self.letters: dict[int, np.ndarray] = {}
         self.grams: dict[int, int] = {}
-        self.vectors = np.empty((0, dimensions), np.int8)
+        # Memory is taken as rows are filled; the table is never copied.
+        self.vectors = np.empty((_KEPT_GRAMS, dimensions), np.int8)
 
     def _letter(self, code: int) -> np.ndarray:
         if code not in self.letters:
@@ -60,14 +62,15 @@ class Encoder:
         return np.roll(self._letter(first), 2) * np.roll(self._letter(second), 1) * self._letter(third)
 
     def rows(self, grams: np.ndarray) -> np.ndarray:
-        """Row numbers of ``vectors`` for the distinct ``grams``."""
+        """Row numbers of ``vectors`` for the distinct ``grams``, of which there are ``_GRAMS_AT_ONCE`` at most."""
         wanted = grams.tolist()
         new = [g for g in wanted if g not in self.grams]
         if new:
             if len(self.grams) + len(new) > _KEPT_GRAMS:
-                self.grams, self.vectors, new = {}, np.empty((0, self.dimensions), np.int8), wanted
-            self.grams.update({g: len(self.grams) + k for k, g in enumerate(new)})
-            self.vectors = np.concatenate([self.vectors, np.stack([self._gram(g) for g in new])])
+                self.grams, new = {}, wanted
+            for gram in new:
+                self.vectors[len(self.grams)] = self._gram(gram)
+                self.grams[gram] = len(self.grams)
         return np.fromiter((self.grams[g] for g in wanted), np.int64, len(wanted))
 
 
@@ -104,7 +107,7 @@ def _bundles(encoder: Encoder, texts: list[str | None]) -> np.ndarray:
     distinct, place = np.unique(every, return_inverse=True)
     row = np.repeat(np.arange(len(texts)), [len(g) for g, _ in found])
     count = np.concatenate([c for _, c in found]).astype(np.float32)
-    step = 4096  # distinct trigrams at once
+    step = _GRAMS_AT_ONCE
     for start in range(0, len(distinct), step):
         part = distinct[start : start + step]
         here = (place >= start) & (place < start + step)
@@ -143,9 +146,9 @@ def train_profiles(
                         continue
                     count = np.bincount(place, np.concatenate([c for _, c in found]), len(grams))
                     vector = np.zeros(dimensions)
-                    for at in range(0, len(grams), 4096):
-                        rows = encoder.rows(grams[at : at + 4096])
-                        vector += count[at : at + 4096].astype(np.float32) @ encoder.vectors[rows].astype(np.float32)
+                    for at in range(0, len(grams), _GRAMS_AT_ONCE):
+                        rows = encoder.rows(grams[at : at + _GRAMS_AT_ONCE])
+                        vector += count[at : at + _GRAMS_AT_ONCE].astype(np.float32) @ encoder.vectors[rows].astype(np.float32)
                     total[name] = total.get(name, 0) + vector
         for name, vector in total.items():
             whole = np.rint(vector).astype(np.int64)
@@ -157,13 +160,12 @@ def train_profiles(
         .groupBy("lang", "place")
         .agg(F.sum("value").alias("value"))
     )
-    rows = summed.limit(MAX_LANGUAGES * dimensions + 1).collect()
-    if len(rows) > MAX_LANGUAGES * dimensions:
+    # One row a language; every task sends all of a vector's places.
+    whole = summed.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "value"))).value.alias("vector"))
+    rows = whole.limit(MAX_LANGUAGES + 1).collect()
+    if len(rows) > MAX_LANGUAGES:
         raise ValueError(f"There are more than {MAX_LANGUAGES} languages to learn.")
-    profiles: dict[str, np.ndarray] = {}
-    for row in rows:
-        profiles.setdefault(row.lang, np.zeros(dimensions))[row.place] = row.value
-    return dict(sorted(profiles.items()))
+    return {row.lang: np.array(row.vector, float) for row in sorted(rows)}
 
 
 def identify(
@@ -174,10 +176,12 @@ def identify(
     dimensions: int = DIMENSIONS,
     seed: int = SEED,
 ) -> DataFrame:
-    """Add ``lang_pred`` and ``score`` to each document. Row by row, without a shuffle.
+    """Add ``lang_pred``, ``score`` and ``cosine`` to each document. Row by row, without a shuffle.
 
     The score is the share of the chosen language when the cosines are sharpened
-    and normalised, so it is 1/languages for a text that fits all alike.
+    and normalised, so it is 1/languages for a text that fits all alike. The cosine with the chosen language
+    does not depend on the others: a text that shares no trigrams with it has about 0, give or take
+    one part in the root of the dimensions. It is 0 for ``und``.
     """
     names = list(profiles)
     matrix = np.stack(list(profiles.values())) if names else np.zeros((1, dimensions))
@@ -187,7 +191,7 @@ def identify(
     def make():
         encoder = _encoder(dimensions, seed)
 
-        def some(texts: list[str | None]) -> tuple[list[str], list[float]]:
+        def some(texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
             sums = _bundles(encoder, texts)
             length = np.linalg.norm(sums, axis=1)
             cosine = (sums @ shared.value).astype(np.float64) / np.maximum(length, 1e-12)[:, None]
@@ -198,19 +202,20 @@ def identify(
             return (
                 [names[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), lettered)],
                 [s if ok else 0.0 for s, ok in zip(share.tolist(), lettered)],
+                [c if ok else 0.0 for c, ok in zip(cosine.max(axis=1).tolist(), lettered)],
             )
 
         def work(columns):
-            labels, scores = [], []
+            out: list[list] = [[], [], []]
             for start in range(0, len(columns[0]), 64):
-                a, b = some(columns[0][start : start + 64])
-                labels += a
-                scores += b
-            return [labels, scores]
+                for column, part in zip(out, some(columns[0][start : start + 64])):
+                    column += part
+            return out
 
         return work
 
-    return add_columns(docs, [text], [StructField("lang_pred", StringType()), StructField("score", DoubleType())], make, keep)
+    added = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("cosine", DoubleType())]
+    return add_columns(docs, [text], added, make, keep)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

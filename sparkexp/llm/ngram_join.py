@@ -191,6 +191,7 @@ def _band_rows(classes: DataFrame) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             names = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<i8")[::2]
             keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<i8")
@@ -386,8 +387,10 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     with the kept id and the same shingles one stays. The rows are shuffled once.
     """
     _, answer = _grouped(docs, doc_id, text)
-    name = F.col(f"`{doc_id}`")
-    known = add_columns(docs, [text], [StructField("_class", BinaryType())], lambda: lambda c: [[class_of(t) for t in c[0]]])
+    # Numbered, so that no column of the user's is taken for one that is added here.
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    name, body = F.col(f"c{position_of(docs, doc_id)}"), f"c{position_of(docs, text)}"
+    known = add_columns(numbered, [body], [StructField("_class", BinaryType())], lambda: lambda c: [[class_of(t) for t in c[0]]])
     # Null ids as values, so that all three parts of the key are plain columns.
     keyed = known.withColumns({"_null": name.isNull(), "_id": F.coalesce(name.cast("long"), F.lit(0))})
     kept = answer.where("keeps").select(
@@ -395,7 +398,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     )
     key = ["_class", "_null", "_id"]
     worded = keyed.where(F.col("_class").isNotNull()).join(kept, key, "left_semi").dropDuplicates(key)
-    return worded.unionByName(keyed.where(F.col("_class").isNull())).select(*[f"`{c}`" for c in docs.columns])
+    kept_rows = worded.unionByName(keyed.where(F.col("_class").isNull()))
+    return kept_rows.select(*numbered.columns).toDF(*docs.columns)
 
 
 def class_of(text: str | None) -> bytes | None:
@@ -434,6 +438,7 @@ def _shingles_of(pair: DataFrame, bits: np.ndarray) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             bit = batch.column(0).to_numpy()
             wanted = np.flatnonzero(shared.value[bit >> 3] >> (bit & 7) & 1)

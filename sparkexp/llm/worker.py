@@ -6,6 +6,7 @@ ran in one would add up.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Hashable
 from typing import TypeVar
@@ -26,8 +27,21 @@ def kept(name: Hashable, make: Callable[[], T]) -> T:
 
 
 def release() -> None:
-    """Drop what other operators kept."""
+    """Drop what other operators kept and give the memory back to the system."""
     if _kept:
         _kept.clear()
         gc.collect()
     pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def _find_trim() -> Callable[[int], int] | None:
+    """The C library's call that returns freed memory, where there is one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return None
+
+
+_trim = _find_trim()

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from sql_check import SF_DIR
 from test_decontaminate import brute as benchmark_hits
 from test_ngram_join import groups
@@ -37,6 +39,42 @@ def test_columns_and_order(stages):
     assert all(table.columns == COLUMNS for table in stages[:-1])
 
 
+def test_gibberish_and_unlearned_languages_go_however_many_are_learned(spark, stages):
+    rng = random.Random(4)
+    alphabets = {"a": "bcdfghjklmnpqrstvwxz", "b": "абвгдежзиклмнопрстуя", "c": "かきくけこさしすせそ"}
+    strange = [
+        (10**6 + i, " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 9))) for _ in range(60)), None, "s", 1)
+        for i, letters in enumerate(alphabets.values())
+    ]
+    docs = stages[0]
+    for languages in (["en", "fr"], ["en", "fr", "de", "es"]):
+        known = docs.where(F.col("lang").isin(languages))
+        kept = corpus_pipeline.identify_language(spark, known.unionByName(spark.createDataFrame(strange, docs.schema)), SF_DIR)
+        ids = {r.doc_id for r in kept.collect()}
+        assert not ids & {row[0] for row in strange}
+        lettered = {r.doc_id for r in known.collect() if any(c.isalpha() for c in r.text)}
+        assert len(lettered - ids) <= 0.01 * len(lettered)
+
+
+@pytest.mark.parametrize("kind", ["messy", "clashing", "empty"])
+def test_odd_tables_go_through_all_stages(spark, request, kind):
+    """Nulls, repeated rows, long texts; columns named like an operator's own keep the user's values."""
+    docs = request.getfixturevalue(kind)
+    # A language to learn from in every row, and columns of names that the stages use.
+    docs = docs.withColumn("lang", F.lit("xx"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out, _ = materialize(stage(spark, docs, SF_DIR), "stage")
+        assert out.columns == docs.columns
+        before = {tuple(v for k, v in zip(docs.columns, r) if k not in ("text", "n_chars")) for r in docs.collect()}
+        assert {tuple(v for k, v in zip(docs.columns, r) if k not in ("text", "n_chars")) for r in out.collect()} <= before
+        docs = out
+    kept = docs.count()
+    assert (kept == 0) == (kind == "empty") and (kind == "empty" or {r.text for r in docs.collect()}.isdisjoint({None, ""}))
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
+    whole = {(r.doc_id, r.doc_tokens) for r in pieces.collect()}
+    assert len(whole) <= kept and (kept == 0 or sum(r.length for r in pieces.collect()) > 0)
+
+
 def test_documents_with_letters_keep_their_place(stages):
     before, after = stages[0].collect(), {r.doc_id for r in stages[1].collect()}
     assert {r.doc_id for r in before if not any(c.isalpha() for c in r.text)}.isdisjoint(after)
@@ -94,4 +132,4 @@ def test_run_and_registry(spark, stages):
 
 def test_every_operator_is_registered():
     names = [n for n in registry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
