@@ -1,30 +1,38 @@
 """Stages that prepare training text, each over all that its predecessor kept.
 
 Every stage gets (spark, docs, sf_dir) and returns a table, which is written as
-Parquet and read again before the next one. All but the last return the columns of documents.
+Parquet and read again before the next one. All but the last return the columns of documents,
+with the values that came in: a column of the user's whose name an operator uses itself keeps its own.
+
+Null and empty texts have no letters and go in the first stage. Repeated rows and ids are alike to the
+second stage, which keeps the row with the smallest id of each group. An empty table stays empty through all stages.
 """
 
 from __future__ import annotations
 
+import math
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkexp.llm import decontaminate, language_id, ngram_join, packing, secret_scan
 from sparkexp.llm.ship import shipped
-from sparkexp.sources.scratch import materialize
+from sparkexp.sources.scratch import discard, materialize
 
-# Below this share of the chosen language a text fits no language clearly.
-MIN_LANGUAGE_SCORE = 0.3
+# A text unlike all that was learned has cosines of about 0, give or take 1 in the root of the dimensions.
+# Three times that and a little more is what a text must have in common with its language, however many are learned.
+MIN_COSINE = 3.2 / math.sqrt(language_id.DIMENSIONS)
 VOCABULARY = "byte_bpe_50k.json"
 
 
 @shipped
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or that fit no learned language, go."""
+    """Documents without letters, or that fit no learned language, go. With nothing to learn from all go."""
     profiles = language_id.train_profiles(docs.where(~language_id.held_out()))
-    found = language_id.identify(docs, profiles)
-    clear = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return found.where(clear).select(*docs.columns)
+    numbered = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
+    found = language_id.identify(numbered, profiles, text=f"_{docs.columns.index('text')}")
+    clear = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("cosine") >= MIN_COSINE)
+    return found.where(clear).select(*numbered.columns).toDF(*docs.columns)
 
 
 @shipped
@@ -66,9 +74,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for number, (name, stage) in enumerate(STAGES, 1):
-        docs = stage(spark, docs, sf_dir)
+        docs, path = stage(spark, docs, sf_dir), None
         if number < len(STAGES):
-            docs, _ = materialize(docs, name.replace(" ", "-"))
+            docs, path = materialize(docs, name.replace(" ", "-"))
+        # The stage after has been stored, or, as the last, has stored its pieces.
+        if before:
+            discard(spark, before)
+        before = path
     return docs
