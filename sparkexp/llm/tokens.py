@@ -29,7 +29,7 @@ from sparkexp.llm.worker import kept
 
 END_ID = 0
 # What a generation of remembered pieces takes, and what a piece takes besides its text and ids.
-BYTES_KEPT = 40_000_000
+BYTES_KEPT = 56_000_000
 _PIECE_BYTES = 180
 _ENDINGS_KEPT = 10_000
 # Letters below this have long been letters for every library.
