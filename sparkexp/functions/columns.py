@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
@@ -40,6 +40,27 @@ def comparable_date(df: DataFrame, name: str, lenient: bool = False) -> Column:
     raise ValueError(f"Column '{name}' is {kind.simpleString()}, not a date, timestamp or text column.")
 
 
+def text_range(df: DataFrame, name: str, start: date, end: date | None) -> Column | None:
+    """A condition on a text date's letters that every date from ``start`` to before ``end`` meets.
+
+    It holds for other texts too and only saves reading: as a plain comparison it reaches the Parquet scan,
+    which a cast does not. It looks at year and month, and lets pass what might be written in another
+    way: months of one digit, and texts that begin with a blank, a sign, a zero or no digit. None
+    where there is nothing to save.
+    """
+    last = date.max if end is None else end - timedelta(days=1)
+    if df.schema[name].dataType != StringType() or start.year < 1000 or last < start:
+        return None
+    text, lower = col(name), f"{start:%Y-%m}" if start.month > 1 else f"{start:%Y}"
+    within = text >= F.lit(lower)
+    if end is not None:
+        year = f"{last:%Y}"
+        upper = f"{year}-{last.month + 1:02d}" if last.month < 12 else str(last.year + 1)
+        short = ((text >= F.lit(f"{year}-1")) & (text < F.lit(f"{year}-10"))) | ((text >= F.lit(f"{year}-2")) & (text < F.lit(f"{year}-:")))
+        within = within & ((text < F.lit(upper)) | short)
+    return within | (text < F.lit("1")) | (text >= F.lit(":"))
+
+
 def as_boolean(column: Column, lenient: bool = False) -> Column:
     """The column as a Boolean; words that are not Booleans raise, or become null when ``lenient``."""
     return column.try_cast("boolean") if lenient else column.cast("boolean")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkexp.functions.columns import as_boolean, col, comparable_date, parse_date
+from sparkexp.functions.columns import as_boolean, col, comparable_date, parse_date, text_range
 
 # The names of the parts in tables and in the report.
 SPLITS = ("train", "val", "test")
@@ -98,6 +101,19 @@ def split_conditions(
     }
 
 
+def scanned(df: DataFrame, datetime_col: str, bounds: SplitBounds, splits: Sequence[str], cap_test: bool = False) -> DataFrame:
+    """The table without rows whose text date cannot be in any of the parts, left out at the scan.
+
+    Dates and timestamps are compared at the scan anyway, so such tables stay as they are. Text of other
+    months is not parsed then; what counts rows (``prepare_experiment``, ``split_counts``) parses all.
+    """
+    ends = {"train": bounds.val_start, "val": bounds.test_start, "test": bounds.end + timedelta(days=1) if cap_test else None}
+    ranges = [text_range(df, datetime_col, bounds.span(name)[0], ends[name]) for name in splits]
+    if any(r is None for r in ranges):
+        return df
+    return df.where(reduce(or_, ranges))
+
+
 def temporal_split(
     df: DataFrame, datetime_col: str, bounds: SplitBounds, cap_test: bool = False, lenient: bool = False
 ) -> DataFrame:
@@ -115,7 +131,8 @@ def split_part(
     lenient: bool = False,
 ) -> DataFrame:
     """One part of the table, filtered at the scan."""
-    return df.where(split_conditions(df, datetime_col, bounds, cap_test, lenient)[split])
+    condition = split_conditions(df, datetime_col, bounds, cap_test, lenient)[split]
+    return scanned(df, datetime_col, bounds, [split], cap_test).where(condition)
 
 
 def split_counts(
@@ -196,8 +213,10 @@ def prepare_experiment(
     for name in SPLITS:
         if sizes[name] == 0:
             raise ValueError(NO_ROWS[name])
-    typed = cast_target(data, target_col, lenient)
-    parts = {name: typed.where(condition) for name, condition in conditions.items()}
+    parts = {
+        name: cast_target(scanned(data, datetime_col, bounds, [name], cap_test).where(condition), target_col, lenient)
+        for name, condition in conditions.items()
+    }
     spans = data.sparkSession.createDataFrame(
         [(PERIODS[name], *bounds.span(name), sizes[name]) for name in SPLITS],
         "period string, start_date date, end_date date, row_count long",

@@ -16,6 +16,7 @@ from sparkexp.operators.split import (
     PreparedExperiment,
     cast_target,
     prepare_experiment,
+    scanned,
     split_conditions,
 )
 from sparkexp.plans.evaluation import Evaluation, consolidate_report, evaluate
@@ -103,7 +104,7 @@ def run_experiment(
         lambda: predict_splits(
             experiment_id=run_id,
             model=model,
-            data=cast_target(data, roles.target),
+            data=cast_target(scanned(data, roles.datetime, prepared.bounds, EVALUATED, cap_test), roles.target),
             conditions={name: conditions[name] for name in EVALUATED},
             sizes=prepared.sizes,
             target_column=roles.target,

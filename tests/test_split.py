@@ -1,11 +1,15 @@
 from __future__ import annotations
 
-from datetime import date, datetime
+import random
+import re
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
+from sparkexp.functions.columns import text_range
+from sparkexp.operators import split
 from sparkexp.operators.split import (
     bounds_from_dates,
     cast_target,
@@ -150,3 +154,56 @@ def test_cast_target(spark):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         cast_target(odd, "word").collect()
     assert cast_target(odd, "word", lenient=True).first().word is None
+
+
+def pushed(df):
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    return re.search(r"PushedFilters: (\[.*?\])", df._jdf.queryExecution().executedPlan().toString()).group(1)
+
+
+def test_text_dates_are_filtered_at_the_scan(spark, tmp_path):
+    days = [f"{2020 + i // 365}-{1 + i % 12:02d}-{1 + i % 28:02d}" for i in range(1500)]
+    spark.createDataFrame([(d, True) for d in days], "day string, target boolean").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    bounds = split.bounds_from_dates("2020-03-01", "2023-06-30", 8, 8)
+    for name in split.SPLITS:
+        part = split.split_part(table, "day", bounds, name, cap_test=True)
+        filters = pushed(part)
+        start, end = bounds.span(name)
+        assert "GreaterThanOrEqual(day,2020-03" in filters if name == "train" else "GreaterThanOrEqual(day,2023-" in filters
+        last = end if name == "test" else end - timedelta(days=1)
+        assert sorted(r.day for r in part.collect()) == sorted(d for d in days if str(start) <= d <= str(last))
+    assert "GreaterThanOrEqual(day,2023-" in pushed(split.split_part(table, "day", bounds, "test"))
+
+
+@pytest.mark.parametrize(("start", "end"), [("2022-01-05", "2023-02-10"), ("2022-10-02", "2022-12-31"), ("2022-03-01", "2022-09-30"), ("2023-01-01", None)])
+def test_no_spelling_of_a_date_is_lost(spark, start, end):
+    """Whatever a cast takes for a date in the range meets the condition on the text."""
+    rng, first = random.Random(1), date(2021, 12, 1)
+    texts = []
+    for i in range(500):
+        d = first + timedelta(days=i)
+        texts += [str(d), f"{d.year}-{d.month}-{d.day}", f"{d.year}-{d.month:02d}-{d.day}", f" {d}", f"{d}T01:02", f"{d} x", f"0{d}", f"+{d}", f"{d}\t"]
+        if d.day == 1:
+            texts += [f"{d.year}-{d.month}", f"{d.year}-{d.month:02d}", f"{d.year}-{d.month} "]
+        if d.day == d.month == 1:
+            texts += [f"{d.year}", f"{d.year} "]
+    rng.shuffle(texts)
+    df = spark.createDataFrame([(t,) for t in texts], "day string")
+    low, high = date.fromisoformat(start), date.fromisoformat(end) if end else None
+    when = F.col("day").try_cast("date")
+    inside = (when >= F.lit(low)) & (when < F.lit(high) if high else F.lit(True))
+    wanted = df.where(inside).count()
+    assert wanted > 100 and df.where(text_range(df, "day", low, high)).where(inside).count() == wanted
+    assert df.where(text_range(df, "day", low, high)).count() < df.count()
+
+
+def test_malformed_text_raises(spark):
+    rows = [(f"2023-{1 + i % 12:02d}-01", True) for i in range(24)]
+    for bad in ("soon", "2023-13-01", "2019-99-99", "zzz"):
+        df = spark.createDataFrame([*rows, (bad, True)], "day string, target boolean")
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot be cast"):
+            split.prepare_experiment(df, target_col="target", datetime_col="day", experiment_id="e", start_date="2023-01-01", end_date="2023-12-01")
+    bounds = split.bounds_from_dates("2023-01-01", "2023-12-01")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot be cast"):
+        split.split_part(spark.createDataFrame([*rows, ("soon", True)], "day string, target boolean"), "day", bounds, "val").collect()
