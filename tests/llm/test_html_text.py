@@ -21,6 +21,54 @@ def test_the_tree_fits_its_table():
     assert (H.classify(TREE, rows) == labels).mean() > 0.97
 
 
+def accuracy_on_unseen_layouts(features):
+    """Each layout is judged by a tree that was trained on the others."""
+    layouts, found = H.LAYOUTS.strip().split("\n"), []
+    for i, layout in enumerate(layouts):
+        rows, labels = H.labelled_blocks("\n".join(layouts[:i] + layouts[i + 1 :]))
+        tree = H.train_tree(rows[:, :features], labels)
+        unseen, wanted = H.labelled_blocks(layout, seed=2)
+        found.append((H.classify(tree, unseen[:, :features]) == wanted).mean())
+    return sum(found) / len(found)
+
+
+def test_unseen_layouts():
+    assert accuracy_on_unseen_layouts(len(H.FEATURES)) > 0.92
+
+
+def test_words_and_links_tell_much_without_any_place():
+    assert accuracy_on_unseen_layouts(H.PLACES) > 0.65
+    rows, labels = H.labelled_blocks()
+    plain = rows[:, : H.PLACES]
+    assert (H.classify(H.train_tree(plain, labels), plain) == labels).mean() > 0.87
+
+
+def test_an_article_wins_over_the_class_of_its_wrapper():
+    for page in (
+        f"<div class='sidebar-right'><main><article><p>{LONG}</article></main></div>",
+        f"<div id='has-menu page-nav'><article><p>{LONG}</article></div>",
+        f"<form id=aspnet><div class=header-fixed><article><p>{LONG}</article></div></form>",
+        f"<div class='comments-open nav-open'><main><p>{LONG}</main></div>",
+    ):
+        assert text(page) == LONG, page
+    for page in (
+        f"<section id=comments><article><p>{LONG}</article></section>",
+        f"<aside><article><p>{LONG}</article></aside>",
+        f"<div class=related><article><p>{LONG}</article></div>",
+        f"<article class=comment><p>{LONG}</article>",
+        f"<main hidden><p>{LONG}</main>",
+    ):
+        assert text(page) == "", page
+
+
+def test_links_and_short_pieces():
+    assert text(f"<article><h1>Head</h1><p><a href=x>{LONG}</a><p>tail</article>") == f"Head\n\n{LONG}\n\ntail"
+    links = " ".join(f"<a href=/{i}>link {i}</a>" for i in range(20))
+    twenty, fifteen = " ".join(["a"] * 20), " ".join(["b"] * 15)
+    page = f"<body><div>{links}</div><h1>The head line of it</h1><p>{twenty}<p>{fifteen}</p><div>{links}</div><div>foot</div>"
+    assert text(page) == f"The head line of it\n\n{twenty}\n\n{fifteen}"
+
+
 def test_articles_of_the_test_pages(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
     found = {r.page_id: r for r in queries.op4_html_extraction(spark, SF_DIR).collect()}
