@@ -203,6 +203,15 @@ def q_batch_ledger_lineitem(spark, sf_dir):
     return batches.batch_ledger(batched, "target")
 
 
+def q_deal_batches(spark, sf_dir):
+    """Sizes of batches when only seven values tell rows apart: equal rows are dealt one by one."""
+    lines = _table(spark, sf_dir, "lineitem").select("l_linenumber")
+    dealt, path = batches.deal_batches(lines, "l_linenumber", 40)
+    sizes, _ = materialize(dealt.groupBy("batch_id").agg(F.count(F.lit(1)).alias("row_count")), "sizes")
+    discard(spark, path)
+    return sizes
+
+
 # ---------------------------------------------------------------- metrics
 
 
@@ -765,6 +774,8 @@ def oracle_sql() -> dict[str, str]:
             FROM orders, (SELECT {by_size} AS k FROM orders)""",
         "batch_ledger": _ledger_sql("orders", order_batch, "o_orderstatus = 'F'", BATCH_SIZE),
         "batch_ledger_lineitem": _ledger_sql("lineitem", line_batch, line_label, 100),
+        "deal_batches": f"""SELECT (h + i) % 40 AS batch_id, count(*) AS row_count FROM (
+            SELECT {_hash_sql("l_linenumber", 42)} AS h, row_number() OVER (PARTITION BY l_linenumber) - 1 AS i FROM lineitem) GROUP BY 1""",
         "class_scores_pos": f"SELECT s AS score FROM {orders} WHERE y",
         "class_scores_neg": f"SELECT s AS score FROM {orders} WHERE NOT y",
         "log_loss": f"SELECT logloss FROM ({_metrics_sql(orders)})",

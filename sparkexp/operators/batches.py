@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sparkexp.config import SCORE_COLUMN
 from sparkexp.functions.columns import col, key_hash
 from sparkexp.operators.prefix import running_totals
+from sparkexp.sources.scratch import materialize
 
 # Batch ids in one bucket of the ledger's running total.
 LEDGER_BUCKET = 50_000
@@ -64,6 +65,40 @@ def assign_batches(
     return df.withColumn(column, batch_of(telling_columns(df, key, spread), max(batches, 1), seed))
 
 
+def deal_batches(
+    df: DataFrame,
+    key: Sequence[str] | str | None,
+    batches: int,
+    seed: int = 42,
+    column: str = "batch_id",
+    spread: Sequence[str] | None = None,
+    repeated_from: int = 1,
+) -> tuple[DataFrame, str]:
+    """Like :func:`assign_batches`, but equal rows are dealt one by one, so no row value fills a batch by itself.
+
+    Rows with equal key and ``spread`` are numbered, and the number is added to their hash. That takes their place in a
+    stored copy of the table: files are counted and the counts summed up over the files, then rows are numbered
+    within each file, so no value's rows meet in one task. Only values with more than
+    ``repeated_from`` rows are treated so. Returns the table, which reads the copy, and the copy's path.
+    """
+    number = f"{column}_hash"
+    hashed = df.withColumn(number, key_hash(telling_columns(df, key, spread), seed))
+    stored, path = materialize(hashed, "dealt")
+    repeated = stored.groupBy(number).agg(F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > repeated_from)
+    placed = stored.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    marked = placed.join(repeated, number, "left")
+    plain = marked.where(F.col("_copies").isNull()).withColumn("_occurrence", F.lit(0).cast("long"))
+    many = marked.where(F.col("_copies").isNotNull())
+    files = many.groupBy(number, "_file").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(number).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    before = files.select(number, "_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    in_file = F.row_number().over(Window.partitionBy(number, "_file").orderBy("_row")) - 1
+    counted = many.withColumn("_in_file", in_file).join(before, [number, "_file"])
+    numbered = counted.withColumn("_occurrence", F.col("_before") + F.col("_in_file")).select(plain.columns)
+    dealt = plain.unionByName(numbered).withColumn(column, batch_of_hash(F.col(number) + F.col("_occurrence"), max(1, batches)))
+    return dealt.select(*[col(name) for name in df.columns if name != column], column), path
+
+
 def telling_columns(
     df: DataFrame, key: Sequence[str] | str | None, spread: Sequence[str] | None = None
 ) -> list[str]:

@@ -1,8 +1,9 @@
-"""Replacing what a folder holds in one step.
+"""Replacing what a folder holds only when the new content is complete.
 
-A new version is written beside the one before. Only when it is complete does a
-small file, ``current``, come to name it; a job that is killed midway leaves the earlier version
-readable. The switch is one rename, so readers see the old version or the new one.
+``publish`` writes a new version beside the one before, and then switches by one rename of a
+small file, ``current``, that names it: for models, which this package alone reads.
+``replace`` writes a table beside the one before and then renames both, so that any reader finds a plain
+folder. With either, a job that is killed while it writes leaves the earlier content readable.
 """
 
 from __future__ import annotations
@@ -44,3 +45,27 @@ def published(spark: SparkSession, path: str) -> str:
     """The folder that ``path`` stands for; a path without one raises Spark's own error."""
     version = spark.read.text(f"{path}/{CURRENT}").first().value
     return f"{path}/{VERSIONS}/{version}"
+
+
+def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
+    """Let ``write`` fill a new folder beside ``path``, then put it in the place of what is there.
+
+    The folders beside it have names that readers skip. Between the two renames, which take no time on file
+    systems that can rename, ``path`` is missing; a failure there leaves the earlier content beside it and puts it back.
+    """
+    hadoop, files = spark._jvm.org.apache.hadoop.fs, _file_system(spark, path)
+    target, mark = hadoop.Path(path), uuid.uuid4().hex
+    new, old = (hadoop.Path(target.getParent(), f".{target.getName()}-{mark}-{kind}") for kind in ("new", "old"))
+    try:
+        write(new.toString())
+        earlier = files.exists(target)
+        if earlier and not files.rename(target, old):
+            raise OSError(f"{path} could not be moved aside.")
+        if not files.rename(new, target):
+            if earlier:
+                files.rename(old, target)
+            raise OSError(f"The new content of {path} could not be moved there.")
+        files.delete(old, True)
+    finally:
+        files.delete(new, True)
+    return path

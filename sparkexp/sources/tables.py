@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from sparkexp.sources.publish import replace
+
 # Types that folder names alone would not give back.
 FOLDER_TYPES = {"experiment_id": StringType(), "batch_id": LongType()}
 
@@ -49,17 +51,14 @@ def write_predictions(
     rerun with fewer batches leaves no old batch behind. The batch is an ordinary
     column and rows are written where they are. With ``batch_folders`` each batch
     gets a folder of its own, which takes a shuffle. Both read back with the same
-    columns and types.
+    columns and types. What was there stays readable until all is written.
     """
     folders = list(by)
     if batch_folders:
         folders.append(batch_column)
         predictions = predictions.hint("rebalance", *folders)
-    writer = predictions.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if folders:
-        writer = writer.partitionBy(*folders)
-    writer.parquet(path)
-    return path
+    writer = predictions.write.partitionBy(*folders) if folders else predictions.write
+    return replace(predictions.sparkSession, path, writer.parquet)
 
 
 def read_predictions(spark: SparkSession, path: str, base_path: str | None = None) -> DataFrame:
@@ -76,6 +75,5 @@ def read_predictions(spark: SparkSession, path: str, base_path: str | None = Non
 
 
 def write_metrics(metrics: DataFrame, path: str) -> str:
-    """Write a small result table, replacing an earlier one."""
-    metrics.write.mode("overwrite").parquet(path)
-    return path
+    """Write a small result table, replacing an earlier one once all is written."""
+    return replace(metrics.sparkSession, path, metrics.write.parquet)

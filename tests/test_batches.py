@@ -5,7 +5,8 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from sparkexp.operators.batches import assign_batches, batch_ledger, num_batches, num_batches_table
+from sparkexp.operators.batches import assign_batches, batch_ledger, deal_batches, num_batches, num_batches_table
+from sparkexp.sources.scratch import discard
 
 
 def test_number_of_batches(spark):
@@ -68,3 +69,21 @@ def test_a_key_with_a_third_of_the_rows_fills_no_batch(spark):
 def test_keys_that_read_alike_hash_apart(spark):
     rows = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a1:b", ""), (None, "n")], "x string, y string")
     assert assign_batches(rows, ["x", "y"], batches=2**40).select("batch_id").distinct().count() == 4
+
+
+def test_a_third_of_equal_rows_is_dealt_evenly(spark):
+    df = spark.range(30_000).selectExpr("IF(id % 3 = 0, -1, id) AS id", "IF(id % 3 = 0, 'same', CAST(id AS STRING)) AS text").repartition(7)
+    dealt, path = deal_batches(df, "id", 100)
+    sizes = [r["count"] for r in dealt.groupBy("batch_id").count().collect()]
+    assert sum(sizes) == 30_000 and len(sizes) == 100
+    plain = assign_batches(df, "id", batches=100)
+    # A value that occurs once has the batch it has without dealing.
+    once = "id >= 0"
+    assert sorted(dealt.where(once).collect()) == sorted(plain.where(once).select(dealt.columns).collect())
+    same = [r["count"] for r in dealt.where("id < 0").groupBy("batch_id").count().collect()]
+    assert max(same) == min(same) == 100
+    whole, other = deal_batches(spark.range(20_000).selectExpr("IF(id % 3 = 0, -1, id % 3) AS id"), "id", 20)
+    sizes = [r["count"] for r in whole.groupBy("batch_id").count().collect()]
+    assert max(sizes) <= 1.1 * 1000
+    for folder in (path, other):
+        discard(spark, folder)

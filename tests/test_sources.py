@@ -139,3 +139,21 @@ def test_synthetic_columns_do_not_depend_on_the_layout(spark):
     assert sorted(one.collect()) == sorted(many.collect()) == sorted(again.collect())
     made = one.agg(F.min("feature1"), F.max("feature1"), F.min("feature2"), F.max("feature2"), F.count_distinct("reference")).first()
     assert 1 <= made[0] < made[1] <= 1000 and 3 <= made[2] < made[3] <= 777 and made[4] == 500
+
+
+@pytest.mark.parametrize("kind", ["predictions", "metrics"])
+def test_a_job_that_fails_midway_leaves_the_earlier_table(spark, tmp_path, kind):
+    def write(df):
+        if kind == "predictions":
+            return tables.write_predictions(df, str(tmp_path / "t"), by=["batch_id"])
+        return tables.write_metrics(df, str(tmp_path / "t"))
+
+    first = spark.range(10).selectExpr("id", "id % 2 AS batch_id")
+    write(first)
+    broken = first.withColumn("id", F.when(F.col("id") == 7, F.raise_error(F.lit("killed"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="killed"):
+        write(broken)
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "t")).collect()) == list(range(10))
+    write(first.where("id < 3"))
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [0, 1, 2]
+    assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["t"]
