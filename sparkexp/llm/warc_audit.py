@@ -7,8 +7,10 @@ so on up to one root a file. Two replicas are compared root by root, and only th
 children of nodes that differ are looked at, down to the damaged records.
 
 Hashing reads records where their offsets say, so a flipped byte, a truncated file,
-a lost file and shifted data are all found. The trees are written level by level to
-the shared folder; a level is a FAN-th of the one below.
+a lost file and shifted data are all found. The last leaf of a file covers what stands behind its last
+record, so appended bytes are found too; ``stray_files`` lists files that the index does not name.
+The trees are written level by level to the shared folder; a level is a FAN-th of the one below.
+On the way down, the nodes that differ are written as well, and the descent ends where there are none.
 
 Defined results: null url or html are stored as empty, and marked as null in the
 record's headers. A null page id has an empty record id. Repeated rows are records of
@@ -31,11 +33,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from sparkexp.llm.rows import position_of
-from sparkexp.sources.scratch import scratch_path
+from sparkexp.sources.scratch import discard, materialize, scratch_path
 
 FAN = 16
 FILE_BYTES = 256_000_000
 _AT_ONCE = 256
+_REST_AT_ONCE = 4_000_000
 
 _INDEX = StructType(
     [
@@ -137,6 +140,15 @@ class _Reader:
         return self.source.read(min(length, self.size - offset))
 
 
+    def rest(self, name: str, offset: int) -> tuple[int, str]:
+        """Where the file ends, and the hash of what stands from ``offset`` on."""
+        found = hashlib.sha256()
+        while part := self.read(name, offset, _REST_AT_ONCE):
+            found.update(part)
+            offset += len(part)
+        return offset, found.hexdigest()
+
+
 def _by_file(index: DataFrame, *more: Column) -> DataFrame:
     """Index rows dealt by file, in offset order."""
     files = index.select("file").distinct().count()
@@ -168,7 +180,7 @@ def copy_replica(index: DataFrame, source: str, target: str, damaged: Column) ->
                     name, part = file, f"{top}/.{uuid.uuid4().hex}"
                     out = place.open_output_stream(part, compression=None)
                 made = bytearray(reader.read(file, offset, length))
-                if flip:
+                if flip and made:
                     made[(position * 7919) % len(made)] ^= 1
                 out.write(bytes(made))
             yield pa.RecordBatch.from_arrays([pa.array(done, pa.string())], schema=arrow)
@@ -181,19 +193,33 @@ def copy_replica(index: DataFrame, source: str, target: str, damaged: Column) ->
 
 
 def leaves(index: DataFrame, folder: str) -> DataFrame:
-    """The hash of each record's bytes as this replica stores them."""
+    """The hash of each record's bytes as this replica stores them, and of what follows a file's last record."""
     data, arrow = f"{folder}/data", to_arrow_schema(_LEAVES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _Reader(data)
+        reader, last = _Reader(data), None
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            columns = [pa.array(list(v), f.type) for v, f in zip(zip(*rows), arrow)]
+            return pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+        def tail() -> tuple:
+            """The leaf for what stands behind the last record of a file."""
+            file, position, _, end, _ = last
+            return (file, position + 1, end, *reader.rest(file, end))
+
         for batch in batches:
             rows = []
             for file, position, offset, length in zip(*(c.to_pylist() for c in batch.columns)):
+                if last and last[0] != file:
+                    rows.append(tail())
                 found = hashlib.sha256(reader.read(file, offset, length)).hexdigest()
-                rows.append((file, position, offset, offset + length, found))
+                last = (file, position, offset, offset + length, found)
+                rows.append(last)
             if rows:
-                columns = [pa.array(list(v), f.type) for v, f in zip(zip(*rows), arrow)]
-                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+                yield batch_of(rows)
+        if last:
+            yield batch_of([tail()])
 
     return _by_file(index).mapInArrow(run, _LEAVES)
 
@@ -231,10 +257,12 @@ def build_tree(bottom: DataFrame, fan: int = FAN) -> Tree:
 def differing_records(one: Tree, other: Tree, fan: int = FAN) -> DataFrame:
     """``file`` and ``position`` of the records whose hashes differ, or that only one replica has.
 
-    From the roots down, a level is read only for children of nodes that differ.
+    From the roots down, a level is read only for children of nodes that differ. These are
+    written level by level, so a plan holds one level whatever the depth.
     """
     depth = max(len(one.levels), len(other.levels))
     suspects: DataFrame | None = None
+    left = ""
     for level in reversed(range(depth)):
         sides = []
         for tree in (one, other):
@@ -246,17 +274,38 @@ def differing_records(one: Tree, other: Tree, fan: int = FAN) -> DataFrame:
             sides.append(nodes.select("file", "node", "hash"))
         theirs = sides[1].withColumnRenamed("hash", "theirs")
         both = sides[0].join(theirs, ["file", "node"], "full_outer")
-        suspects = both.where(~F.col("hash").eqNullSafe(F.col("theirs"))).select("file", "node")
+        differ = both.where(~F.col("hash").eqNullSafe(F.col("theirs"))).select("file", "node")
+        suspects, path = materialize(differ, "suspects")
+        if left:
+            discard(suspects.sparkSession, left)
+        left = path
+        if suspects.isEmpty():
+            break
     return suspects.withColumnRenamed("node", "position")
 
 
 def audit(index: DataFrame, one: str, other: str, fan: int = FAN) -> DataFrame:
-    """The index with ``record_sha256`` in the first replica and ``damaged``: do the replicas differ there?"""
+    """The index with ``record_sha256`` in the first replica, ``damaged`` (do the replicas differ there?) and
+    ``end_differs`` (do they differ behind the last record of the file?)."""
     trees = [build_tree(leaves(index, folder), fan) for folder in (one, other)]
     found = differing_records(*trees, fan).withColumn("differs", F.lit(True))
     hashes = trees[0].levels[0].select("file", F.col("node").alias("position"), F.col("hash").alias("record_sha256"))
+    ends = index.groupBy("file").agg((F.max("position") + 1).alias("position"))
+    longer = found.join(ends, ["file", "position"]).select("file", F.lit(True).alias("longer"))
     return (
         index.join(hashes, ["file", "position"])
         .join(found, ["file", "position"], "left")
-        .select("page_id", "file", "position", "offset", "length", "record_sha256", F.coalesce("differs", F.lit(False)).alias("damaged"))
+        .join(longer, "file", "left")
+        .select(
+            *["page_id", "file", "position", "offset", "length", "record_sha256"],
+            F.coalesce("differs", F.lit(False)).alias("damaged"),
+            F.coalesce("longer", F.lit(False)).alias("end_differs"),
+        )
     )
+
+
+def stray_files(index: DataFrame, folder: str) -> DataFrame:
+    """``file`` and ``length`` of the files of a replica that the index does not name."""
+    listed = index.sparkSession.read.format("binaryFile").load(f"{folder}/data")
+    named = index.select("file").distinct()
+    return listed.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length").join(named, "file", "left_anti")

@@ -74,6 +74,34 @@ def test_lost_and_short_files(spark, replicas):
     assert found == {(r.file, r.position) for r in rows if r.file == files[0]} | {(last.file, last.position)}
 
 
+def test_appended_bytes_and_stray_files(replicas):
+    index, root = replicas
+    W.copy_replica(index, f"{root}/one", f"{root}/other", F.lit(False))
+    files = sorted({r.file for r in index.collect()})
+    with open(local(f"{root}/other/data", files[2]), "ab") as more:
+        more.write(b"x" * 1000)
+    with open(local(f"{root}/other/data", "stray.warc.gz"), "wb") as stray:
+        stray.write(b"12345")
+    found = W.audit(index, f"{root}/one", f"{root}/other").collect()
+    assert not any(r.damaged for r in found)
+    assert {r.file for r in found if r.end_differs} == {files[2]} and len(found) == len(ROWS)
+    assert [tuple(r) for r in W.stray_files(index, f"{root}/other").collect()] == [("stray.warc.gz", 5)]
+    assert W.stray_files(index, f"{root}/one").count() == 0
+
+
+def test_a_plan_holds_one_level(spark):
+    def plan(count):
+        trees = []
+        for name in "ab":
+            rows = [("f", i, i, i + 1, f"{name if i == 3 else 'same'}") for i in range(count)]
+            trees.append(W.build_tree(spark.createDataFrame(rows, W._LEAVES), fan=2))
+        found = W.differing_records(*trees, fan=2)
+        assert [tuple(r) for r in found.collect()] == [("f", 3)]
+        return len(found._jdf.queryExecution().optimizedPlan().toString().splitlines())
+
+    assert plan(4) == plan(64)
+
+
 def test_trees_of_unequal_height(spark):
     def tree(hashes):
         rows = [("f", i, i * 10, i * 10 + 10, h) for i, h in enumerate(hashes)] + [("g", 0, 0, 9, "same")]
