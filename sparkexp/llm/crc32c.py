@@ -20,6 +20,17 @@ def _byte_table() -> np.ndarray:
 _TABLE = _byte_table()
 
 
+def _word_tables() -> list[np.ndarray]:
+    """What a state of one byte becomes after that byte and 0, 1, 2 or 3 zero bytes more."""
+    tables = [_TABLE]
+    for _ in range(3):
+        tables.append(_TABLE[tables[-1] & 255] ^ (tables[-1] >> 8))
+    return tables
+
+
+_WORDS = _word_tables()
+
+
 def _zeros_tables(count: int) -> np.ndarray:
     """What ``count`` zero bytes make of each byte of a state."""
     state = np.concatenate([np.arange(256, dtype=np.uint32) << np.uint32(8 * k) for k in range(4)])
@@ -49,10 +60,13 @@ def crc32c(parts: list[bytes]) -> np.ndarray:
     for part, end, size in zip(parts, (ends * _CHUNK).tolist(), sizes.tolist()):
         flat[end - size : end] = np.frombuffer(part, np.uint8)
         flat[end - size : end - size + 4] ^= 255
-    table = np.ascontiguousarray(flat.reshape(-1, _CHUNK).T)
-    state = np.zeros(table.shape[1], np.uint32)
-    for column in table:
-        state = _TABLE[(state ^ column) & 255] ^ (state >> 8)
+    words = np.ascontiguousarray(flat.view("<u4").reshape(-1, _CHUNK // 4).T)
+    state, one = np.zeros(words.shape[1], "<u4"), np.empty(words.shape[1], np.uint32)
+    for word in words:  # four bytes at a time
+        first, second, third, fourth = (state ^ word).view(np.uint8).reshape(-1, 4).T
+        state = np.take(_WORDS[3], first)
+        for table, byte in ((_WORDS[2], second), (_WORDS[1], third), (_WORDS[0], fourth)):
+            state ^= np.take(table, byte, out=one, mode="clip")
     order = np.argsort(-chunks, kind="stable")
     firsts, counts = (ends - chunks)[order], chunks[order]
     total = state[firsts]

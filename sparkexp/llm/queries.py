@@ -73,7 +73,7 @@ def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "records")
     index = token_records.write_records(docs, folder, public_tokenizers.path(VOCABULARY), added_tokens=True)
     files = token_records.number_of_files(spark, index)
-    return token_records.digest(token_records.read_records(index, folder, files), index)
+    return token_records.digest(token_records.read_records(index, folder, files, with_ids=False), index)
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,7 @@ writes no file. Repeated rows become repeated records.
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -140,20 +141,17 @@ def write_records(
     return spark.read.schema(_INDEX).parquet(f"{folder}/index")
 
 
-def read_records(index: DataFrame, folder: str, files: int) -> DataFrame:
+def read_records(index: DataFrame, folder: str, files: int, with_ids: bool = True) -> DataFrame:
     """The records of the index rows given, all or some: doc_id, ids, file number, offset.
 
     ``ids`` are little-endian unsigned 32-bit. Rows are dealt by file and read
-    in the order of their offsets; every checksum is verified.
+    in the order of their offsets; every checksum is verified. Without ``with_ids`` the ids
+    stay in the task that read them: their number ``n_tokens`` and ``ids_crc32`` come instead.
     """
     data = f"{folder}/data"
+    found_fields = [StructField("ids", BinaryType())] if with_ids else [StructField("n_tokens", LongType()), StructField("ids_crc32", LongType())]
     schema = StructType(
-        [
-            StructField("doc_id", LongType()),
-            StructField("ids", BinaryType()),
-            StructField("file_no", IntegerType()),
-            StructField("offset", LongType()),
-        ]
+        [StructField("doc_id", LongType()), *found_fields, StructField("file_no", IntegerType()), StructField("offset", LongType())]
     )
     arrow = to_arrow_schema(schema)
 
@@ -173,7 +171,9 @@ def read_records(index: DataFrame, folder: str, files: int) -> DataFrame:
                     source.seek(offset)
                     found.append(source.read(length))
                 rows = parse(found)
-                values = [[d for d, _ in rows], [raw for _, raw in rows], columns[1], columns[2]]
+                ids = [raw for _, raw in rows]
+                told = [ids] if with_ids else [[len(raw) // 4 for raw in ids], [zlib.crc32(raw) for raw in ids]]
+                values = [[d for d, _ in rows], *told, columns[1], columns[2]]
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, arrow)], schema=arrow)
         if source:
             source.close()
@@ -184,9 +184,10 @@ def read_records(index: DataFrame, folder: str, files: int) -> DataFrame:
 
 def digest(records: DataFrame, index: DataFrame) -> DataFrame:
     """Where each document starts in the whole, its number of ids and their checksum."""
-    rows = records.select(
-        "doc_id", "file_no", "offset", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
-    )
+    told = ["n_tokens", "ids_crc32"]
+    if "ids" in records.columns:
+        told = [(F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")]
+    rows = records.select("doc_id", "file_no", "offset", *told)
     in_file = Window.partitionBy("file_no").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
     local = rows.withColumn("before", F.coalesce(F.sum("n_tokens").over(in_file), F.lit(0)))
     # One row a file.

@@ -172,3 +172,11 @@ def test_packing_of_the_test_tables(spark):
 
 def test_packing_of_an_empty_table(empty):
     assert packing.pack(empty, VOCABULARY).count() == 0
+
+
+def test_checksums_without_the_ids_are_those_of_the_ids(spark, messy):
+    folder = scratch_path(spark, "records")
+    index = token_records.write_records(messy, folder, VOCABULARY)
+    files = token_records.number_of_files(spark, index)
+    with_ids, without = (token_records.digest(token_records.read_records(index, folder, files, with_ids=w), index) for w in (True, False))
+    assert sorted(with_ids.collect(), key=repr) == sorted(without.collect(), key=repr)
