@@ -17,7 +17,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressionModel, GBTRegressionModel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from sparkexp.config import SCORE_COLUMN, TrainingParams, map_params
 from sparkexp.functions.columns import as_boolean, col, key_hash
@@ -39,6 +39,8 @@ from sparkexp.operators.trees import (
     TreeGrower,
     add_margins,
     bin_names,
+    class_counts,
+    distinct_counts,
     ensemble_of,
     sketch_columns,
     with_bins,
@@ -230,8 +232,9 @@ def train_gbt_incremental(
     """Train ``rounds`` trees on each batch in turn, each batch continuing from the trees before it.
 
     There are ``batches`` batches, or as many as rows of about ``batch_size`` need. A row's batch
-    follows from ``key`` and ``spread`` as in scoring (see ``batch_columns``). One pass over these and the
-    role columns sketches them, a second writes their bins to the shared folder, one folder per batch,
+    follows from ``key`` and ``spread`` as in scoring (see ``batch_columns``). The input is read once:
+    hash, label and predictor values are stored and counted on the way. From there the columns are
+    sketched and their bins written to the shared folder, one folder per batch,
     so that a batch later reads its own rows and no others. The margins of a
     batch are written there too, at its start and after every ``store_every`` trees; each tree starts from
     that table, so what a lost executor costs does not grow with the trees.
@@ -250,20 +253,27 @@ def train_gbt_incremental(
     positive = as_boolean(col(target))
     first_steps, values = median_stages(roles, predictors) if gaps == "median" else ([], [finite_double(p) for p in predictors])
     prepared = PipelineModel(first_steps).transform(roles)
-    columns = [F.expr(value) for value in values]
-    sketch = sketch_columns(prepared, columns, positive, settings.max_bin)
-    _check_label(sketch, target)
-    if batches is None:
-        batches = num_batches(sketch.rows, batch_size)
-    batches = max(1, batches)
-    number = key_hash(telling, seed)
-    binned = with_bins(prepared.select("*", number.alias(HASH), positive.alias(POSITIVE)), columns, sketch)
-    kept = [HASH, POSITIVE, *bin_names(len(columns))]
-    rows = binned.select(*kept, batch_of_hash(F.col(HASH), batches).alias(BATCH))
-    files = files_of_batch(sketch.rows // batches, spark.sparkContext.defaultParallelism)
-    # The batch is a remainder of the hash, so its parts are taken from another one.
-    part = F.pmod(F.xxhash64(HASH), F.lit(files))
-    staged, path = materialize(rows.repartition(files * batches, BATCH, part), "training", partition_by=BATCH)
+    # What the input is read for: it may be dear to compute, and the steps after need it three times.
+    wide = prepared.select(
+        key_hash(telling, seed).alias(HASH), positive.alias(POSITIVE), *[F.expr(v).alias(f"value{i}") for i, v in enumerate(values)]
+    )
+    columns = [F.col(f"value{i}") for i in range(len(values))]
+    counted = Observation()
+    raw, raw_path = materialize(wide.observe(counted, *class_counts(F.col(POSITIVE)), *distinct_counts(columns)), "values")
+    try:
+        sketch = sketch_columns(raw, columns, F.col(POSITIVE), settings.max_bin, counted.get)
+        _check_label(sketch, target)
+        if batches is None:
+            batches = num_batches(sketch.rows, batch_size)
+        batches = max(1, batches)
+        kept = [HASH, POSITIVE, *bin_names(len(columns))]
+        rows = with_bins(raw, columns, sketch).select(*kept, batch_of_hash(F.col(HASH), batches).alias(BATCH))
+        files = files_of_batch(sketch.rows // batches, spark.sparkContext.defaultParallelism)
+        # The batch is a remainder of the hash, so its parts are taken from another one.
+        part = F.pmod(F.xxhash64(HASH), F.lit(files))
+        staged, path = materialize(rows.repartition(files * batches, BATCH, part), "training", partition_by=BATCH)
+    finally:
+        discard(spark, raw_path)
     model, seconds = TreeEnsemble(TreeGrower(spark, sketch, settings)), []
     try:
         weight = F.when(F.col(POSITIVE), F.lit(settings.scale_pos_weight)).otherwise(F.lit(1.0))

@@ -200,16 +200,22 @@ def prepare_experiment(
 ) -> PreparedExperiment:
     """Split ``data`` by date; an empty table or part is an error.
 
-    Runs one job for the sizes, and one before it for the dates that were not given.
+    Reads the date column once: rows are counted by day, which tells first and last day and the sizes
+    of all parts. There are as many counts as days.
     """
-    bounds = resolve_bounds(data, datetime_col, start_date, end_date, val_size_weeks, test_size_weeks, lenient)
-    conditions = split_conditions(data, datetime_col, bounds, cap_test, lenient)
-    sizes = data.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(condition).alias(name) for name, condition in conditions.items()],
-    ).first()
-    if sizes.total == 0:
+    day = comparable_date(data, datetime_col, lenient).cast("date").alias("day")
+    by_day = {row.day: row["count"] for row in data.select(day).groupBy("day").count().collect()}
+    days = [d for d in by_day if d is not None]
+    if not by_day or not days and (start_date is None or end_date is None):
         raise ValueError(NO_INPUT)
+    first, last = start_date or min(days), end_date or max(days)
+    bounds = bounds_from_dates(first, last, val_size_weeks, test_size_weeks)
+    conditions = split_conditions(data, datetime_col, bounds, cap_test, lenient)
+    begins = {"train": bounds.start, "val": bounds.val_start, "test": bounds.test_start}
+    ends = {"train": bounds.val_start, "val": bounds.test_start, "test": bounds.end + timedelta(days=1) if cap_test else None}
+    sizes = {
+        name: sum(by_day[d] for d in days if d >= begins[name] and (ends[name] is None or d < ends[name])) for name in SPLITS
+    }
     for name in SPLITS:
         if sizes[name] == 0:
             raise ValueError(NO_ROWS[name])
@@ -222,5 +228,5 @@ def prepare_experiment(
         "period string, start_date date, end_date date, row_count long",
     )
     return PreparedExperiment(
-        experiment_id, bounds, **parts, sizes={name: sizes[name] for name in SPLITS}, spans=spans
+        experiment_id, bounds, **parts, sizes=sizes, spans=spans
     )

@@ -56,16 +56,20 @@ class Sketch:
     cuts: tuple[tuple[float, ...], ...]
 
 
-def sketch_columns(train: DataFrame, columns: Sequence[Column], label: Column, max_bin: int) -> Sketch:
+def distinct_counts(columns: Sequence[Column]) -> list[Column]:
+    """About how many distinct values each column has; :func:`sketch_columns` takes these."""
+    return [F.approx_count_distinct(c, 0.02).alias(f"d{i}") for i, c in enumerate(columns)]
+
+
+def sketch_columns(train: DataFrame, columns: Sequence[Column], label: Column, max_bin: int, known: Mapping[str, int] | None = None) -> Sketch:
     """Count rows and classes, then find the cuts, for ``max_bin`` bins a column at most.
 
     The columns hold finite doubles, and null where a value is missing. A column with no more
     distinct values than bins gets a cut at each value but the least. Others are cut at quantiles.
+    ``known`` has what a pass before has counted.
     """
     bins = min(max_bin, MOST_BINS)
-    counts = [F.count(F.lit(1)).alias("rows"), F.count_if(label).alias("positives"), F.count_if(~label).alias("negatives")]
-    distinct = [F.approx_count_distinct(c, 0.02).alias(f"d{i}") for i, c in enumerate(columns)]
-    row = train.agg(*counts, *distinct).first()
+    row = known or train.agg(*class_counts(label), *distinct_counts(columns)).first()
     few = [0 < row[f"d{i}"] <= bins + bins // 10 for i in range(len(columns))]
     shares = [i / bins for i in range(bins)]
     quantiles = [F.percentile_approx(c, shares, SKETCH * bins) for c in columns]
@@ -79,7 +83,12 @@ def sketch_columns(train: DataFrame, columns: Sequence[Column], label: Column, m
         # Both zeros are one value to the bins, as they are to a comparison.
         values = {point + 0.0 for point in (again if i in over else found)[f"c{i}"] or []}
         cuts.append(tuple(sorted(values)[1:]))
-    return Sketch(row.rows, row.positives, row.negatives, tuple(cuts))
+    return Sketch(row["rows"], row["positives"], row["negatives"], tuple(cuts))
+
+
+def class_counts(label: Column) -> list[Column]:
+    """Rows, and those of either class."""
+    return [F.count(F.lit(1)).alias("rows"), F.count_if(label).alias("positives"), F.count_if(~label).alias("negatives")]
 
 
 def bin_names(count: int) -> list[str]:

@@ -97,3 +97,28 @@ def test_whole_run(spark, tmp_path):
     assert totals == {"target_counts": sizes["test"], "score_histogram": sizes["test"]}
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         consolidate_report(spark, "another", paths)
+
+
+def test_a_run_reads_the_raw_table_three_times(spark, tmp_path):
+    """Once for the days, once for training and once for scoring."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        reads.add(1)
+        yield from batches
+
+    made = synthetic_labeled(spark, rows=4000, ratio=0.01).coalesce(1)
+    made.write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw")).coalesce(1)
+    data = raw.mapInArrow(count, raw.schema)
+    run_experiment(
+        data,
+        ColumnRoles("targetCol", "datetimeCol", ("feature1", "feature2"), key=("id",)),
+        ExperimentPaths(str(tmp_path / "out")),
+        params={"max_depth": 1},
+        val_size_weeks=8,
+        test_size_weeks=8,
+        rounds=1,
+        trainer="one_fit",
+    )
+    assert reads.value <= 3
