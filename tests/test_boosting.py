@@ -552,7 +552,7 @@ def test_training_reads_key_and_role_columns_only(spark, tmp_path):
     original = boosting.materialize
 
     def record(df, label, *rest, **options):
-        if label == "training":
+        if label == "values":
             read.append(df._jdf.queryExecution().executedPlan().toString())
         return original(df, label, *rest, **options)
 
