@@ -184,9 +184,12 @@ def find_spans(
     window: int = WINDOW,
     keep: list[str] | None = None,
     block_bytes: int = BLOCK_BYTES,
+    cut: list[str] | None = None,
 ) -> DataFrame:
     """Add ``n_words``, ``spans`` of word numbers (end exclusive) and ``items`` to each document.
 
+    With ``cut`` (the text column, or it and the column of its length) the same pass also cuts the spans out of the text.
+
     Items beyond ``block_bytes`` of text are taken in blocks, one pass over the
     texts each; a document never leaves its partition.
     """
@@ -198,12 +201,16 @@ def find_spans(
 
     def one_block(frame: DataFrame, block: list[tuple[str, str]], first: bool, last: bool) -> DataFrame:
         shared = frame.sparkSession.sparkContext.broadcast(block)
+        changed = [f for f in frame.schema.fields if last and cut and f.name in cut]
+        lengths = [name for name in cut or [] if last and name != text]
+        uses = [text, *([] if first else ["spans", "items"]), *lengths]
 
         def make():
             automaton = _automaton(shared.value, window)
 
             def work(columns):
-                texts, before = columns[0], columns[1:] or [[[]] * len(columns[0])] * 2
+                texts = columns[0]
+                before = [[[]] * len(texts)] * 2 if first else columns[1:3]
                 counts, spans, names = [], [], []
                 for value, old_spans, old_names in zip(texts, *before):
                     words = words_of(value)
@@ -213,14 +220,16 @@ def find_spans(
                         found = _merge(found + [(s["first"], s["end"]) for s in old_spans])
                     spans.append([{"first": a, "end": b} for a, b in found])
                     names.append(sorted(items_found.union(old_names)))
-                return [counts, spans, names]
+                if not changed:
+                    return [counts, spans, names]
+                clean = [_without(t, [(s["first"], s["end"]) for s in found]) if found else t for t, found in zip(texts, spans)]
+                numbers = [len(t) if found else n for t, found, n in zip(clean, spans, columns[-1])]
+                return [counts, spans, names, *[clean if f.name == text else numbers for f in changed]]
 
             return work
 
         passed = list(keep) if keep is not None else list(frame.columns)
-        return add_columns(
-            frame, [text] if first else [text, "spans", "items"], added, make, keep=passed if last else [*passed, text]
-        )
+        return add_columns(frame, uses, [*added, *changed], make, keep=passed if last else [*passed, text])
 
     blocks = list(_item_blocks(items, item_id, item_text, block_bytes))
     numbered = list(enumerate(blocks))
@@ -256,26 +265,10 @@ def decontaminate(
     numbered = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
     body = f"_{position_of(docs, text)}"
     length = f"_{position_of(docs, n_chars)}" if n_chars in docs.columns else None
-    found = find_spans(numbered, items, text=body, **options)
+    found = find_spans(numbered, items, text=body, cut=[body, length] if length else [body], **options)
     hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s.end - s.first)
-    found = found.where(hit <= F.lit(max_coverage) * F.col("n_words"))
-    fields = [f for f in numbered.schema.fields if f.name in (body, length)]
-
-    def make():
-        def work(values):
-            texts = [
-                _without(t, [(s["first"], s["end"]) for s in spans]) if spans else t for t, spans in zip(values[0], values[1])
-            ]
-            if len(fields) == 1:
-                return [texts]
-            counts = [len(t) if spans else n for t, spans, n in zip(texts, values[1], values[2])]
-            return [texts if f.name == body else counts for f in fields]
-
-        return work
-
-    uses = [body, "spans"] + ([length] if len(fields) == 2 else [])
-    cut = add_columns(found, uses, fields, make, keep=[c for c in numbered.columns if c not in (body, length)])
-    return cut.select(*numbered.columns).toDF(*docs.columns)
+    kept = found.where(hit <= F.lit(max_coverage) * F.col("n_words"))
+    return kept.select(*numbered.columns).toDF(*docs.columns)
 
 
 def digest(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:

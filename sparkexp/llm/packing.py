@@ -27,7 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
 from sparkexp.llm.rows import position_of
-from sparkexp.llm.tokens import encoder
+from sparkexp.llm.tokens import BYTES_KEPT, encoder
 from sparkexp.sources.scratch import scratch_path
 
 WINDOW = 1024
@@ -121,8 +121,12 @@ def pack(
     open_windows: int = OPEN_WINDOWS,
     merged_partitions: int = MERGED_PARTITIONS,
     added_tokens: bool = False,
+    bytes_kept: int = BYTES_KEPT,
 ) -> DataFrame:
-    """One row for each piece, with its ids (little-endian unsigned 32-bit), sequence and offset."""
+    """One row for each piece, with its ids (little-endian unsigned 32-bit), sequence and offset.
+
+    ``bytes_kept`` bounds each of the two generations of pieces that a worker remembers.
+    """
     spark = docs.sparkSession
     pair = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))]).select(
         F.col(f"_{position_of(docs, doc_id)}").cast("long").alias("doc_id"), F.col(f"_{position_of(docs, text)}").alias("text")
@@ -130,7 +134,7 @@ def pack(
     arrow = to_arrow_schema(_PIECES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, packer = encoder(vocabulary, added_tokens), Packer(size, open_windows)
+        own, packer = encoder(vocabulary, added_tokens, bytes_kept), Packer(size, open_windows)
         task, pieces = TaskContext.get().partitionId(), 0
         rows: list[tuple] = []
 

@@ -138,6 +138,7 @@ class TextEncoder:
         return out
 
 
-def encoder(vocabulary: str, added_tokens: bool = False) -> TextEncoder:
+def encoder(vocabulary: str, added_tokens: bool = False, bytes_kept: int = BYTES_KEPT) -> TextEncoder:
     """The worker's encoder for a vocabulary file."""
-    return kept(("tokens", vocabulary, added_tokens), lambda: TextEncoder(vocabulary, added_tokens=added_tokens))
+    name = ("tokens", vocabulary, added_tokens, bytes_kept)
+    return kept(name, lambda: TextEncoder(vocabulary, added_tokens=added_tokens, bytes_kept=bytes_kept))
