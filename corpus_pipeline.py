@@ -23,6 +23,8 @@ from sparkexp.sources.scratch import discard, materialize
 # Three times that and a little more is what a text must have in common with its language, however many are learned.
 MIN_COSINE = 3.2 / math.sqrt(language_id.DIMENSIONS)
 VOCABULARY = "byte_bpe_50k.json"
+# Workers of earlier stages are still there when packing begins, so each remembers less.
+PIECE_BYTES = 16_000_000
 
 
 @shipped
@@ -57,7 +59,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 @shipped
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' tokens in sequences of 1,024, one row for each piece."""
-    return packing.digest(packing.pack(docs, public_tokenizers.path(VOCABULARY), added_tokens=True))
+    pieces = packing.pack(docs, public_tokenizers.path(VOCABULARY), added_tokens=True, bytes_kept=PIECE_BYTES)
+    return packing.digest(pieces)
 
 
 STAGES = [
