@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sparkexp.config import SCORE_COLUMN
 from sparkexp.functions.columns import col, key_hash
 from sparkexp.operators.prefix import running_totals
-from sparkexp.sources.scratch import materialize
+from sparkexp.sources.scratch import scratch_path, stored_at
 
 # Batch ids in one bucket of the ledger's running total.
 LEDGER_BUCKET = 50_000
+# Values whose rows a task numbers at once; the section stands above these bits of a row's place, its number below.
+SECTION_VALUES = 100_000
+PLACE_BITS = 40
 
 
 def num_batches(rows: int, batch_size: int) -> int:
@@ -77,25 +82,38 @@ def deal_batches(
     """Like :func:`assign_batches`, but equal rows are dealt one by one, so no row value fills a batch by itself.
 
     Rows with equal key and ``spread`` are numbered, and the number is added to their hash. That takes their place in a
-    stored copy of the table: files are counted and the counts summed up over the files, then rows are numbered
-    within each file, so no value's rows meet in one task. Only values with more than
-    ``repeated_from`` rows are treated so. Returns the table, which reads the copy, and the copy's path.
+    stored copy of the table: each task numbers its equal rows as it writes them, in sections of a bounded number of
+    values, and the sections' counts are summed up, so rows are neither moved nor sorted and no value's rows meet in one
+    task. Only values with more than ``repeated_from`` rows are treated so. Returns the table, which reads the copy, and the copy's path.
     """
     number = f"{column}_hash"
+
+    @F.pandas_udf("long")
+    def place(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        seen, section = {}, 0
+        for batch in values:
+            group, found = pd.factorize(batch)
+            before = np.array([seen.get(value, 0) for value in found], np.int64)
+            yield (section << PLACE_BITS) + before[group] + batch.groupby(group).cumcount()
+            seen.update(zip(found, before + np.bincount(group, minlength=len(found))))
+            if len(seen) > SECTION_VALUES:
+                seen, section = {}, section + 1
+
     hashed = df.withColumn(number, key_hash(telling_columns(df, key, spread), seed))
-    stored, path = materialize(hashed, "dealt")
-    repeated = stored.groupBy(number).agg(F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > repeated_from)
-    placed = stored.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    marked = placed.join(repeated, number, "left")
-    plain = marked.where(F.col("_copies").isNull()).withColumn("_occurrence", F.lit(0).cast("long"))
-    many = marked.where(F.col("_copies").isNotNull())
-    files = many.groupBy(number, "_file").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(number).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    before = files.select(number, "_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    in_file = F.row_number().over(Window.partitionBy(number, "_file").orderBy("_row")) - 1
-    counted = many.withColumn("_in_file", in_file).join(before, [number, "_file"])
-    numbered = counted.withColumn("_occurrence", F.col("_before") + F.col("_in_file")).select(plain.columns)
-    dealt = plain.unionByName(numbered).withColumn(column, batch_of_hash(F.col(number) + F.col("_occurrence"), max(1, batches)))
+    path = scratch_path(df.sparkSession, "dealt")
+    stored = stored_at(hashed.select("*", place.asNondeterministic()(number).alias("_place"), F.spark_partition_id().alias("_task")), f"{path}/rows")
+    section = ["_task", "_section"]
+    placed = stored.withColumn("_section", F.shiftright("_place", PLACE_BITS))
+    counts = placed.groupBy(number, *section).agg(F.count(F.lit(1)).alias("_n"))
+    value = Window.partitionBy(number)
+    earlier = F.sum("_n").over(value.orderBy(*section).rowsBetween(Window.unboundedPreceding, -1))
+    summed = counts.withColumn("_before", F.coalesce(earlier, F.lit(0))).withColumn("_copies", F.sum("_n").over(value))
+    repeated = summed.where(F.col("_copies") > repeated_from).select(number, *section, "_before")
+    # Stored, so that Spark knows that it is small before it plans to move the rows.
+    marked = placed.join(stored_at(repeated, f"{path}/repeated"), [number, *section], "left")
+    in_section = F.col("_place").bitwiseAND((1 << PLACE_BITS) - 1)
+    occurrence = F.coalesce(F.col("_before") + in_section, F.lit(0))
+    dealt = marked.withColumn(column, batch_of_hash(F.col(number) + occurrence, max(1, batches)))
     return dealt.select(*[col(name) for name in df.columns if name != column], column), path
 
 

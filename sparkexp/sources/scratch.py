@@ -40,10 +40,15 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> t
     With ``partition_by`` each value of that column gets a folder.
     """
     path = scratch_path(df.sparkSession, label)
+    return stored_at(df, path, partition_by), path
+
+
+def stored_at(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` to the path and read it back."""
     writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
     writer.parquet(path)
     # With the schema given, a table without rows reads back as well, and no file is opened to learn it.
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def discard(spark: SparkSession, path: str) -> None:

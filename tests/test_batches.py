@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+from sparkexp.operators import batches
 from sparkexp.operators.batches import assign_batches, batch_ledger, deal_batches, num_batches, num_batches_table
 from sparkexp.sources.scratch import discard
 
@@ -87,3 +89,26 @@ def test_a_third_of_equal_rows_is_dealt_evenly(spark):
     assert max(sizes) <= 1.1 * 1000
     for folder in (path, other):
         discard(spark, folder)
+
+
+def test_dealing_moves_no_rows(spark, monkeypatch):
+    monkeypatch.setattr(batches, "SECTION_VALUES", 1_000)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 300)
+    # Null and four values hold two thirds of the rows; the others occur once or twice. Python cannot read the interval.
+    kind = "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN CAST(id % 4 AS STRING) ELSE CAST(id DIV 4 AS STRING) || 'x' END AS kind"
+    rows = spark.range(60_000).selectExpr("id", kind, "INTERVAL '2' MONTH AS term").repartition(5)
+    dealt, path = deal_batches(rows, "kind", 2**40, spread=[])
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert not any(step in plan for step in ("SortMergeJoin", "ShuffledHashJoin", "Window", "hashpartitioning"))
+    found = dealt.drop("term").join(assign_batches(rows, "kind", batches=2**40, spread=[]).select("id", F.col("batch_id").alias("first")), "id").collect()
+    assert sorted(r.id for r in found) == list(range(60_000))
+    numbers = defaultdict(list)
+    for row in found:
+        numbers[row.kind].append((row.batch_id - row["first"]) % 2**40)
+    assert all(sorted(n) == list(range(len(n))) for n in numbers.values())
+    rare, other = deal_batches(rows, "kind", 2**40, spread=[], repeated_from=2)
+    one = rare.where("kind LIKE '%x'").groupBy("kind").agg(F.countDistinct("batch_id").alias("n"))
+    assert one.agg(F.max("n")).first()[0] == 1
+    for folder in (path, other):
+        discard(spark, folder)
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
