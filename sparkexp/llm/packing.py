@@ -151,17 +151,15 @@ def pack(
             rows.clear()
             return made
 
-        for batch in batches:
-            for begin in range(0, batch.num_rows, _AT_ONCE):
-                part = batch.slice(begin, _AT_ONCE)
-                for name, raw in zip(part.column(0).to_pylist(), own.encode(part.column(1).to_pylist())):
-                    whole = len(raw) // 4
-                    for start in range(0, whole, size):
-                        length = min(size, whole - start)
-                        piece = (pieces, name, start, length, raw[4 * start : 4 * (start + length)], whole)
-                        pieces += 1
-                        emit(packer.place(length, piece), False)
-                if rows:
+        for names, encoded in own.encode_rows(batches):
+            for name, raw in zip(names, encoded):
+                whole = len(raw) // 4
+                for start in range(0, whole, size):
+                    length = min(size, whole - start)
+                    piece = (pieces, name, start, length, raw[4 * start : 4 * (start + length)], whole)
+                    pieces += 1
+                    emit(packer.place(length, piece), False)
+                if len(rows) >= _AT_ONCE:
                     yield batch_of()
         emit(packer.rest(), True)
         yield batch_of()

@@ -121,11 +121,10 @@ def write_records(
         place, top = _store(data)
         name, at, out = f"part-{number:06d}-{uuid.uuid4().hex}.rec", 0, None
         try:
-            for batch in batches:
-                for start in range(0, batch.num_rows, _AT_ONCE):
-                    part = batch.slice(start, _AT_ONCE)
-                    ids = own.encode(part.column(1).to_pylist())
-                    made = frames(part.column(0).to_pylist(), ids, wide)
+            for names, encoded in own.encode_rows(batches):
+                for start in range(0, len(names), _AT_ONCE):
+                    ids = encoded[start : start + _AT_ONCE]
+                    made = frames(names[start : start + _AT_ONCE], ids, wide)
                     out = out or place.open_output_stream(f"{top}/{name}")
                     out.write(b"".join(made))
                     sizes = [len(f) for f in made]

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from messy import messy_rows
 from pyspark.sql import functions as F
@@ -53,6 +54,22 @@ def test_cut_texts_encode_as_whole_ones(kept):
         assert own.encode(texts) == [ids_of(t) for t in texts]
 
 
+def test_each_distinct_piece_is_looked_up_once_for_many_texts():
+    own, asked = TextEncoder(VOCABULARY), []
+    make = own.known.make
+    own.known.make = lambda piece: asked.append(piece) or make(piece)
+    texts = [f"same{i % 7} words, here. and\nthere?! only{'abc'[i % 3]})" for i in range(4_000)] + ODD
+    batches = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": pa.array(texts, pa.string())})
+    found = list(own.encode_rows(batches.slice(k, 50) for k in range(0, len(texts), 50)))
+    assert [n for names, _ in found for n in names] == list(range(len(texts)))
+    assert [raw for _, ids in found for raw in ids] == [ids_of(t) for t in texts]
+    assert len(found) == 1 and len(asked) == len(set(asked)) < 60
+    # A word with punctuation after it is not remembered beside the word.
+    assert "words" in own.known and "words," not in own.known
+    few = TextEncoder(VOCABULARY, bytes_kept=800)
+    assert [raw for _, ids in few.encode_rows([batches]) for raw in ids] == [ids_of(t) for t in texts]
+
+
 def test_texts_of_the_test_tables_encode_as_whole_ones(spark):
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
     assert TextEncoder(VOCABULARY).encode(texts) == [ids_of(t) for t in texts]
